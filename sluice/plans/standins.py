@@ -1,0 +1,73 @@
+"""The given tables in the roles of the loads: bronze rows, file lists, and archives packed by Spark tasks."""
+
+from __future__ import annotations
+
+import io
+import zipfile
+from collections.abc import Sequence
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from sluice.sources.archives import open_path
+
+ROWS_PER_ARCHIVE = 5000
+TEXTS_PER_ARCHIVE = 500
+PACKED = "archive STRING, members BIGINT"
+
+
+def events_as_bronze(events: DataFrame) -> DataFrame:
+    """Events as daily-report rows: user is the fund, the event's day the report date, its time the version."""
+    amount = F.col("value").cast("string")
+    day = F.date_format("ts", "yyyy-MM-dd")
+    return events.select(
+        F.col("event_type").alias("TP_FUNDO"), F.col("user_id").cast("string").alias("CNPJ_FUNDO"),
+        day.alias("DT_COMPTC"), amount.alias("VL_TOTAL"), amount.alias("VL_QUOTA"), amount.alias("VL_PATRIM_LIQ"),
+        amount.alias("CAPTC_DIA"), amount.alias("RESG_DIA"), F.col("event_id").alias("NR_COTST"),
+        F.concat(F.lit("report_"), day, F.lit(".csv")).alias("arquivo"), F.col("ts").alias("data_modificacao"),
+        F.year("ts").alias("ano"), F.month("ts").alias("mes"), F.lit(None).cast("string").alias("ID_SUBCLASSE"))
+
+
+def before_noon(bronze: DataFrame) -> DataFrame:
+    """What an earlier load of the day would have seen."""
+    return bronze.filter(F.hour("data_modificacao") < 12)
+
+
+def csv_lines(rows: DataFrame, archive: Column, member: Column, modified: Column, order: Column,
+              header: Sequence[str], cells: Sequence[Column], quote_all: bool = False) -> DataFrame:
+    """Rows as lines of delimited members."""
+    options = {"sep": ";", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+               "quoteAll": str(quote_all).lower()}
+    named = F.struct(*(cell.alias(f"c{i}") for i, cell in enumerate(cells)))
+    return rows.select(archive.alias("archive"), member.alias("member"), modified.alias("modified"),
+                       order.alias("position"), F.lit(";".join(header)).alias("header"),
+                       F.to_csv(named, options).alias("line"))
+
+
+def pack_archives(lines: DataFrame, folder: str, encoding: str = "latin1") -> None:
+    """Write each group of lines as one zip archive, from the task that holds it.
+
+    Archives must be bounded groups. A repeated task writes the same archive again, under its final name only when whole.
+    """
+
+    def pack(key, table: pa.Table) -> pa.Table:
+        name = key[0].as_py()
+        body = io.BytesIO()
+        table = table.sort_by([("member", "ascending"), ("position", "ascending")])
+        members = pc.unique(table["member"]).to_pylist()
+        with zipfile.ZipFile(body, "w", zipfile.ZIP_DEFLATED) as archive:
+            for member in members:
+                part = table.filter(pc.equal(table["member"], member))
+                info = zipfile.ZipInfo(member, pc.max(part["modified"]).as_py().timetuple()[:6])
+                text = "\n".join([part["header"][0].as_py(), *part["line"].to_pylist(), ""])
+                archive.writestr(info, text.encode(encoding), zipfile.ZIP_DEFLATED)
+        system, inner = open_path(folder)
+        system.create_dir(inner)
+        with system.open_output_stream(f"{inner}/{name}.part") as out:
+            out.write(body.getbuffer())
+        system.move(f"{inner}/{name}.part", f"{inner}/{name}.zip")
+        return pa.table({"archive": [name], "members": pa.array([len(members)], pa.int64())})
+
+    lines.groupBy("archive").applyInArrow(pack, PACKED).agg(F.sum("members")).first()
