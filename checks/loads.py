@@ -1,2 +1,299 @@
-QUERIES={}
-ORACLES={}
+"""Queries of whole loads: archives that Spark packs from the given tables, and tables written in several runs."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks.shapes import SILVER_SELECT, SILVER_SQL, http_text, read
+from sluice.layouts import OPTIONAL_COLUMNS, REPORT_COLUMNS, REPORT_RENAMES
+from sluice.operators.files import row_count
+from sluice.operators.tables import append_by_name, create_table, publish_view
+from sluice.plans import bronze, chain, control, discovery, silver
+from sluice.plans.standins import (TEXTS_PER_ARCHIVE, before_noon, delimited, document_lines, events_as_bronze,
+                                   order_lines, pack_archives)
+from sluice.session import new_folder
+from sluice.sources import archives, landing
+from sluice.streaming.silver_feed import feed_silver
+
+QUERIES = {}
+ORACLES = {}
+
+
+def checked(sql: str, name: str | None = None):
+    """Register a query with its SQL, under its function's name unless another is given."""
+    def register(query):
+        QUERIES[name or query.__name__] = query
+        ORACLES[name or query.__name__] = sql
+        return query
+    return register
+
+
+def unique_names(*labels: str) -> list[str]:
+    run = uuid.uuid4().hex
+    return [f"{label}_{run}" for label in labels]
+
+
+# --- archives ----------------------------------------------------------------------------------------------------
+
+ORDER_FILES_SQL = """
+WITH cells AS (
+  SELECT *, concat('orders_', o_orderkey // 5000) AS origem_zip, year(o_orderdate) >= 1997 AS newer,
+         CAST(o_totalprice AS VARCHAR) AS price, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS VARCHAR) END AS quota
+  FROM orders),
+named AS (
+  SELECT *, concat('daily/', origem_zip, '_', year(o_orderdate), '_', o_orderstatus, '.csv') AS arquivo,
+         concat_ws(';', o_orderstatus, o_orderkey, CASE WHEN newer THEN o_orderpriority END,
+                   strftime(o_orderdate, '%Y-%m-%d'), price, coalesce(quota, ''), price, price, price, o_custkey) AS line,
+         CASE WHEN newer THEN length(' TP_FUNDO_CLASSE ;CNPJ_FUNDO_CLASSE;ID_SUBCLASSE;DT_COMPTC;VL_TOTAL;VL_QUOTA;VL_PATRIM_LIQ;CAPTC_DIA;RESG_DIA;NR_COTST')
+              ELSE length('TP_FUNDO;CNPJ_FUNDO;DT_COMPTC;VL_TOTAL;VL_QUOTA;VL_PATRIM_LIQ;CAPTC_DIA;RESG_DIA;NR_COTST') END AS header_size
+  FROM cells),
+rows_ AS (SELECT *, row_number() OVER (PARTITION BY arquivo ORDER BY o_orderkey) - 1 AS row_id FROM named),
+entries AS (
+  SELECT origem_zip, arquivo AS nome_arquivo, max(o_orderdate) AS data_modificacao,
+         CAST(max(header_size) + 1 + sum(length(line) + 1) AS BIGINT) AS tamanho_bytes,
+         concat(replace(split_part(arquivo, '/', -1), '.csv', ''), '_', strftime(max(o_orderdate), '%Y%m%d%H%M%S'), '.csv')
+           AS arquivo_ingestao
+  FROM rows_ GROUP BY origem_zip, arquivo)
+"""
+
+
+def landed_orders(spark: SparkSession, folder: str) -> str:
+    """A landing folder with the orders as archives."""
+    place = new_folder(spark, "landing")
+    pack_archives(order_lines(read(spark, folder, "orders")), place)
+    return place
+
+
+@checked("SELECT DISTINCT concat('orders_', o_orderkey // 5000, '.zip') AS arquivo, TRUE AS dated, TRUE AS filled "
+         "FROM orders")
+def landing_manifest(spark, folder):
+    found = landing.landing_manifest(spark, landed_orders(spark, folder))
+    return found.select("arquivo", F.col("data_modificacao").isNotNull().alias("dated"),
+                        (F.col("length") > 0).alias("filled"))
+
+
+@checked(ORDER_FILES_SQL + "SELECT * FROM entries")
+def archive_entries(spark, folder):
+    entries = archives.archive_entries(landing.landing_manifest(spark, landed_orders(spark, folder)))
+    return entries.select("origem_zip", "nome_arquivo", F.col("entry_mtime").alias("data_modificacao"),
+                          "tamanho_bytes", "arquivo_ingestao")
+
+
+@checked(ORDER_FILES_SQL + """
+SELECT origem_zip, arquivo, row_id, o_orderstatus AS "TP_FUNDO", CAST(o_orderkey AS VARCHAR) AS "CNPJ_FUNDO",
+       strftime(o_orderdate, '%Y-%m-%d') AS "DT_COMPTC", price AS "VL_TOTAL", quota AS "VL_QUOTA",
+       price AS "VL_PATRIM_LIQ", price AS "CAPTC_DIA", price AS "RESG_DIA", CAST(o_custkey AS VARCHAR) AS "NR_COTST",
+       CASE WHEN newer THEN o_orderpriority END AS "ID_SUBCLASSE"
+FROM rows_
+""")
+def archive_rows(spark, folder):
+    entries = archives.archive_entries(landing.landing_manifest(spark, landed_orders(spark, folder)))
+    rows = archives.archive_rows(entries, REPORT_COLUMNS + OPTIONAL_COLUMNS, REPORT_RENAMES)
+    return archives.data_rows(rows).select("origem_zip", "arquivo", "row_id", *REPORT_COLUMNS, *OPTIONAL_COLUMNS)
+
+
+@checked("SELECT doc_id, lang, source, n_chars, text FROM documents")
+def csv_decode(spark, folder):
+    place = new_folder(spark, "landing")
+    pack_archives(document_lines(read(spark, folder, "documents")), place)
+    entries = archives.archive_entries(landing.landing_manifest(spark, place))
+    rows = archives.data_rows(archives.archive_rows(entries, ["doc_id", "lang", "source", "n_chars", "text"]))
+    return rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "source",
+                       F.col("n_chars").cast("bigint").alias("n_chars"), "text")
+
+
+@checked(ORDER_FILES_SQL + """
+, contents AS (SELECT arquivo, concat(
+    CASE WHEN max(header_size) > 90 THEN ' TP_FUNDO_CLASSE ;CNPJ_FUNDO_CLASSE;ID_SUBCLASSE;DT_COMPTC;VL_TOTAL;VL_QUOTA;VL_PATRIM_LIQ;CAPTC_DIA;RESG_DIA;NR_COTST'
+         ELSE 'TP_FUNDO;CNPJ_FUNDO;DT_COMPTC;VL_TOTAL;VL_QUOTA;VL_PATRIM_LIQ;CAPTC_DIA;RESG_DIA;NR_COTST' END,
+    chr(10), string_agg(line, chr(10) ORDER BY o_orderkey), chr(10)) AS text FROM rows_ GROUP BY arquivo)
+SELECT arquivo_ingestao, origem_zip, nome_arquivo, CAST(0 AS BIGINT) AS chunk_no, md5(text) AS content_md5
+FROM entries JOIN contents ON arquivo = nome_arquivo
+""")
+def landing_members(spark, folder):
+    entries = archives.archive_entries(landing.landing_manifest(spark, landed_orders(spark, folder)))
+    return archives.member_contents(entries).select("arquivo_ingestao", "origem_zip", "nome_arquivo", "chunk_no",
+                                                    F.md5("content").alias("content_md5"))
+
+
+# --- discovery ---------------------------------------------------------------------------------------------------
+
+@checked("""
+WITH portal AS (
+  SELECT DISTINCT concat(source, '_', lang, '_', doc_id // 500, '.zip') AS arquivo, lang, doc_id // 500 AS block
+  FROM documents)
+SELECT arquivo, concat('index/', arquivo) AS url,
+       CASE lang WHEN 'de' THEN TIMESTAMP '2100-01-01' + to_days(CAST(block AS INT))
+                 WHEN 'fr' THEN NULL ELSE TIMESTAMP '1999-01-01' + to_days(CAST(block AS INT)) END AS data_modificacao
+FROM portal WHERE lang IN ('de', 'en')
+""")
+def fetch_plan(spark, folder):
+    """All but the English archives have landed; the German ones are newer on the portal, the French undated."""
+    documents = read(spark, folder, "documents")
+    pages, headers = index_pages(documents)
+    place = new_folder(spark, "landing")
+    pack_archives(document_files(documents.filter("lang <> 'en'")), place)
+    plan = discovery.fetch_plan(spark, pages, headers, place, F.lit("index/"))
+    return plan.withColumn("data_modificacao", F.col("data_modificacao").cast("timestamp_ntz"))
+
+
+def block_name():
+    return F.concat_ws("_", "source", "lang", F.floor(F.col("doc_id") / TEXTS_PER_ARCHIVE).cast("string"))
+
+
+def document_files(documents: DataFrame) -> DataFrame:
+    """Document numbers as archives of one source, language and bounded block."""
+    return documents.select(
+        block_name().alias("archive"), F.lit("list.csv").alias("member"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("modified"), F.col("doc_id").alias("position"),
+        F.lit("doc_id;n_chars").alias("header"),
+        delimited([F.col("doc_id").cast("string"), F.col("n_chars").cast("string")]).alias("line"))
+
+
+def index_pages(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """An index page per language and block of documents, and what the server says about each archive."""
+    block = F.floor(F.col("doc_id") / TEXTS_PER_ARCHIVE)
+    listed = documents.select("lang", block.alias("block"), F.concat(block_name(), F.lit(".zip")).alias("file")).distinct()
+    anchors = F.collect_list(F.concat(F.lit('<li><A class="x" href="'), "file", F.lit('">archive</a></li>')))
+    pages = (listed.groupBy("lang", "block").agg(anchors.alias("anchors"))
+             .select(F.concat(F.lit('<ul><a name="top"></a><a href="readme.txt">notes</a>'),
+                              F.array_join("anchors", "\n"), F.lit("</ul>")).alias("html")))
+    start = F.when(F.col("lang") == "de", "2100-01-01").otherwise("1999-01-01").cast("timestamp_ntz")
+    moment = F.timestamp_add("DAY", F.col("block").cast("int"), start)
+    headers = listed.select(F.concat(F.lit("index/"), "file").alias("url"),
+                            F.when(F.col("lang") == "fr", "unknown").otherwise(http_text(moment))
+                            .alias("last_modified"))
+    return pages, headers
+
+
+# --- bronze ------------------------------------------------------------------------------------------------------
+
+def loaded_orders(spark: SparkSession, folder: str) -> bronze.BronzeTables:
+    """Bronze after two loads of the same landing folder; the second adds nothing."""
+    place = landed_orders(spark, folder)
+    tables = bronze.BronzeTables(*unique_names("bronze", "failures"))
+    bronze.create_bronze(spark, tables, location=new_folder(spark, "tables"))
+    bronze.load_bronze(spark, place, tables)
+    bronze.load_bronze(spark, place, tables)
+    return tables
+
+
+@checked(ORDER_FILES_SQL + """
+SELECT o_orderstatus AS "TP_FUNDO", CAST(o_orderkey AS VARCHAR) AS "CNPJ_FUNDO",
+       strftime(o_orderdate, '%Y-%m-%d') AS "DT_COMPTC", price AS "VL_TOTAL", quota AS "VL_QUOTA",
+       price AS "VL_PATRIM_LIQ", price AS "CAPTC_DIA", price AS "RESG_DIA", o_custkey AS "NR_COTST", arquivo,
+       CAST(year(o_orderdate) AS INT) AS ano, CAST(month(o_orderdate) AS INT) AS mes,
+       CASE WHEN newer THEN o_orderpriority END AS "ID_SUBCLASSE"
+FROM rows_ WHERE o_orderstatus <> 'P'
+""")
+def bronze_append(spark, folder):
+    return spark.table(loaded_orders(spark, folder).bronze).drop("data_modificacao")
+
+
+@checked(ORDER_FILES_SQL + """
+SELECT origem_zip, arquivo, row_id, 'VL_QUOTA' AS column_name, 'not_nullable' AS check_name,
+       CAST(NULL AS VARCHAR) AS failure_case
+FROM rows_ WHERE o_orderstatus = 'P'
+""")
+def bronze_failures(spark, folder):
+    return spark.table(loaded_orders(spark, folder).failures).drop("data_modificacao")
+
+
+@checked("SELECT * FROM orders")
+def bronze_view(spark, folder):
+    """A table of one database seen from another."""
+    bronze_db, silver_db = unique_names("bronze_layer", "silver_layer")
+    for database in (bronze_db, silver_db):
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{new_folder(spark, 'database')}'")
+    columns = read(spark, folder, "orders").schema.simpleString()[len("struct<"):-1].replace(":", " ")
+    create_table(spark, f"{bronze_db}.orders", columns, location=f"{folder}/orders.parquet")
+    return publish_view(spark, f"{silver_db}.orders", f"{bronze_db}.orders")
+
+
+# --- silver ------------------------------------------------------------------------------------------------------
+
+def loaded_events(spark: SparkSession, folder: str, load) -> DataFrame:
+    """Silver after a load of the mornings, one of everything, and one more that adds nothing."""
+    events = events_as_bronze(read(spark, folder, "events"))
+    events = events.withColumn("data_modificacao", F.col("data_modificacao").cast("timestamp"))
+    place = new_folder(spark, "tables")
+    raw = bronze.BronzeTables(*unique_names("bronze", "failures"))
+    tables = silver.SilverTables(*unique_names("silver", "rejects"))
+    bronze.create_bronze(spark, raw, location=place)
+    silver.create_silver(spark, tables, location=place)
+    for batch in (before_noon(events), events.filter(F.hour("data_modificacao") >= 12), events.limit(0)):
+        append_by_name(batch, raw.bronze)
+        load(spark, raw.bronze, tables, place)
+    return spark.table(tables.silver).withColumn("DATA_MODIFICACAO", F.col("DATA_MODIFICACAO").cast("timestamp_ntz"))
+
+
+SILVER_LOADS_SQL = SILVER_SQL + SILVER_SELECT + "morning WHERE nr = 1 UNION ALL " + SILVER_SELECT + "added"
+
+
+@checked(SILVER_LOADS_SQL)
+def silver_append(spark, folder):
+    return loaded_events(spark, folder, lambda session, table, tables, _: silver.load_silver(session, table, tables))
+
+
+@checked(SILVER_LOADS_SQL, "silver_feed")
+def fed_silver(spark, folder):
+    return loaded_events(spark, folder, lambda session, table, tables, place: feed_silver(
+        session, table, tables, f"{place}/feed"))
+
+
+# --- control and chain -------------------------------------------------------------------------------------------
+
+@checked(ORDER_FILES_SQL + """
+SELECT nome_arquivo, data_modificacao, origem_zip, tamanho_bytes, arquivo_ingestao, CAST(NULL AS VARCHAR) AS fonte,
+       CAST(NULL AS VARCHAR) AS situacao_arquivo
+FROM entries
+""")
+def control_append(spark, folder):
+    """Control table after a load without one archive, one of all, and one more that adds nothing."""
+    found = landing.landing_manifest(spark, landed_orders(spark, folder))
+    tables = control.ControlTables(*unique_names("control", "members"))
+    control.create_control(spark, tables, location=new_folder(spark, "tables"))
+    for exclude in (["orders_0", "absent"], [], []):
+        control.load_control(spark, found, tables, exclude)
+    recorded = spark.table(tables.control)
+    return recorded.withColumn("data_modificacao", F.col("data_modificacao").cast("timestamp_ntz"))
+
+
+def chained_orders(spark: SparkSession, folder: str) -> tuple[bronze.BronzeTables, silver.SilverTables]:
+    """Tables after the chain has run twice, with archives that arrive in the first run."""
+    documents, orders = read(spark, folder, "documents"), read(spark, folder, "orders")
+    pages, headers = index_pages(documents)
+    place, landed = new_folder(spark, "tables"), new_folder(spark, "landing")
+    raw = bronze.BronzeTables(*unique_names("bronze", "failures"))
+    tables = silver.SilverTables(*unique_names("silver", "rejects"))
+    bronze.create_bronze(spark, raw, location=place)
+    silver.create_silver(spark, tables, location=place)
+    for fetch in (lambda plan: pack_archives(order_lines(orders), landed), lambda plan: None):
+        chain.run_chain(spark, pages, headers, landed, F.lit("index/"), raw, tables, fetch, f"{place}/feed")
+    return raw, tables
+
+
+@checked("""
+SELECT o_orderstatus AS "TP_FUNDO", CAST(o_orderkey AS VARCHAR) AS "CNPJ_FUNDO",
+       CAST(o_orderdate AS DATE) AS "DT_COMPTC", CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(18,2)) AS "VL_TOTAL",
+       CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(18,2)) AS "VL_QUOTA",
+       CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(18,2)) AS "VL_PATRIM_LIQ",
+       CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(18,2)) AS "CAPTC_DIA",
+       CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(18,2)) AS "RESG_DIA"
+FROM orders WHERE o_orderstatus <> 'P'
+""")
+def medallion_chain(spark, folder):
+    return spark.table(chained_orders(spark, folder)[1].silver).drop("DATA_MODIFICACAO")
+
+
+@checked("SELECT 'bronze' AS tabela, count(*) AS row_count FROM orders WHERE o_orderstatus <> 'P' "
+         "UNION ALL SELECT 'silver', count(*) FROM orders WHERE o_orderstatus <> 'P'")
+def load_counts(spark, folder):
+    """The row counts a load is checked by."""
+    raw, tables = chained_orders(spark, folder)
+    counts = [row_count(spark.table(table)).withColumn("tabela", F.lit(label))
+              for label, table in (("bronze", raw.bronze), ("silver", tables.silver))]
+    return counts[0].unionByName(counts[1])

@@ -11,12 +11,17 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.layouts import REPORT_COLUMNS
 from sluice.sources.archives import open_path
 
 ROWS_PER_ARCHIVE = 5000
 TEXTS_PER_ARCHIVE = 500
 PACKED = "archive STRING, members BIGINT"
 
+DRIFT_YEAR = 1997
+OLD_HEADER = ";".join(REPORT_COLUMNS)
+NEW_HEADER = ";".join([" TP_FUNDO_CLASSE ", "CNPJ_FUNDO_CLASSE", "ID_SUBCLASSE", *REPORT_COLUMNS[2:]])
+
 
 def events_as_bronze(events: DataFrame) -> DataFrame:
     """Events as daily-report rows: user is the fund, the event's day the report date, its time the version."""
@@ -35,15 +40,44 @@ def before_noon(bronze: DataFrame) -> DataFrame:
     return bronze.filter(F.hour("data_modificacao") < 12)
 
 
-def csv_lines(rows: DataFrame, archive: Column, member: Column, modified: Column, order: Column,
-              header: Sequence[str], cells: Sequence[Column], quote_all: bool = False) -> DataFrame:
-    """Rows as lines of delimited members."""
+def delimited(cells: Sequence[Column], quote_all: bool = False) -> Column:
+    """Cells as one line of a delimited member; quotes within a cell are doubled."""
     options = {"sep": ";", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
                "quoteAll": str(quote_all).lower()}
-    named = F.struct(*(cell.alias(f"c{i}") for i, cell in enumerate(cells)))
-    return rows.select(archive.alias("archive"), member.alias("member"), modified.alias("modified"),
-                       order.alias("position"), F.lit(";".join(header)).alias("header"),
-                       F.to_csv(named, options).alias("line"))
+    return F.to_csv(F.struct(*(cell.alias(f"c{i}") for i, cell in enumerate(cells))), options)
+
+
+def document_lines(documents: DataFrame) -> DataFrame:
+    """Documents as lines of archives, a bounded block of documents each."""
+    block = F.floor(F.col("doc_id") / TEXTS_PER_ARCHIVE).cast("string")
+    cells = [F.col(c).cast("string") for c in ("doc_id", "lang", "source", "n_chars", "text")]
+    return documents.select(
+        F.concat(F.lit("texts_"), block).alias("archive"), F.concat("source", F.lit(".csv")).alias("member"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("modified"), F.col("doc_id").alias("position"),
+        F.lit("doc_id;lang;source;n_chars;text").alias("header"), delimited(cells, quote_all=True).alias("line"))
+
+
+def order_lines(orders: DataFrame) -> DataFrame:
+    """Orders as daily-report files: bounded blocks as archives, a member per year and status, header drift with time.
+
+    Orders in process (status P) come without a quota.
+    """
+    block = F.floor(F.col("o_orderkey") / ROWS_PER_ARCHIVE).cast("string")
+    archive = F.concat(F.lit("orders_"), block)
+    price = F.col("o_totalprice").cast("string")
+    head = [F.col("o_orderstatus"), F.col("o_orderkey").cast("string")]
+    tail = [F.date_format("o_orderdate", "yyyy-MM-dd"), price,
+            F.when(F.col("o_orderstatus") == "P", "").otherwise(price), price, price, price,
+            F.col("o_custkey").cast("string")]
+    newer = F.year("o_orderdate") >= DRIFT_YEAR
+    return orders.select(
+        archive.alias("archive"),
+        F.concat(F.lit("daily/"), archive, F.lit("_"), F.year("o_orderdate").cast("string"), F.lit("_"),
+                 "o_orderstatus", F.lit(".csv")).alias("member"),
+        F.col("o_orderdate").alias("modified"), F.col("o_orderkey").alias("position"),
+        F.when(newer, NEW_HEADER).otherwise(OLD_HEADER).alias("header"),
+        F.when(newer, F.concat_ws(";", *head, F.col("o_orderpriority"), *tail))
+        .otherwise(F.concat_ws(";", *head, *tail)).alias("line"))
 
 
 def pack_archives(lines: DataFrame, folder: str, encoding: str = "latin1") -> None:
@@ -52,7 +86,7 @@ def pack_archives(lines: DataFrame, folder: str, encoding: str = "latin1") -> No
     Archives must be bounded groups. A repeated task writes the same archive again, under its final name only when whole.
     """
 
-    def pack(key, table: pa.Table) -> pa.Table:
+    def pack(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         name = key[0].as_py()
         body = io.BytesIO()
         table = table.sort_by([("member", "ascending"), ("position", "ascending")])

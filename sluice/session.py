@@ -16,6 +16,7 @@ def build_session(master: str = "local[*]", app_name: str = "sluice", **override
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     settings.update(overrides)
     builder = SparkSession.builder.master(master).appName(app_name)
