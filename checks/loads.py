@@ -13,7 +13,7 @@ from sluice.operators.files import row_count
 from sluice.operators.tables import append_by_name, create_table, publish_view
 from sluice.plans import bronze, chain, control, discovery, silver
 from sluice.plans.standins import (TEXTS_PER_ARCHIVE, before_noon, delimited, document_lines, events_as_bronze,
-                                   order_lines, pack_archives)
+                                   report_lines, pack_archives)
 from sluice.session import new_folder
 from sluice.sources import archives, landing
 from sluice.streaming.silver_feed import feed_silver
@@ -38,59 +38,58 @@ def unique_names(*labels: str) -> list[str]:
 
 # --- archives ----------------------------------------------------------------------------------------------------
 
-ORDER_FILES_SQL = """
+REPORT_FILES_SQL = """
 WITH cells AS (
-  SELECT *, concat('orders_', o_orderkey // 5000) AS origem_zip, year(o_orderdate) >= 1997 AS newer,
-         CAST(o_totalprice AS VARCHAR) AS price, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS VARCHAR) END AS quota
-  FROM orders),
+  SELECT *, concat('reports_', event_id // 5000) AS origem_zip, day(ts) >= 10 AS newer, strftime(ts, '%Y-%m-%d') AS dt,
+         CAST(value AS VARCHAR) AS amount, CASE WHEN event_type <> 'error' THEN CAST(value AS VARCHAR) END AS quota,
+         CAST(user_id AS VARCHAR) AS users, CASE WHEN day(ts) >= 10 THEN concat('S', user_id) END AS subclass
+  FROM events),
 named AS (
-  SELECT *, concat('daily/', origem_zip, '_', year(o_orderdate), '_', o_orderstatus, '.csv') AS arquivo,
-         concat_ws(';', o_orderstatus, o_orderkey, CASE WHEN newer THEN o_orderpriority END,
-                   strftime(o_orderdate, '%Y-%m-%d'), price, coalesce(quota, ''), price, price, price, o_custkey) AS line,
-         CASE WHEN newer THEN length(' TP_FUNDO_CLASSE ;CNPJ_FUNDO_CLASSE;ID_SUBCLASSE;DT_COMPTC;VL_TOTAL;VL_QUOTA;VL_PATRIM_LIQ;CAPTC_DIA;RESG_DIA;NR_COTST')
-              ELSE length('TP_FUNDO;CNPJ_FUNDO;DT_COMPTC;VL_TOTAL;VL_QUOTA;VL_PATRIM_LIQ;CAPTC_DIA;RESG_DIA;NR_COTST') END AS header_size
+  SELECT *, concat('daily/', origem_zip, '_', dt, '_', event_type, '.csv') AS arquivo,
+         concat_ws(';', event_type, event_id, subclass, dt, amount, coalesce(quota, ''), amount, amount, amount, users) AS line,
+         CASE WHEN newer THEN ' TP_FUNDO_CLASSE ;CNPJ_FUNDO_CLASSE;ID_SUBCLASSE;DT_COMPTC;VL_TOTAL;VL_QUOTA;VL_PATRIM_LIQ;CAPTC_DIA;RESG_DIA;NR_COTST'
+              ELSE 'TP_FUNDO;CNPJ_FUNDO;DT_COMPTC;VL_TOTAL;VL_QUOTA;VL_PATRIM_LIQ;CAPTC_DIA;RESG_DIA;NR_COTST' END AS header
   FROM cells),
-rows_ AS (SELECT *, row_number() OVER (PARTITION BY arquivo ORDER BY o_orderkey) - 1 AS row_id FROM named),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY arquivo ORDER BY event_id) - 1 AS row_id FROM named),
 entries AS (
-  SELECT origem_zip, arquivo AS nome_arquivo, max(o_orderdate) AS data_modificacao,
-         CAST(max(header_size) + 1 + sum(length(line) + 1) AS BIGINT) AS tamanho_bytes,
-         concat(replace(split_part(arquivo, '/', -1), '.csv', ''), '_', strftime(max(o_orderdate), '%Y%m%d%H%M%S'), '.csv')
-           AS arquivo_ingestao
-  FROM rows_ GROUP BY origem_zip, arquivo)
+  SELECT origem_zip, arquivo AS nome_arquivo, date_trunc('hour', max(ts)) AS data_modificacao,
+         CAST(length(max(header)) + 1 + sum(length(line) + 1) AS BIGINT) AS tamanho_bytes,
+         concat(replace(split_part(arquivo, '/', -1), '.csv', ''), '_', strftime(date_trunc('hour', max(ts)), '%Y%m%d%H%M%S'),
+                '.csv') AS arquivo_ingestao
+  FROM numbered GROUP BY origem_zip, arquivo)
 """
 
 
-def landed_orders(spark: SparkSession, folder: str) -> str:
-    """A landing folder with the orders as archives."""
+def landed_reports(spark: SparkSession, folder: str) -> str:
+    """A landing folder with the events as archives of daily reports."""
     place = new_folder(spark, "landing")
-    pack_archives(order_lines(read(spark, folder, "orders")), place)
+    pack_archives(report_lines(read(spark, folder, "events")), place)
     return place
 
 
-@checked("SELECT DISTINCT concat('orders_', o_orderkey // 5000, '.zip') AS arquivo, TRUE AS dated, TRUE AS filled "
-         "FROM orders")
+@checked("SELECT DISTINCT concat('reports_', event_id // 5000, '.zip') AS arquivo, TRUE AS dated, TRUE AS filled "
+         "FROM events")
 def landing_manifest(spark, folder):
-    found = landing.landing_manifest(spark, landed_orders(spark, folder))
+    found = landing.landing_manifest(spark, landed_reports(spark, folder))
     return found.select("arquivo", F.col("data_modificacao").isNotNull().alias("dated"),
                         (F.col("length") > 0).alias("filled"))
 
 
-@checked(ORDER_FILES_SQL + "SELECT * FROM entries")
+@checked(REPORT_FILES_SQL + "SELECT * FROM entries")
 def archive_entries(spark, folder):
-    entries = archives.archive_entries(landing.landing_manifest(spark, landed_orders(spark, folder)))
+    entries = archives.archive_entries(landing.landing_manifest(spark, landed_reports(spark, folder)))
     return entries.select("origem_zip", "nome_arquivo", F.col("entry_mtime").alias("data_modificacao"),
                           "tamanho_bytes", "arquivo_ingestao")
 
 
-@checked(ORDER_FILES_SQL + """
-SELECT origem_zip, arquivo, row_id, o_orderstatus AS "TP_FUNDO", CAST(o_orderkey AS VARCHAR) AS "CNPJ_FUNDO",
-       strftime(o_orderdate, '%Y-%m-%d') AS "DT_COMPTC", price AS "VL_TOTAL", quota AS "VL_QUOTA",
-       price AS "VL_PATRIM_LIQ", price AS "CAPTC_DIA", price AS "RESG_DIA", CAST(o_custkey AS VARCHAR) AS "NR_COTST",
-       CASE WHEN newer THEN o_orderpriority END AS "ID_SUBCLASSE"
-FROM rows_
+@checked(REPORT_FILES_SQL + """
+SELECT origem_zip, arquivo, row_id, event_type AS "TP_FUNDO", CAST(event_id AS VARCHAR) AS "CNPJ_FUNDO",
+       dt AS "DT_COMPTC", amount AS "VL_TOTAL", quota AS "VL_QUOTA", amount AS "VL_PATRIM_LIQ", amount AS "CAPTC_DIA",
+       amount AS "RESG_DIA", users AS "NR_COTST", subclass AS "ID_SUBCLASSE"
+FROM numbered
 """)
 def archive_rows(spark, folder):
-    entries = archives.archive_entries(landing.landing_manifest(spark, landed_orders(spark, folder)))
+    entries = archives.archive_entries(landing.landing_manifest(spark, landed_reports(spark, folder)))
     rows = archives.archive_rows(entries, REPORT_COLUMNS + OPTIONAL_COLUMNS, REPORT_RENAMES)
     return archives.data_rows(rows).select("origem_zip", "arquivo", "row_id", *REPORT_COLUMNS, *OPTIONAL_COLUMNS)
 
@@ -105,16 +104,14 @@ def csv_decode(spark, folder):
                        F.col("n_chars").cast("bigint").alias("n_chars"), "text")
 
 
-@checked(ORDER_FILES_SQL + """
-, contents AS (SELECT arquivo, concat(
-    CASE WHEN max(header_size) > 90 THEN ' TP_FUNDO_CLASSE ;CNPJ_FUNDO_CLASSE;ID_SUBCLASSE;DT_COMPTC;VL_TOTAL;VL_QUOTA;VL_PATRIM_LIQ;CAPTC_DIA;RESG_DIA;NR_COTST'
-         ELSE 'TP_FUNDO;CNPJ_FUNDO;DT_COMPTC;VL_TOTAL;VL_QUOTA;VL_PATRIM_LIQ;CAPTC_DIA;RESG_DIA;NR_COTST' END,
-    chr(10), string_agg(line, chr(10) ORDER BY o_orderkey), chr(10)) AS text FROM rows_ GROUP BY arquivo)
+@checked(REPORT_FILES_SQL + """
+, contents AS (SELECT arquivo, concat(max(header), chr(10), string_agg(line, chr(10) ORDER BY event_id), chr(10)) AS text
+             FROM numbered GROUP BY arquivo)
 SELECT arquivo_ingestao, origem_zip, nome_arquivo, CAST(0 AS BIGINT) AS chunk_no, md5(text) AS content_md5
 FROM entries JOIN contents ON arquivo = nome_arquivo
 """)
 def landing_members(spark, folder):
-    entries = archives.archive_entries(landing.landing_manifest(spark, landed_orders(spark, folder)))
+    entries = archives.archive_entries(landing.landing_manifest(spark, landed_reports(spark, folder)))
     return archives.member_contents(entries).select("arquivo_ingestao", "origem_zip", "nome_arquivo", "chunk_no",
                                                     F.md5("content").alias("content_md5"))
 
@@ -171,9 +168,9 @@ def index_pages(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 # --- bronze ------------------------------------------------------------------------------------------------------
 
-def loaded_orders(spark: SparkSession, folder: str) -> bronze.BronzeTables:
+def loaded_reports(spark: SparkSession, folder: str) -> bronze.BronzeTables:
     """Bronze after two loads of the same landing folder; the second adds nothing."""
-    place = landed_orders(spark, folder)
+    place = landed_reports(spark, folder)
     tables = bronze.BronzeTables(*unique_names("bronze", "failures"))
     bronze.create_bronze(spark, tables, location=new_folder(spark, "tables"))
     bronze.load_bronze(spark, place, tables)
@@ -181,25 +178,23 @@ def loaded_orders(spark: SparkSession, folder: str) -> bronze.BronzeTables:
     return tables
 
 
-@checked(ORDER_FILES_SQL + """
-SELECT o_orderstatus AS "TP_FUNDO", CAST(o_orderkey AS VARCHAR) AS "CNPJ_FUNDO",
-       strftime(o_orderdate, '%Y-%m-%d') AS "DT_COMPTC", price AS "VL_TOTAL", quota AS "VL_QUOTA",
-       price AS "VL_PATRIM_LIQ", price AS "CAPTC_DIA", price AS "RESG_DIA", o_custkey AS "NR_COTST", arquivo,
-       CAST(year(o_orderdate) AS INT) AS ano, CAST(month(o_orderdate) AS INT) AS mes,
-       CASE WHEN newer THEN o_orderpriority END AS "ID_SUBCLASSE"
-FROM rows_ WHERE o_orderstatus <> 'P'
+@checked(REPORT_FILES_SQL + """
+SELECT event_type AS "TP_FUNDO", CAST(event_id AS VARCHAR) AS "CNPJ_FUNDO", dt AS "DT_COMPTC", amount AS "VL_TOTAL",
+       quota AS "VL_QUOTA", amount AS "VL_PATRIM_LIQ", amount AS "CAPTC_DIA", amount AS "RESG_DIA", user_id AS "NR_COTST",
+       arquivo, CAST(year(ts) AS INT) AS ano, CAST(month(ts) AS INT) AS mes, subclass AS "ID_SUBCLASSE"
+FROM numbered WHERE event_type <> 'error'
 """)
 def bronze_append(spark, folder):
-    return spark.table(loaded_orders(spark, folder).bronze).drop("data_modificacao")
+    return spark.table(loaded_reports(spark, folder).bronze).drop("data_modificacao")
 
 
-@checked(ORDER_FILES_SQL + """
+@checked(REPORT_FILES_SQL + """
 SELECT origem_zip, arquivo, row_id, 'VL_QUOTA' AS column_name, 'not_nullable' AS check_name,
        CAST(NULL AS VARCHAR) AS failure_case
-FROM rows_ WHERE o_orderstatus = 'P'
+FROM numbered WHERE event_type = 'error'
 """)
 def bronze_failures(spark, folder):
-    return spark.table(loaded_orders(spark, folder).failures).drop("data_modificacao")
+    return spark.table(loaded_reports(spark, folder).failures).drop("data_modificacao")
 
 
 @checked("SELECT * FROM orders")
@@ -246,54 +241,52 @@ def fed_silver(spark, folder):
 
 # --- control and chain -------------------------------------------------------------------------------------------
 
-@checked(ORDER_FILES_SQL + """
+@checked(REPORT_FILES_SQL + """
 SELECT nome_arquivo, data_modificacao, origem_zip, tamanho_bytes, arquivo_ingestao, CAST(NULL AS VARCHAR) AS fonte,
        CAST(NULL AS VARCHAR) AS situacao_arquivo
 FROM entries
 """)
 def control_append(spark, folder):
     """Control table after a load without one archive, one of all, and one more that adds nothing."""
-    found = landing.landing_manifest(spark, landed_orders(spark, folder))
+    found = landing.landing_manifest(spark, landed_reports(spark, folder))
     tables = control.ControlTables(*unique_names("control", "members"))
     control.create_control(spark, tables, location=new_folder(spark, "tables"))
-    for exclude in (["orders_0", "absent"], [], []):
+    for exclude in (["reports_0", "absent"], [], []):
         control.load_control(spark, found, tables, exclude)
     recorded = spark.table(tables.control)
     return recorded.withColumn("data_modificacao", F.col("data_modificacao").cast("timestamp_ntz"))
 
 
-def chained_orders(spark: SparkSession, folder: str) -> tuple[bronze.BronzeTables, silver.SilverTables]:
+def chained_reports(spark: SparkSession, folder: str) -> tuple[bronze.BronzeTables, silver.SilverTables]:
     """Tables after the chain has run twice, with archives that arrive in the first run."""
-    documents, orders = read(spark, folder, "documents"), read(spark, folder, "orders")
+    documents, events = read(spark, folder, "documents"), read(spark, folder, "events")
     pages, headers = index_pages(documents)
     place, landed = new_folder(spark, "tables"), new_folder(spark, "landing")
     raw = bronze.BronzeTables(*unique_names("bronze", "failures"))
     tables = silver.SilverTables(*unique_names("silver", "rejects"))
     bronze.create_bronze(spark, raw, location=place)
     silver.create_silver(spark, tables, location=place)
-    for fetch in (lambda plan: pack_archives(order_lines(orders), landed), lambda plan: None):
+    for fetch in (lambda plan: pack_archives(report_lines(events), landed), lambda plan: None):
         chain.run_chain(spark, pages, headers, landed, F.lit("index/"), raw, tables, fetch, f"{place}/feed")
     return raw, tables
 
 
 @checked("""
-SELECT o_orderstatus AS "TP_FUNDO", CAST(o_orderkey AS VARCHAR) AS "CNPJ_FUNDO",
-       CAST(o_orderdate AS DATE) AS "DT_COMPTC", CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(18,2)) AS "VL_TOTAL",
-       CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(18,2)) AS "VL_QUOTA",
-       CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(18,2)) AS "VL_PATRIM_LIQ",
-       CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(18,2)) AS "CAPTC_DIA",
-       CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(18,2)) AS "RESG_DIA"
-FROM orders WHERE o_orderstatus <> 'P'
+SELECT event_type AS "TP_FUNDO", CAST(event_id AS VARCHAR) AS "CNPJ_FUNDO", CAST(ts AS DATE) AS "DT_COMPTC",
+       CAST(CAST(value AS VARCHAR) AS DECIMAL(18,2)) AS "VL_TOTAL", CAST(CAST(value AS VARCHAR) AS DECIMAL(18,2)) AS "VL_QUOTA",
+       CAST(CAST(value AS VARCHAR) AS DECIMAL(18,2)) AS "VL_PATRIM_LIQ",
+       CAST(CAST(value AS VARCHAR) AS DECIMAL(18,2)) AS "CAPTC_DIA", CAST(CAST(value AS VARCHAR) AS DECIMAL(18,2)) AS "RESG_DIA"
+FROM events WHERE event_type <> 'error'
 """)
 def medallion_chain(spark, folder):
-    return spark.table(chained_orders(spark, folder)[1].silver).drop("DATA_MODIFICACAO")
+    return spark.table(chained_reports(spark, folder)[1].silver).drop("DATA_MODIFICACAO")
 
 
-@checked("SELECT 'bronze' AS tabela, count(*) AS row_count FROM orders WHERE o_orderstatus <> 'P' "
-         "UNION ALL SELECT 'silver', count(*) FROM orders WHERE o_orderstatus <> 'P'")
+@checked("SELECT 'bronze' AS tabela, count(*) AS row_count FROM events WHERE event_type <> 'error' "
+         "UNION ALL SELECT 'silver', count(*) FROM events WHERE event_type <> 'error'")
 def load_counts(spark, folder):
     """The row counts a load is checked by."""
-    raw, tables = chained_orders(spark, folder)
+    raw, tables = chained_reports(spark, folder)
     counts = [row_count(spark.table(table)).withColumn("tabela", F.lit(label))
               for label, table in (("bronze", raw.bronze), ("silver", tables.silver))]
     return counts[0].unionByName(counts[1])

@@ -18,7 +18,7 @@ ROWS_PER_ARCHIVE = 5000
 TEXTS_PER_ARCHIVE = 500
 PACKED = "archive STRING, members BIGINT"
 
-DRIFT_YEAR = 1997
+DRIFT_DAY = 10
 OLD_HEADER = ";".join(REPORT_COLUMNS)
 NEW_HEADER = ";".join([" TP_FUNDO_CLASSE ", "CNPJ_FUNDO_CLASSE", "ID_SUBCLASSE", *REPORT_COLUMNS[2:]])
 
@@ -57,26 +57,23 @@ def document_lines(documents: DataFrame) -> DataFrame:
         F.lit("doc_id;lang;source;n_chars;text").alias("header"), delimited(cells, quote_all=True).alias("line"))
 
 
-def order_lines(orders: DataFrame) -> DataFrame:
-    """Orders as daily-report files: bounded blocks as archives, a member per year and status, header drift with time.
+def report_lines(events: DataFrame) -> DataFrame:
+    """Events as daily-report files: bounded blocks as archives, a member per day and type, header drift with time.
 
-    Orders in process (status P) come without a quota.
+    Every event is a fund of its own. Events of type error come without a quota.
     """
-    block = F.floor(F.col("o_orderkey") / ROWS_PER_ARCHIVE).cast("string")
-    archive = F.concat(F.lit("orders_"), block)
-    price = F.col("o_totalprice").cast("string")
-    head = [F.col("o_orderstatus"), F.col("o_orderkey").cast("string")]
-    tail = [F.date_format("o_orderdate", "yyyy-MM-dd"), price,
-            F.when(F.col("o_orderstatus") == "P", "").otherwise(price), price, price, price,
-            F.col("o_custkey").cast("string")]
-    newer = F.year("o_orderdate") >= DRIFT_YEAR
-    return orders.select(
+    archive = F.concat(F.lit("reports_"), F.floor(F.col("event_id") / ROWS_PER_ARCHIVE).cast("string"))
+    day, amount = F.date_format("ts", "yyyy-MM-dd"), F.col("value").cast("string")
+    user = F.col("user_id").cast("string")
+    head = [F.col("event_type"), F.col("event_id").cast("string")]
+    tail = [day, amount, F.when(F.col("event_type") == "error", "").otherwise(amount), amount, amount, amount, user]
+    newer = F.dayofmonth("ts") >= DRIFT_DAY
+    return events.select(
         archive.alias("archive"),
-        F.concat(F.lit("daily/"), archive, F.lit("_"), F.year("o_orderdate").cast("string"), F.lit("_"),
-                 "o_orderstatus", F.lit(".csv")).alias("member"),
-        F.col("o_orderdate").alias("modified"), F.col("o_orderkey").alias("position"),
+        F.concat(F.lit("daily/"), archive, F.lit("_"), day, F.lit("_"), "event_type", F.lit(".csv")).alias("member"),
+        F.date_trunc("HOUR", "ts").alias("modified"), F.col("event_id").alias("position"),
         F.when(newer, NEW_HEADER).otherwise(OLD_HEADER).alias("header"),
-        F.when(newer, F.concat_ws(";", *head, F.col("o_orderpriority"), *tail))
+        F.when(newer, F.concat_ws(";", *head, F.concat(F.lit("S"), user), *tail))
         .otherwise(F.concat_ws(";", *head, *tail)).alias("line"))
 
 
