@@ -7,10 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.shapes import SILVER_SELECT, SILVER_SQL, http_text, read
+from checks.shapes import SILVER_SELECT, SILVER_SQL, http_text, order_files, read, utc_naive
 from sluice.layouts import OPTIONAL_COLUMNS, REPORT_COLUMNS, REPORT_RENAMES
 from sluice.operators.files import row_count
-from sluice.operators.tables import append_by_name, create_table, publish_view
+from sluice.operators.tables import append_by_name, append_unseen, create_table, publish_view
 from sluice.plans import bronze, chain, control, discovery, silver
 from sluice.plans.standins import (TEXTS_PER_ARCHIVE, before_noon, delimited, document_lines, events_as_bronze,
                                    report_lines, pack_archives)
@@ -134,7 +134,7 @@ def fetch_plan(spark, folder):
     place = new_folder(spark, "landing")
     pack_archives(document_files(documents.filter("lang <> 'en'")), place)
     plan = discovery.fetch_plan(spark, pages, headers, place, F.lit("index/"))
-    return plan.withColumn("data_modificacao", F.col("data_modificacao").cast("timestamp_ntz"))
+    return plan.withColumn("data_modificacao", utc_naive(F.col("data_modificacao")))
 
 
 def block_name():
@@ -197,6 +197,22 @@ def bronze_failures(spark, folder):
     return spark.table(loaded_reports(spark, folder).failures).drop("data_modificacao")
 
 
+@checked("""
+SELECT o_custkey AS arquivo, o_orderdate AS data_modificacao, o_orderkey, o_orderstatus FROM orders o
+WHERE o_orderstatus = 'F' OR NOT EXISTS (SELECT 1 FROM orders b WHERE b.o_orderstatus = 'F'
+      AND b.o_custkey = o.o_custkey AND b.o_orderdate = o.o_orderdate)
+""")
+def guarded_append(spark, folder):
+    """Finished orders, then the file versions they lack among all, then nothing more."""
+    rows = order_files(read(spark, folder, "orders"))
+    table, = unique_names("orders")
+    create_table(spark, table, "arquivo BIGINT, data_modificacao TIMESTAMP_NTZ, o_orderkey BIGINT, o_orderstatus STRING",
+                 location=new_folder(spark, "tables"))
+    for batch in (rows.filter("o_orderstatus = 'F'"), rows, rows):
+        append_unseen(batch, table, ["arquivo", "data_modificacao"])
+    return spark.table(table)
+
+
 @checked("SELECT * FROM orders")
 def bronze_view(spark, folder):
     """A table of one database seen from another."""

@@ -81,6 +81,11 @@ def page_headers(pages: DataFrame) -> DataFrame:
                         .alias("last_modified"))
 
 
+def utc_naive(instant):
+    """The UTC reading of an instant, whatever zone the session is in."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+
+
 def http_text(moment):
     return F.concat(F.date_format(moment, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT"))
 
@@ -94,7 +99,7 @@ WHERE ends_with(arquivo, '/de')
 def portal_listing(spark, folder):
     pages = read(spark, folder, "pages")
     listing = portal.portal_listing(portal.portal_links(pages, F.col("url"), "/de"), page_headers(pages))
-    return listing.withColumn("data_modificacao", F.col("data_modificacao").cast("timestamp_ntz"))
+    return listing.withColumn("data_modificacao", utc_naive(F.col("data_modificacao")))
 
 
 # --- scalar functions --------------------------------------------------------------------------------------------
@@ -112,7 +117,7 @@ def http_dates(spark, folder):
     text = (F.when(kind == "error", F.col("props")).when(kind == "signup", None)
             .when(kind == "view", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).otherwise(http_text(F.col("ts"))))
     return read(spark, folder, "events").select(
-        "event_id", http_last_modified(text).cast("timestamp_ntz").alias("data_modificacao"))
+        "event_id", utc_naive(http_last_modified(text)).alias("data_modificacao"))
 
 FILE_NAMES_SQL = r"""
 WITH names AS (
@@ -164,14 +169,16 @@ def ingest_names(spark, folder):
 SELECT l_orderkey, l_linenumber, l_partkey,
        TRY_CAST(CAST(l_extendedprice * l_discount AS VARCHAR) AS DECIMAL(18,2)) AS discounted,
        TRY_CAST(CAST(l_tax AS VARCHAR) AS DECIMAL(18,2)) AS tax,
-       TRY_CAST(l_returnflag AS DECIMAL(18,2)) AS not_a_number
+       TRY_CAST(CASE WHEN l_discount = 0 THEN l_returnflag ELSE CAST(l_discount AS VARCHAR) END AS DECIMAL(18,2)) AS discount
 FROM lineitem
 """)
 def decimal_cast(spark, folder):
     product = (F.col("l_extendedprice") * F.col("l_discount")).cast("string")
+    sometimes_no_number = F.when(F.col("l_discount") == 0, F.col("l_returnflag")).otherwise(
+        F.col("l_discount").cast("string"))
     return read(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", to_decimal(product).alias("discounted"),
-        to_decimal(F.col("l_tax").cast("string")).alias("tax"), to_decimal(F.col("l_returnflag")).alias("not_a_number"))
+        to_decimal(F.col("l_tax").cast("string")).alias("tax"), to_decimal(sometimes_no_number).alias("discount"))
 
 
 DECIMAL_COMMA_SQL = """

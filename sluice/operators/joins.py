@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sluice.session import shared_folder
@@ -24,18 +24,21 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def measured_bytes(settled: DataFrame) -> int:
-    """Size of a settled frame, counted as text."""
-    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in settled.columns), F.lit(0))
-    return settled.agg(F.coalesce(F.sum(width + F.lit(ROW_OVERHEAD_BYTES)), F.lit(0))).first()[0]
+def settle_measured(df: DataFrame) -> tuple[DataFrame, int]:
+    """As :func:`settle`, with the size of the frame, counted as text while it is written."""
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns),
+                F.lit(ROW_OVERHEAD_BYTES))
+    size = Observation()
+    settled = settle(df.observe(size, F.sum(width.cast("bigint")).alias("bytes")))
+    return settled, size.get["bytes"] or 0
 
 
 def lookup_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str,
                 max_broadcast_bytes: int | None = None) -> DataFrame:
     """Join rows to a lookup that has at most one row per key, on equality of the ``on`` columns."""
     bound = MAX_BROADCAST_BYTES if max_broadcast_bytes is None else max_broadcast_bytes
-    lookup = settle(lookup)
-    if measured_bytes(lookup) <= bound:
+    lookup, size = settle_measured(lookup)
+    if size <= bound:
         lookup = F.broadcast(lookup)
     return rows.join(lookup, list(on), how)
 

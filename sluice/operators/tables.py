@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.operators.files import new_rows
+
+log = logging.getLogger(__name__)
+
 
 def create_table(spark: SparkSession, name: str, columns: str, partition_by: Sequence[str] = (),
                  table_format: str = "parquet", location: str | None = None) -> None:
@@ -15,6 +20,12 @@ def create_table(spark: SparkSession, name: str, columns: str, partition_by: Seq
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {table_format} {partitions} {place}")
 
 
+def current_table(spark: SparkSession, name: str) -> DataFrame:
+    """The table as it is now, whatever listing of its files the session remembers: another one may have appended."""
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def append_by_name(df: DataFrame, table: str, cluster_by: Sequence[str] = ()) -> None:
     """Append rows; columns are matched by name and those the frame lacks become null.
 
@@ -26,6 +37,16 @@ def append_by_name(df: DataFrame, table: str, cluster_by: Sequence[str] = ()) ->
     df.sparkSession.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {{rows}}", rows=df)
 
 
+def append_unseen(rows: DataFrame, table: str, version: Sequence[str], cluster_by: Sequence[str] = ()) -> bool:
+    """Append the rows whose file version the table lacks; nothing is written, and false returned, when there are none."""
+    fresh = new_rows(rows, current_table(rows.sparkSession, table), version)
+    if fresh.isEmpty():
+        log.info("no new rows for %s", table)
+        return False
+    append_by_name(fresh, table, cluster_by)
+    return True
+
+
 def publish_view(spark: SparkSession, view: str, table: str) -> DataFrame:
     """Make a table of one layer visible in another."""
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table}")

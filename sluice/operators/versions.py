@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,15 +35,12 @@ def latest_version(rows: DataFrame, keys: Sequence[str], version: str, tie_break
 
 def complete_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows without a null in any key."""
-    return rows.dropna("any", subset=list(keys))
+    return rows.filter(reduce(and_, (F.col(key).isNotNull() for key in keys)))
 
 
 def incomplete_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows with a null in some key; they could never be matched with loaded ones."""
-    lacking = F.lit(False)
-    for key in keys:
-        lacking = lacking | F.col(key).isNull()
-    return rows.filter(lacking)
+    return rows.filter(reduce(or_, (F.col(key).isNull() for key in keys)))
 
 
 def unseen_versions(candidates: DataFrame, loaded: DataFrame, keys: Sequence[str]) -> DataFrame:

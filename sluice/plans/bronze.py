@@ -12,7 +12,7 @@ from sluice import layouts
 from sluice.functions.dates import period_columns
 from sluice.operators.files import loaded_files, new_rows
 from sluice.operators.quality import accepted_rows, failure, missing_columns, value_failures
-from sluice.operators.tables import append_by_name, create_table
+from sluice.operators.tables import append_by_name, create_table, current_table
 from sluice.session import new_folder
 from sluice.sources.archives import archive_entries, archive_rows, data_rows, member_rows
 from sluice.sources.landing import landing_manifest
@@ -42,7 +42,7 @@ def create_bronze(spark: SparkSession, tables: BronzeTables, table_format: str =
 def bronze_projection(rows: DataFrame) -> DataFrame:
     """Checked rows in the layout of the bronze table, lineage and period columns included."""
     return rows.select(
-        *(F.col(rule.column).cast("bigint").alias(rule.column) if rule.kind == "bigint" else F.col(rule.column)
+        *(F.col(rule.column).try_cast(rule.kind).alias(rule.column) if rule.kind != "string" else F.col(rule.column)
           for rule in layouts.REPORT_RULES),
         "arquivo", "data_modificacao",
         *(c.alias(n) for n, c in period_columns(F.col("DT_COMPTC")).items()), *layouts.OPTIONAL_COLUMNS)
@@ -50,12 +50,9 @@ def bronze_projection(rows: DataFrame) -> DataFrame:
 
 def unseen_members(spark: SparkSession, tables: BronzeTables, entries: DataFrame) -> DataFrame:
     """Members whose (name, archive time) is neither loaded nor already rejected."""
-    version = list(layouts.FILE_VERSION)
-    members = entries.withColumns({"member": F.col("nome_arquivo"), "landed": F.col("archive_mtime")})
-    for table in (tables.bronze, tables.failures):
-        known = loaded_files(spark.table(table), version).toDF("member", "landed")
-        members = new_rows(members, known, ["member", "landed"])
-    return members.drop("member", "landed")
+    known = [loaded_files(current_table(spark, table), layouts.FILE_VERSION) for table in (tables.bronze, tables.failures)]
+    version = ["nome_arquivo", "archive_mtime"]
+    return new_rows(entries, known[0].union(known[1]).toDF(*version), version).select(*entries.columns)
 
 
 def report_failures(staged: DataFrame) -> DataFrame:
@@ -86,6 +83,6 @@ def load_bronze(spark: SparkSession, landing: str, tables: BronzeTables, suffix:
         log.info("nothing new in %s", landing)
         return False
     append_by_name(report_failures(staged), tables.failures)
-    good = accepted_rows(data_rows(staged), spark.table(tables.failures), FILE)
+    good = accepted_rows(data_rows(staged), current_table(spark, tables.failures), FILE)
     append_by_name(bronze_projection(good), tables.bronze)
     return True

@@ -12,7 +12,7 @@ from sluice import layouts
 from sluice.operators.files import members_to_extract, new_rows
 from sluice.operators.joins import settle
 from sluice.operators.manifest import exclude_names
-from sluice.operators.tables import append_by_name, create_table
+from sluice.operators.tables import append_by_name, create_table, current_table
 from sluice.sources.archives import archive_entries, member_contents
 
 
@@ -39,12 +39,12 @@ def load_control(spark: SparkSession, manifest: DataFrame, tables: ControlTables
     """Land the members that are not recorded yet, then record them, in one append after all have landed."""
     version = list(layouts.MEMBER_VERSION)
     entries = settle(exclude_names(archive_entries(manifest), exclude, "origem_zip"))
-    unseen = settle(new_rows(member_metadata(entries), spark.table(tables.control), version))
+    unseen = settle(new_rows(member_metadata(entries), current_table(spark, tables.control), version))
 
     dated = entries.withColumn("data_modificacao", F.col("entry_mtime").cast("timestamp"))
     wanted = members_to_extract(dated, unseen, version)
     # A run that broke off between the two appends has landed members it did not record.
-    wanted = new_rows(wanted, spark.table(tables.members), ["arquivo_ingestao", "origem_zip", *version])
+    wanted = new_rows(wanted, current_table(spark, tables.members), ["arquivo_ingestao", "origem_zip", *version])
     contents = member_contents(wanted.drop("data_modificacao"))
     append_by_name(contents.withColumn("data_modificacao", F.col("entry_mtime").cast("timestamp")).drop("entry_mtime"),
                    tables.members)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sluice import layouts
 from sluice.functions.dates import coerce_date
-from sluice.operators.tables import append_by_name, create_table
+from sluice.operators.tables import append_by_name, create_table, current_table
 from sluice.operators.versions import (complete_keys, incomplete_keys, latest_version, typed_projection,
                                        unseen_versions)
 
@@ -87,7 +87,7 @@ def load_silver(spark: SparkSession, bronze_table: str, tables: SilverTables, mo
     ``months`` limits both tables to the months that changed. The month follows from a ranking key, so what is added
     for them is the same as in a load of everything.
     """
-    bronze, silver = spark.table(bronze_table), spark.table(tables.silver)
+    bronze, silver = current_table(spark, bronze_table), current_table(spark, tables.silver)
     if months is not None:
         months = list(months)
         bronze = bronze.filter(in_months(months))
@@ -95,7 +95,7 @@ def load_silver(spark: SparkSession, bronze_table: str, tables: SilverTables, mo
     candidates = silver_candidates(bronze, extra_keys, scale)
     new = unseen_versions(candidates, silver, (*layouts.SILVER_KEYS, *extra_keys, VERSION))
     append_by_name(new, tables.silver, cluster_by=["DT_COMPTC"])
-    append_by_name(silver_rejects(bronze).subtract(spark.table(tables.rejects)), tables.rejects)
+    append_by_name(silver_rejects(bronze).subtract(current_table(spark, tables.rejects)), tables.rejects)
 
 
 def silver_current(silver: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:

@@ -26,7 +26,7 @@ NEW_HEADER = ";".join([" TP_FUNDO_CLASSE ", "CNPJ_FUNDO_CLASSE", "ID_SUBCLASSE",
 def events_as_bronze(events: DataFrame) -> DataFrame:
     """Events as daily-report rows: user is the fund, the event's day the report date, its time the version."""
     amount = F.col("value").cast("string")
-    day = F.date_format("ts", "yyyy-MM-dd")
+    day = F.col("ts").cast("date").cast("string")
     return events.select(
         F.col("event_type").alias("TP_FUNDO"), F.col("user_id").cast("string").alias("CNPJ_FUNDO"),
         day.alias("DT_COMPTC"), amount.alias("VL_TOTAL"), amount.alias("VL_QUOTA"), amount.alias("VL_PATRIM_LIQ"),
@@ -63,7 +63,7 @@ def report_lines(events: DataFrame) -> DataFrame:
     Every event is a fund of its own. Events of type error come without a quota.
     """
     archive = F.concat(F.lit("reports_"), F.floor(F.col("event_id") / ROWS_PER_ARCHIVE).cast("string"))
-    day, amount = F.date_format("ts", "yyyy-MM-dd"), F.col("value").cast("string")
+    day, amount = F.col("ts").cast("date").cast("string"), F.col("value").cast("string")
     user = F.col("user_id").cast("string")
     head = [F.col("event_type"), F.col("event_id").cast("string")]
     tail = [day, amount, F.when(F.col("event_type") == "error", "").otherwise(amount), amount, amount, amount, user]

@@ -32,7 +32,7 @@ ZIP_EPOCH = datetime(1980, 1, 1)
 SCHEME_ALIASES = {"s3a": "s3", "s3n": "s3"}
 
 ENTRY = ("path STRING, arquivo STRING, archive_mtime TIMESTAMP, entry_no BIGINT, nome_arquivo STRING, "
-         "entry_mtime TIMESTAMP_NTZ, tamanho_bytes BIGINT")
+         "entry_mtime TIMESTAMP_NTZ, tamanho_bytes BIGINT, bytes_before BIGINT")
 
 
 def open_path(path: str) -> tuple[pa_fs.FileSystem, str]:
@@ -69,7 +69,9 @@ def _list_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             columns["entry_no"] = pa.array(range(len(infos)), pa.int64())
             columns["nome_arquivo"] = pa.array([info.filename for info in infos], pa.string())
             columns["entry_mtime"] = pa.array([_entry_time(info) for info in infos], pa.timestamp("us"))
-            columns["tamanho_bytes"] = pa.array([info.file_size for info in infos], pa.int64())
+            sizes = np.array([info.file_size for info in infos], dtype=np.int64)
+            columns["tamanho_bytes"] = pa.array(sizes)
+            columns["bytes_before"] = pa.array(np.cumsum(sizes) - sizes)
             yield pa.RecordBatch.from_pydict(columns)
 
 
@@ -85,12 +87,15 @@ def archive_entries(manifest: DataFrame) -> DataFrame:
 
 
 def spread_members(entries: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
-    """File members, folders left out, spread over as many tasks as their sizes ask for."""
+    """File members, folders left out, spread over tasks by size.
+
+    Neighbours in an archive go together up to ``task_bytes``, so that many small members share one opening of it; a
+    large member is on its own.
+    """
     members = settle(entries.filter(~F.col("nome_arquivo").endswith("/")))
-    total, count = members.agg(F.coalesce(F.sum("tamanho_bytes"), F.lit(0)), F.count(F.lit(1))).first()
-    wanted = max(total // task_bytes + 1, members.sparkSession.sparkContext.defaultParallelism)
-    return (members.repartition(max(1, min(wanted, count)), "path", "entry_no")
-            .sortWithinPartitions("path", "entry_no"))
+    stretch = F.floor(F.col("bytes_before") / task_bytes).alias("stretch")
+    stretches = members.select("path", stretch).distinct().count()
+    return members.repartition(max(1, stretches), "path", stretch).sortWithinPartitions("path", "entry_no")
 
 
 def _each_member(batches: Iterator[pa.RecordBatch], read: Callable) -> Iterator[pa.RecordBatch]:
@@ -103,7 +108,10 @@ def _each_member(batches: Iterator[pa.RecordBatch], read: Callable) -> Iterator[
                     if archive is not None:
                         archive.close()
                     path, archive = entry["path"], open_archive(entry["path"])
-                with archive.open(archive.infolist()[entry["entry_no"]]) as member:
+                info = archive.infolist()[entry["entry_no"]]
+                if info.filename != entry["nome_arquivo"]:
+                    raise RuntimeError(f"{path} was replaced while it was being read")
+                with archive.open(info) as member:
                     yield from read(entry, member)
     finally:
         if archive is not None:

@@ -21,7 +21,8 @@ def feed_silver(spark: SparkSession, bronze_table: str, tables: SilverTables, ch
         # Two partition columns: as many rows as there are months, and no data column is read.
         months = [(row.ano, row.mes) for row in batch.select("ano", "mes").distinct().collect()]
         if months:
-            load_silver(batch.sparkSession, bronze_table, tables, months, extra_keys)
+            # In the caller's session: the stream has one of its own, and the caller's would not learn of the new files.
+            load_silver(spark, bronze_table, tables, months, extra_keys)
 
     query = (spark.readStream.table(bronze_table).writeStream.foreachBatch(load_changed)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
