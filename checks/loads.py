@@ -235,9 +235,10 @@ def loaded_events(spark: SparkSession, folder: str, load) -> DataFrame:
     tables = silver.SilverTables(*unique_names("silver", "rejects"))
     bronze.create_bronze(spark, raw, location=place)
     silver.create_silver(spark, tables, location=place)
-    for batch in (before_noon(events), events.filter(F.hour("data_modificacao") >= 12), events.limit(0)):
+    for batch in (before_noon(events), events.filter(F.hour("data_modificacao") >= 12)):
         append_by_name(batch, raw.bronze)
         load(spark, raw.bronze, tables, place)
+    load(spark, raw.bronze, tables, place)
     return spark.table(tables.silver).withColumn("DATA_MODIFICACAO", F.col("DATA_MODIFICACAO").cast("timestamp_ntz"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
@@ -14,11 +14,12 @@ from sluice.functions.numbers import to_decimal
 
 
 def typed_projection(rows: DataFrame, texts: Mapping[str, Column], dates: Mapping[str, Column],
-                     amounts: Mapping[str, Column], version: tuple[str, Column], scale: int = 2) -> DataFrame:
+                     amounts: Mapping[str, Column], version: tuple[str, Column],
+                     number: Callable[[Column], Column] = to_decimal) -> DataFrame:
     """Named texts, dates, fixed-point amounts and the version column; what cannot be read becomes null."""
     return rows.select(*(c.alias(n) for n, c in texts.items()),
                        *(coerce_date(c).alias(n) for n, c in dates.items()),
-                       *(to_decimal(c, scale).alias(n) for n, c in amounts.items()),
+                       *(number(c).alias(n) for n, c in amounts.items()),
                        version[1].alias(version[0]))
 
 

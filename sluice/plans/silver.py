@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sluice import layouts
 from sluice.functions.dates import coerce_date
+from sluice.functions.numbers import decimal_comma
 from sluice.operators.tables import append_by_name, create_table, current_table
 from sluice.operators.versions import (complete_keys, incomplete_keys, latest_version, typed_projection,
                                        unseen_versions)
@@ -38,7 +39,7 @@ def with_day(bronze: DataFrame) -> DataFrame:
 
 
 def silver_candidates(bronze: DataFrame, extra_keys: Sequence[str] = (), scale: int = 2) -> DataFrame:
-    """Latest version per fund, type and date text, typed.
+    """Latest version per fund, type and date text, typed; amounts may have a decimal point or comma.
 
     Rows that lack a key are left out, before the ranking: what they lack is part of the partition they would rank in.
     """
@@ -47,7 +48,7 @@ def silver_candidates(bronze: DataFrame, extra_keys: Sequence[str] = (), scale:
     newest = latest_version(rankable, keys, "data_modificacao", [c for c in TIE_BREAK if c not in extra_keys])
     return typed_projection(newest, {c: F.col(c) for c in ("TP_FUNDO", "CNPJ_FUNDO", *extra_keys)},
                             {"DT_COMPTC": F.col("DT_COMPTC")}, {c: F.col(c) for c in layouts.AMOUNT_COLUMNS},
-                            (VERSION, F.col("data_modificacao")), scale)
+                            (VERSION, F.col("data_modificacao")), lambda amount: decimal_comma(amount, scale))
 
 
 def silver_rejects(bronze: DataFrame) -> DataFrame:

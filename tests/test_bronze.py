@@ -136,6 +136,11 @@ def test_checks_of_loose_rows(spark):
     assert tuples(everything.filter("check_name = 'column_in_dataframe'"), "arquivo") == [("f1",), ("f2",), ("f3",)]
 
 
+def test_rules_that_allow_everything(spark):
+    rows = spark.createDataFrame([("f1", 1, None)], "arquivo STRING, id INT, a STRING")
+    assert schema_failures(rows, [Rule("a", nullable=True)], ["arquivo"], "id").count() == 0
+
+
 def test_guarded_append(spark, names, tmp_path):
     table, = names("rows")
     create_table(spark, table, "arquivo STRING, v INT, extra STRING", location=str(tmp_path / "rows"))

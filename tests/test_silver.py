@@ -76,6 +76,11 @@ def test_sub_classes_can_be_keys(spark):
     assert tuples(found, "ID_SUBCLASSE", "VL_QUOTA") == [("S1", Decimal("1.00")), ("S2", Decimal("2.00"))]
 
 
+def test_amounts_with_a_comma(spark):
+    assert tuples(silver_candidates(bronze_rows(spark, [("1", "2025-01-02", "1234,565", 1)])), "VL_QUOTA") == [
+        (Decimal("1234.57"),)]
+
+
 def random_rows(seed, count=300):
     rng = random.Random(seed)
     rows = []
