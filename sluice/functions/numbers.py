@@ -13,4 +13,4 @@ def to_decimal(text: Column, scale: int = 2, precision: int = 18) -> Column:
 
 def decimal_comma(text: Column, scale: int = 2, precision: int = 18) -> Column:
     """As :func:`to_decimal`, for a text with a decimal comma."""
-    return to_decimal(F.translate(text, ",", "."), scale, precision)
+    return to_decimal(F.replace(text, F.lit(","), F.lit(".")), scale, precision)

@@ -67,8 +67,10 @@ def value_failures(rows: DataFrame, rules: Sequence[Rule], file_columns: Sequenc
     present = {name.lower() for name in rows.columns}
     never = failure(F.lit(False), F.lit(None), "", F.lit(None).cast("string"))  # gives an empty list its type
     checks = [check for rule in rules if rule.column.lower() in present for check in _violations(rule, absent)]
-    failures = F.array_compact(F.array(never, *checks, *extra))
-    return (rows.select(*file_columns, F.col(row_id).cast("bigint").alias("row_id"), F.explode(failures).alias("f"))
+    checks = [never, *checks, *extra]
+    broken = rows.filter(F.coalesce(*checks).isNotNull())  # lists are built for these only
+    return (broken.select(*file_columns, F.col(row_id).cast("bigint").alias("row_id"),
+                          F.explode(F.array_compact(F.array(*checks))).alias("f"))
             .select(*file_columns, "row_id", "f.*"))
 
 

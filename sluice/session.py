@@ -15,6 +15,8 @@ def build_session(master: str = "local[*]", app_name: str = "sluice", **override
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Loads write few partitions per task: keep their files open instead of sorting all rows by partition first.
+        "spark.sql.maxConcurrentOutputFileWriters": "8",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

@@ -28,6 +28,7 @@ READ_BUFFER = 1 << 20
 CSV_BLOCK = 16 << 20
 CONTENT_CHUNK = 4 << 20
 TASK_BYTES = 128 << 20
+TASK_MEMBERS = 10_000
 ZIP_EPOCH = datetime(1980, 1, 1)
 SCHEME_ALIASES = {"s3a": "s3", "s3n": "s3"}
 
@@ -86,36 +87,32 @@ def archive_entries(manifest: DataFrame) -> DataFrame:
             .withColumn("arquivo_ingestao", ingest_name(F.col("nome_arquivo"), F.col("entry_mtime"))))
 
 
-def spread_members(entries: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
-    """File members, folders left out, spread over tasks by size.
+def spread_members(entries: DataFrame, columns: Sequence[str], task_bytes: int = TASK_BYTES) -> DataFrame:
+    """File members, folders left out, as one row per stretch of an archive and task: ``path`` and ``members``.
 
     Neighbours in an archive go together up to ``task_bytes``, so that many small members share one opening of it; a
-    large member is on its own.
+    large member is on its own. Ranges over the stretches give every task the same number of them.
     """
-    members = settle(entries.filter(~F.col("nome_arquivo").endswith("/")))
-    stretch = F.floor(F.col("bytes_before") / task_bytes).alias("stretch")
-    stretches = members.select("path", stretch).distinct().count()
-    return members.repartition(max(1, stretches), "path", stretch).sortWithinPartitions("path", "entry_no")
+    files = entries.filter(~F.col("nome_arquivo").endswith("/"))
+    stretches = settle(files.groupBy("path", F.floor(F.col("bytes_before") / task_bytes).alias("stretch"),
+                                     F.floor(F.col("entry_no") / TASK_MEMBERS).alias("block"))
+                       .agg(F.sort_array(F.collect_list(F.struct("entry_no", *columns))).alias("members")))
+    return (stretches.repartitionByRange(max(1, stretches.count()), "path", "stretch", "block")
+            .select("path", "members"))
 
 
 def _each_member(batches: Iterator[pa.RecordBatch], read: Callable) -> Iterator[pa.RecordBatch]:
-    """Open every listed member and pass it on; an archive stays open while its members follow each other."""
-    path, archive = None, None
-    try:
-        for batch in batches:
-            for entry in batch.to_pylist():
-                if entry["path"] != path:
-                    if archive is not None:
-                        archive.close()
-                    path, archive = entry["path"], open_archive(entry["path"])
-                info = archive.infolist()[entry["entry_no"]]
-                if info.filename != entry["nome_arquivo"]:
-                    raise RuntimeError(f"{path} was replaced while it was being read")
-                with archive.open(info) as member:
-                    yield from read(entry, member)
-    finally:
-        if archive is not None:
-            archive.close()
+    """Open every listed member and pass it on."""
+    for batch in batches:
+        for stretch in batch.to_pylist():
+            with open_archive(stretch["path"]) as archive:
+                infos = archive.infolist()
+                for entry in stretch["members"]:
+                    info = infos[entry["entry_no"]]
+                    if info.filename != entry["nome_arquivo"]:
+                        raise RuntimeError(f"{stretch['path']} was replaced while it was being read")
+                    with archive.open(info) as member:
+                        yield from read(entry, member)
 
 
 def _read_header(member, encoding: str, sep: str) -> list[str]:
@@ -179,12 +176,12 @@ def archive_rows(entries: DataFrame, columns: Sequence[str], renames: Mapping[st
 
         def batch(row_ids: pa.Array, surplus: pa.Array, cells: Mapping[str, pa.Array]) -> pa.RecordBatch:
             size = len(row_ids)
-            data = {"origem_zip": pa.array([entry["origem_zip"]] * size, pa.string()),
-                    "arquivo": pa.array([entry["nome_arquivo"]] * size, pa.string()),
-                    "archive_mtime": pa.array([entry["archive_mtime"]] * size, pa.timestamp("us", tz="UTC")),
-                    "entry_mtime": pa.array([entry["entry_mtime"]] * size, pa.timestamp("us")),
+            data = {"origem_zip": pa.repeat(pa.scalar(entry["origem_zip"], pa.string()), size),
+                    "arquivo": pa.repeat(pa.scalar(entry["nome_arquivo"], pa.string()), size),
+                    "archive_mtime": pa.repeat(pa.scalar(entry["archive_mtime"], pa.timestamp("us", tz="UTC")), size),
+                    "entry_mtime": pa.repeat(pa.scalar(entry["entry_mtime"], pa.timestamp("us")), size),
                     "row_id": row_ids, "surplus": surplus,
-                    "absent": pa.array([absent] * size, pa.list_(pa.string()))}
+                    "absent": pa.repeat(pa.scalar(absent, pa.list_(pa.string())), size)}
             data.update({name: cells.get(name, pa.nulls(size, pa.string())) for name in columns})
             return pa.RecordBatch.from_pydict(data)
 
@@ -199,8 +196,7 @@ def archive_rows(entries: DataFrame, columns: Sequence[str], renames: Mapping[st
 
     schema = ("origem_zip STRING, arquivo STRING, archive_mtime TIMESTAMP, entry_mtime TIMESTAMP_NTZ, row_id BIGINT, "
               "surplus BIGINT, absent ARRAY<STRING>, " + ", ".join(f"`{name}` STRING" for name in columns))
-    members = spread_members(entries, task_bytes).select("path", "entry_no", "origem_zip", "nome_arquivo",
-                                                         "archive_mtime", "entry_mtime")
+    members = spread_members(entries, ["origem_zip", "nome_arquivo", "archive_mtime", "entry_mtime"], task_bytes)
     return members.mapInArrow(lambda batches: _each_member(batches, read), schema)
 
 
@@ -227,8 +223,7 @@ def member_contents(entries: DataFrame, task_bytes: int = TASK_BYTES) -> DataFra
             if not content:
                 break
 
-    members = spread_members(entries, task_bytes).select("path", "entry_no", "arquivo_ingestao", "origem_zip",
-                                                         "nome_arquivo", "entry_mtime")
+    members = spread_members(entries, ["arquivo_ingestao", "origem_zip", "nome_arquivo", "entry_mtime"], task_bytes)
     return members.mapInArrow(lambda batches: _each_member(batches, read),
                               "arquivo_ingestao STRING, origem_zip STRING, nome_arquivo STRING, "
                               "entry_mtime TIMESTAMP_NTZ, chunk_no BIGINT, content BINARY")
