@@ -122,37 +122,76 @@ def _read_header(member, encoding: str, sep: str) -> list[str]:
     return []
 
 
+class _Prefixed(io.RawIOBase):
+    """A stream with some bytes put before it."""
+
+    def __init__(self, prefix: bytes, stream):
+        self.prefix, self.stream = prefix, stream
+
+    def readable(self) -> bool:
+        return True
+
+    def read(self, size: int = -1) -> bytes:
+        if self.prefix:
+            prefix, self.prefix = self.prefix, b""
+            return prefix
+        return self.stream.read(size)
+
+
+Cells = tuple[np.ndarray, pa.Array, list[pa.Array]]
+
+
 def _read_table(member, raw_names: list[str], wanted: list[str], encoding: str, sep: str, missing: Sequence[str]
-                ) -> Iterator[tuple[np.ndarray, pa.Array, list[pa.Array]]]:
-    """Batches of row numbers, numbers of surplus fields, and the wanted columns as text."""
+                ) -> Iterator[Cells]:
+    """Batches of row numbers, numbers of surplus fields, and the wanted columns as text.
+
+    Rows are numbered from 0 in file order. The reader sets irregular rows aside; they are passed on after every block,
+    so that no more of them than a block holds are kept. It starts with a row of our own, numbered -1, because it would
+    read on to the first regular one before it gives anything.
+    """
     irregular: list[pa_csv.InvalidRow] = []
 
     def set_aside(row: pa_csv.InvalidRow) -> str:
         irregular.append(row)
         return "skip"
 
+    first = (sep.join(['""'] * len(raw_names)) + "\n").encode(encoding)
     reader = pa_csv.open_csv(
-        member,
+        _Prefixed(first, member),
         read_options=pa_csv.ReadOptions(column_names=raw_names, encoding=encoding, use_threads=False,
                                         block_size=CSV_BLOCK),
         parse_options=pa_csv.ParseOptions(delimiter=sep, newlines_in_values=True, invalid_row_handler=set_aside),
         convert_options=pa_csv.ConvertOptions(column_types={name: pa.string() for name in raw_names},
                                               include_columns=wanted, null_values=list(missing),
                                               strings_can_be_null=True, quoted_strings_can_be_null=True))
-    position = 0
+    position, taken = -1, np.empty(0, dtype=np.int64)
     for batch in reader:
-        # Rows are numbered from 0 in file order; irregular ones took numbers of their own.
-        taken = np.array([row.number - 1 for row in irregular], dtype=np.int64)
+        drained = irregular.copy()
+        irregular.clear()
+        # The reader may be a block ahead, so numbers of irregular rows are kept until they are passed.
+        taken = np.concatenate([taken, np.array([row.number - 2 for row in drained], dtype=np.int64)])
         numbers = np.setdiff1d(np.arange(position, position + batch.num_rows + len(taken)), taken)[:batch.num_rows]
-        if batch.num_rows:
+        if len(numbers):
+            taken = taken[taken > numbers[-1]]
+            skipped = 1 if position == -1 else 0
             position = int(numbers[-1]) + 1
-            yield numbers, pa.nulls(batch.num_rows, pa.int64()), batch.columns
-    for row in irregular:
-        fields = next(csv.reader(io.StringIO(row.text, newline=""), delimiter=sep))
-        cells = dict(zip(raw_names, (None if text in missing else text for text in fields)))
-        surplus = max(row.actual_columns - len(raw_names), 0) or None
-        yield (np.array([row.number - 1]), pa.array([surplus], pa.int64()),
-               [pa.array([cells.get(name)], pa.string()) for name in wanted])
+            if len(numbers) > skipped:
+                yield (numbers[skipped:], pa.nulls(len(numbers) - skipped, pa.int64()),
+                       [column.slice(skipped) for column in batch.columns])
+        passed = int(np.sum(taken == position + np.arange(len(taken))))
+        position, taken = position + passed, taken[passed:]
+        if drained:
+            yield _irregular_cells(drained, raw_names, wanted, sep, missing)
+
+
+def _irregular_cells(rows: Sequence[pa_csv.InvalidRow], raw_names: list[str], wanted: list[str], sep: str,
+                     missing: Sequence[str]) -> Cells:
+    """Rows with too few fields, filled up, or with too many, counted."""
+    fields = [dict(zip(raw_names, next(csv.reader(io.StringIO(row.text, newline=""), delimiter=sep)))) for row in rows]
+    columns = [[None if text in missing else text for text in (cells.get(name) for cells in fields)] for name in wanted]
+    surplus = [max(row.actual_columns - len(raw_names), 0) or None for row in rows]
+    return (np.array([row.number - 2 for row in rows], dtype=np.int64), pa.array(surplus, pa.int64()),
+            [pa.array(column, pa.string()) for column in columns])
 
 
 def archive_rows(entries: DataFrame, columns: Sequence[str], renames: Mapping[str, str] | None = None,
@@ -186,7 +225,7 @@ def archive_rows(entries: DataFrame, columns: Sequence[str], renames: Mapping[st
             return pa.RecordBatch.from_pydict(data)
 
         yield batch(pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), {})
-        if not raw or not member.peek(1):
+        if not raw:
             return
         # With no wanted column at all the first one is read, for the number of rows.
         wanted = list(dict.fromkeys(source.values())) or unique[:1]

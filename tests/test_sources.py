@@ -114,16 +114,36 @@ def test_small_stretches_give_the_same_rows(spark, landing):
     assert tuples(spread, "arquivo", "row_id", "A", "B") == whole
 
 
-def test_blocks_smaller_than_the_member(spark, landing, monkeypatch):
-    """Irregular rows in every block keep their numbers."""
-    lines = [f"{i};x" if i % 7 else f"{i}" for i in range(5000)]
-    text = ("A;B\n" + "\n".join(lines) + "\n").encode("latin-1")
-    monkeypatch.setattr(archives, "CSV_BLOCK", 256)
-    found = {}
-    for numbers, _, cells in archives._read_table(io.BufferedReader(io.BytesIO(text[4:])), ["0", "1"], ["0"], "latin1",
-                                                  ";", [""]):
-        found.update(zip(numbers.tolist(), cells[0].to_pylist()))
-    assert found == {i: str(i) for i in range(5000)}
+@pytest.mark.parametrize("regular", [lambda i: i % 7, lambda i: i > 3000, lambda i: i < 3000, lambda i: False,
+                                     lambda i: True, lambda i: i // 500 % 2], ids=str)
+def test_irregular_rows_keep_their_numbers_in_every_block(monkeypatch, regular):
+    text = "".join(f"{i};x\n" if regular(i) else f"{i}\n" if i % 2 else f"{i};x;y\n" for i in range(5000))
+    monkeypatch.setattr(archives, "CSV_BLOCK", 2000)
+    found, largest = {}, 0
+    for numbers, surplus, cells in read_text(text, ["0", "1"], ["0"], [""]):
+        found.update(zip(numbers.tolist(), zip(cells[0].to_pylist(), surplus.to_pylist())))
+        largest = max(largest, len(numbers))
+    assert found == {i: (str(i), None if regular(i) or i % 2 else 1) for i in range(5000)}
+    assert largest < 1000
+
+
+def read_text(text, names, wanted, missing):
+    return archives._read_table(io.BufferedReader(io.BytesIO(text.encode("latin-1"))), names, wanted, "latin1", ";",
+                                missing)
+
+
+def test_one_column(spark, landing):
+    write_zip(landing / "a.zip", [("m.csv", "A\n1\n\n2\n3;4\n")])
+    rows = archives.data_rows(rows_of(spark, landing, ["A"]))
+    assert tuples(rows, "row_id", "A", "surplus") == [(0, "1", None), (1, "2", None), (2, "3", 1)]
+
+
+def test_every_large_member_has_a_task_of_its_own(spark, landing):
+    for i in range(12):
+        write_zip(landing / f"a{i}.zip", [("large.csv", "A\n" + "1\n" * 500), ("small.csv", "A\n1\n")])
+    spread = archives.spread_members(entries_of(spark, landing), ["nome_arquivo"], task_bytes=900)
+    counts = spread.select(F.spark_partition_id().alias("p")).groupBy("p").count()
+    assert tuples(counts, "p", "count") == sorted([(i, 1) for i in range(24)], key=repr)
 
 
 CELL = st.text(alphabet='ab;"\n é0.', max_size=6)
@@ -138,8 +158,7 @@ def test_member_reading_agrees_with_pandas(rows):
                            header=None).astype(object)
     expected = expected.where(expected.notna(), None).values.tolist()
     ours = {}
-    for numbers, _, cells in archives._read_table(io.BufferedReader(io.BytesIO(quoted.encode("latin-1"))),
-                                                  ["0", "1", "2"], ["0", "1", "2"], "latin1", ";", MISSING_TEXTS):
+    for numbers, _, cells in read_text(quoted, ["0", "1", "2"], ["0", "1", "2"], MISSING_TEXTS):
         ours.update(zip(numbers.tolist(), zip(*(cell.to_pylist() for cell in cells))))
     assert [list(ours[i]) for i in sorted(ours)] == expected
 
