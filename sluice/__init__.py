@@ -1 +1,8 @@
 """Incremental bronze/silver loading for Spark: files in, versioned tables out."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with the job, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

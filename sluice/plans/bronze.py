@@ -49,10 +49,13 @@ def bronze_projection(rows: DataFrame) -> DataFrame:
 
 
 def unseen_members(spark: SparkSession, tables: BronzeTables, entries: DataFrame) -> DataFrame:
-    """Members whose (name, archive time) is neither loaded nor already rejected."""
-    known = [loaded_files(current_table(spark, table), layouts.FILE_VERSION) for table in (tables.bronze, tables.failures)]
+    """Members whose (name, archive time) is not loaded and that were not rejected in this version of the archive."""
+    loaded = loaded_files(current_table(spark, tables.bronze), layouts.FILE_VERSION)
+    rejected = loaded_files(current_table(spark, tables.failures), FILE)
     version = ["nome_arquivo", "archive_mtime"]
-    return new_rows(entries, known[0].union(known[1]).toDF(*version), version).select(*entries.columns)
+    unseen = new_rows(entries, loaded.toDF(*version), version)
+    return (new_rows(unseen, rejected.toDF("origem_zip", *version), ["origem_zip", *version])
+            .select(*entries.columns))
 
 
 def report_failures(staged: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ def build_session(master: str = "local[*]", app_name: str = "sluice", **override
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         # Loads write few partitions per task: keep their files open instead of sorting all rows by partition first.
         "spark.sql.maxConcurrentOutputFileWriters": "8",
+        # Call sites of every column expression cost more than building the query itself.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

@@ -25,7 +25,7 @@ from sluice.operators.quality import standard_names
 from sluice.operators.joins import settle
 
 READ_BUFFER = 1 << 20
-CSV_BLOCK = 16 << 20
+CSV_BLOCK = 32 << 20  # no row may be longer
 CONTENT_CHUNK = 4 << 20
 TASK_BYTES = 128 << 20
 TASK_MEMBERS = 10_000

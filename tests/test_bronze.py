@@ -105,6 +105,14 @@ def test_only_unseen_members_are_decoded(spark, landing, bronze_tables):
     assert tuples(data_rows(stage_members(spark, unseen)), "arquivo") == [("b.csv",)]
 
 
+def test_a_good_file_is_not_mistaken_for_a_rejected_one_of_its_name(spark, landing, bronze_tables):
+    write_zip(landing / "a.zip", [("x.csv", report(OLD, old_row(holders="x")))])
+    load(spark, landing, bronze_tables)
+    write_zip(landing / "b.zip", [("x.csv", report(OLD, old_row()))])
+    load(spark, landing, bronze_tables)
+    assert spark.table(bronze_tables.bronze).count() == 1
+
+
 def test_empty_landing_folder(spark, landing, bronze_tables):
     assert not load(spark, landing, bronze_tables)
     assert spark.table(bronze_tables.bronze).count() == 0

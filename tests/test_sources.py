@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import io
+import subprocess
+import sys
 import zipfile
 from datetime import datetime
 
@@ -8,6 +10,7 @@ import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from conftest import tuples, write_zip
@@ -132,6 +135,18 @@ def read_text(text, names, wanted, missing):
                                 missing)
 
 
+@pytest.mark.parametrize("path", ["/a b/x.zip", "file:/a b/x.zip", "file:///a b/x.zip"])
+def test_local_paths(path):
+    assert archives.open_path(path)[1] == "/a b/x.zip"
+
+
+def test_task_functions_travel_with_the_job(tmp_path):
+    """Executors need not have the package."""
+    (tmp_path / "task").write_bytes(cloudpickle.dumps(archives._list_entries))
+    code = "import pickle, sys; pickle.load(open('task', 'rb')); assert 'sluice' not in sys.modules"
+    subprocess.run([sys.executable, "-I", "-c", code], cwd=tmp_path, check=True)
+
+
 def test_one_column(spark, landing):
     write_zip(landing / "a.zip", [("m.csv", "A\n1\n\n2\n3;4\n")])
     rows = archives.data_rows(rows_of(spark, landing, ["A"]))
