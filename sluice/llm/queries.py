@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, near_dup, token_counts
+from sluice.llm import bpe, decontaminate, near_dup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +38,9 @@ def op7_token_counts(spark, folder):
 @registered
 def op10_near_duplicates(spark, folder):
     return near_dup.near_duplicates(read(spark, folder, "documents"))
+
+
+@registered
+def op1_decontamination(spark, folder):
+    documents, benchmark = read(spark, folder, "documents"), read(spark, folder, "benchmark")
+    return decontaminate.decontaminated(spark, documents, benchmark).drop("items")
