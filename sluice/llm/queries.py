@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, decontaminate, near_dup, token_counts
+from sluice.llm import bpe, decontaminate, language_id, near_dup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +44,8 @@ def op10_near_duplicates(spark, folder):
 def op1_decontamination(spark, folder):
     documents, benchmark = read(spark, folder, "documents"), read(spark, folder, "benchmark")
     return decontaminate.decontaminated(spark, documents, benchmark).drop("items")
+
+
+@registered
+def op2_language_id(spark, folder):
+    return language_id.identified(spark, read(spark, folder, "documents"))
