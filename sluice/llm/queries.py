@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, decontaminate, language_id, near_dup, token_counts
+from sluice.llm import bpe, decontaminate, language_id, near_dup, secrets, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +21,14 @@ def registered(query):
     return query
 
 
+def checked(sql: str):
+    """Register a query with its SQL."""
+    def register(query):
+        ORACLES[query.__name__] = sql
+        return registered(query)
+    return register
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
@@ -40,7 +48,38 @@ def op10_near_duplicates(spark, folder):
     return near_dup.near_duplicates(read(spark, folder, "documents"))
 
 
-@registered
+#: All windows of all items looked up at every place of every document.
+CONTAMINATION_SQL = r"""
+WITH item_words AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(10, len(words)) AS size,
+         array_to_string(words[i:i + least(10, len(words)) - 1], ' ') AS phrase
+  FROM (SELECT item, words, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS i
+        FROM item_words WHERE len(words) > 0)),
+doc_words AS (
+  SELECT doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+places AS (
+  SELECT doc_id, size, i, array_to_string(words[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS i
+        FROM doc_words, (SELECT DISTINCT size FROM windows))),
+hits AS (SELECT DISTINCT doc_id, item, i, p.size AS size
+         FROM places p JOIN windows w ON p.phrase = w.phrase AND p.size = w.size),
+by_word AS (SELECT doc_id, count(DISTINCT at) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + size)) AS at FROM hits) GROUP BY doc_id),
+by_item AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items
+            FROM hits GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN by_word h ON d.doc_id = h.doc_id LEFT JOIN by_item t ON d.doc_id = t.doc_id
+"""
+
+
+@checked(CONTAMINATION_SQL)
 def op1_decontamination(spark, folder):
     documents, benchmark = read(spark, folder, "documents"), read(spark, folder, "benchmark")
     return decontaminate.decontaminated(spark, documents, benchmark).drop("items")
@@ -49,3 +88,28 @@ def op1_decontamination(spark, folder):
 @registered
 def op2_language_id(spark, folder):
     return language_id.identified(spark, read(spark, folder, "documents"))
+
+
+#: Base 32 of a digest: each five hexadecimal digits are four letters.
+ARCHIVE_SQL = """
+WITH rows AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+digests AS (SELECT *, sha1(payload) AS hex, max(page_id) OVER (PARTITION BY payload) AS first FROM rows),
+letters AS (SELECT *, list_transform(range(8), i -> CAST('0x' || substr(hex, 5 * i + 1, 5) AS INTEGER)) AS parts
+            FROM digests)
+SELECT page_id, octet_length(encode(payload)) AS payload_bytes,
+       list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((parts[1 + i // 4] >> (15 - 5 * (i % 4))::INTEGER) & 31), 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM letters
+"""
+
+
+@checked(ARCHIVE_SQL)
+def op4_warc(spark, folder):
+    return warc.archived(spark, read(spark, folder, "pages"))
+
+
+@registered
+def op8_secrets(spark, folder):
+    return secrets.secrets(spark, read(spark, folder, "documents")).drop("found")
