@@ -69,8 +69,8 @@ places AS (
         FROM doc_words, (SELECT DISTINCT size FROM windows))),
 hits AS (SELECT DISTINCT doc_id, item, i, p.size AS size
          FROM places p JOIN windows w ON p.phrase = w.phrase AND p.size = w.size),
-by_word AS (SELECT doc_id, count(DISTINCT at) AS n_hit
-            FROM (SELECT doc_id, unnest(range(i, i + size)) AS at FROM hits) GROUP BY doc_id),
+by_word AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM hits) GROUP BY doc_id),
 by_item AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items
             FROM hits GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
@@ -94,10 +94,10 @@ def op2_language_id(spark, folder):
 ARCHIVE_SQL = """
 WITH rows AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
 digests AS (SELECT *, sha1(payload) AS hex, max(page_id) OVER (PARTITION BY payload) AS first FROM rows),
-letters AS (SELECT *, list_transform(range(8), i -> CAST('0x' || substr(hex, 5 * i + 1, 5) AS INTEGER)) AS parts
+letters AS (SELECT *, list_transform(range(8), lambda i: CAST('0x' || substr(hex, 5 * i + 1, 5) AS INTEGER)) AS parts
             FROM digests)
 SELECT page_id, octet_length(encode(payload)) AS payload_bytes,
-       list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
          1 + ((parts[1 + i // 4] >> (15 - 5 * (i % 4))::INTEGER) & 31), 1)), 'string_agg', '') AS payload_digest,
        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first THEN first END AS refers_to
