@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, decontaminate, language_id, near_dup, secrets, token_counts, warc
+from sluice.llm import bpe, chat, decontaminate, language_id, near_dup, secrets, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +113,26 @@ def op4_warc(spark, folder):
 @registered
 def op8_secrets(spark, folder):
     return secrets.secrets(spark, read(spark, folder, "documents")).drop("found")
+
+
+#: Every beginning of every conversation as a string of its turns' digests.
+CHAT_SQL = """
+WITH d AS (SELECT DISTINCT conv_id, turn, role, text,
+             sha256(concat(coalesce(CAST(octet_length(encode(role)) AS VARCHAR), '-'), ':', coalesce(role, ''),
+                           CASE WHEN text IS NULL THEN '-' ELSE '+' END, coalesce(text, ''))) AS digest
+           FROM conversations),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS seq,
+                    count(*) OVER (PARTITION BY conv_id) AS n_turns FROM d),
+prefixes AS (SELECT *, string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY seq
+                                                    ROWS UNBOUNDED PRECEDING) AS prefix FROM numbered),
+whole AS (SELECT prefix, min(conv_id) AS conv_id FROM prefixes WHERE seq = n_turns GROUP BY prefix),
+kept AS (SELECT conv_id FROM whole WHERE prefix NOT IN (SELECT prefix FROM prefixes WHERE seq < n_turns))
+SELECT conv_id, seq, n_turns,
+       concat('<|', coalesce(role, 'unknown'), '|>', chr(10), coalesce(text, ''), '<|end|>', chr(10)) AS rendered
+FROM prefixes WHERE conv_id IN (SELECT conv_id FROM kept)
+"""
+
+
+@checked(CHAT_SQL)
+def op5_chat(spark, folder):
+    return chat.formatted(read(spark, folder, "conversations"))
