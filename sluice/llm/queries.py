@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, chat, decontaminate, language_id, near_dup, secrets, token_counts, warc
+from sluice.llm import bpe, chat, decontaminate, language_id, near_dup, pii, secrets, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -136,3 +136,8 @@ FROM prefixes WHERE conv_id IN (SELECT conv_id FROM kept)
 @checked(CHAT_SQL)
 def op5_chat(spark, folder):
     return chat.formatted(read(spark, folder, "conversations"))
+
+
+@registered
+def op9_personal_data(spark, folder):
+    return pii.personal_data(read(spark, folder, "documents")).drop("found")
