@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, chat, decontaminate, language_id, near_dup, pii, secrets, token_counts, warc
+from sluice.llm import bpe, chat, decontaminate, language_id, near_dup, pii, quality, secrets, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -141,3 +141,8 @@ def op5_chat(spark, folder):
 @registered
 def op9_personal_data(spark, folder):
     return pii.personal_data(read(spark, folder, "documents")).drop("found")
+
+
+@registered
+def op3_quality(spark, folder):
+    return quality.judged(read(spark, folder, "documents"))
