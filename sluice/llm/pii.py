@@ -22,7 +22,7 @@ EMAIL = (r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-AT_MOST_255 = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
+AT_MOST_255 = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 BASE_KINDS = ("email", "ip", "card", "phone")
 FOUND = "identifier"
 KINDS = (*BASE_KINDS, FOUND)
