@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import packed, per_worker, unpacked
+from sluice.operators.joins import lookup_join, settle
 
 UNKNOWN = "und"
 #: Rows of the training sample, shared evenly between languages, and the longest text in it, in characters.
@@ -131,21 +132,23 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> DataFrame:
     """At most ``rows`` labelled texts outside the held-out part, as many for each language.
 
-    Which rows is settled by a hash of doc_id; only keys are ranked, and only the chosen texts are gathered. Texts longer
-    than ``chars`` are left to the others, so the sample's size is bounded.
+    Which rows is settled by a hash of doc_id and text. As many of each language have a low hash as are surely enough,
+    however many it has; only their keys are ranked, and only the chosen texts are gathered. Texts longer than ``chars``
+    are left to the others, so the sample's size is bounded.
     """
-    text = F.col("text").cast("string")
-    labelled = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
-                          & F.length(text).between(1, chars))
-    keys = labelled.select("doc_id", "lang", F.xxhash64(F.col("doc_id").cast("string")).alias("order"),
-                           F.xxhash64(text).alias("text_hash"))
-    names = max(1, keys.select("lang").distinct().count())
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("order", "text_hash"))
-    chosen = (keys.withColumn("place", place).where(F.col("place") <= max(1, rows // names))
-              .select("doc_id", "text_hash", "place").distinct().limit(rows))
-    return (labelled.withColumn("text_hash", F.xxhash64(text)).join(F.broadcast(chosen), ["doc_id", "text_hash"])
-            .select(text.alias("text"), F.col("lang").cast("string").alias("lang"), "place", "doc_id")
-            .orderBy("place", "lang", "doc_id").limit(rows))
+    labelled = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    labelled = labelled.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
+                              & F.length("text").between(1, chars))
+    order = F.xxhash64(F.col("doc_id").cast("string"), "text")
+    keys = labelled.select("doc_id", "lang", order.alias("order"))
+    counts = settle(keys.groupBy("lang").agg(F.count("*").alias("n")))
+    each = max(1, rows // max(1, counts.count()))
+    low = (F.col("order") / float(1 << 63) + 1) / 2 * F.col("n") <= 4 * each + 64
+    some = lookup_join(keys, counts, ["lang"], "inner").where(low).select(*keys.columns).distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
+    chosen = some.withColumn("place", place).where(F.col("place") <= each).limit(rows)
+    return (labelled.withColumn("order", order).join(F.broadcast(chosen), keys.columns)
+            .select("text", "lang", "place", "doc_id").distinct().orderBy("place", "lang", "doc_id").limit(rows))
 
 
 def predictions(spark: SparkSession, model: Model | None, text: Column) -> Column:
