@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow.fs as pa_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.shapes import SILVER_SELECT, SILVER_SQL, http_text, order_files, read, utc_naive
+from checks.standins import (TEXTS_PER_ARCHIVE, before_noon, delimited, document_lines, events_as_bronze, pack_archives,
+                             report_archive, report_lines)
 from sluice.layouts import OPTIONAL_COLUMNS, REPORT_COLUMNS, REPORT_RENAMES
 from sluice.operators.files import row_count
-from sluice.operators.tables import append_by_name, append_unseen, create_table, publish_view
+from sluice.operators.joins import settle
+from sluice.operators.tables import append_unseen, create_table, publish_view
 from sluice.plans import bronze, chain, control, discovery, silver
-from sluice.plans.standins import (TEXTS_PER_ARCHIVE, before_noon, delimited, document_lines, events_as_bronze,
-                                   report_lines, pack_archives)
 from sluice.session import new_folder
 from sluice.sources import archives, landing
 from sluice.streaming.silver_feed import feed_silver
@@ -70,9 +72,14 @@ def landed_reports(spark: SparkSession, folder: str) -> str:
 @checked("SELECT DISTINCT concat('reports_', event_id // 5000, '.zip') AS arquivo, TRUE AS dated, TRUE AS filled "
          "FROM events")
 def landing_manifest(spark, folder):
-    found = landing.landing_manifest(spark, landed_reports(spark, folder))
-    return found.select("arquivo", F.col("data_modificacao").isNotNull().alias("dated"),
-                        (F.col("length") > 0).alias("filled"))
+    """The listing against what the file system itself says of the files."""
+    place = landed_reports(spark, folder)
+    system, inner = archives.open_path(place)
+    files = [(info.base_name, info.mtime, info.size) for info in system.get_file_info(pa_fs.FileSelector(inner))]
+    own = spark.createDataFrame(files, "arquivo STRING, time TIMESTAMP, size BIGINT")
+    second = F.date_trunc("SECOND", "data_modificacao") == F.date_trunc("SECOND", "time")
+    return landing.landing_manifest(spark, place).join(own, "arquivo").select(
+        "arquivo", second.alias("dated"), (F.col("length") == F.col("size")).alias("filled"))
 
 
 @checked(REPORT_FILES_SQL + "SELECT * FROM entries")
@@ -107,12 +114,12 @@ def csv_decode(spark, folder):
 @checked(REPORT_FILES_SQL + """
 , contents AS (SELECT arquivo, concat(max(header), chr(10), string_agg(line, chr(10) ORDER BY event_id), chr(10)) AS text
              FROM numbered GROUP BY arquivo)
-SELECT arquivo_ingestao, origem_zip, nome_arquivo, CAST(0 AS BIGINT) AS chunk_no, md5(text) AS content_md5
-FROM entries JOIN contents ON arquivo = nome_arquivo
+SELECT arquivo_ingestao, origem_zip, nome_arquivo, chunk_no, md5(substr(text, 1 + 500 * chunk_no, 500)) AS content_md5
+FROM (SELECT *, unnest(range((length(text) + 499) // 500)) AS chunk_no FROM entries JOIN contents ON arquivo = nome_arquivo)
 """)
 def landing_members(spark, folder):
     entries = archives.archive_entries(landing.landing_manifest(spark, landed_reports(spark, folder)))
-    return archives.member_contents(entries).select("arquivo_ingestao", "origem_zip", "nome_arquivo", "chunk_no",
+    return archives.member_contents(entries, chunk_bytes=500).select("arquivo_ingestao", "origem_zip", "nome_arquivo", "chunk_no",
                                                     F.md5("content").alias("content_md5"))
 
 
@@ -168,9 +175,18 @@ def index_pages(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 # --- bronze ------------------------------------------------------------------------------------------------------
 
-def loaded_reports(spark: SparkSession, folder: str) -> bronze.BronzeTables:
+def dated(rows: DataFrame, landed: str, archive) -> DataFrame:
+    """Whether the rows' time is that of their archive, in place of the time."""
+    times = landing.landing_manifest(rows.sparkSession, landed).select(
+        F.replace("arquivo", F.lit(".zip")).alias("archive"), F.col("data_modificacao").alias("landed_at"))
+    version = next(c for c in rows.columns if c.lower() == "data_modificacao")
+    return (rows.withColumn("archive", archive).join(times, "archive", "left")
+            .withColumn("dated", F.col(version) == F.col("landed_at")).drop(version, "archive", "landed_at"))
+
+
+def loaded_reports(spark: SparkSession, folder: str, place: str | None = None) -> bronze.BronzeTables:
     """Bronze after two loads of the same landing folder; the second adds nothing."""
-    place = landed_reports(spark, folder)
+    place = place or landed_reports(spark, folder)
     tables = bronze.BronzeTables(*unique_names("bronze", "failures"))
     bronze.create_bronze(spark, tables, location=new_folder(spark, "tables"))
     bronze.load_bronze(spark, place, tables)
@@ -181,20 +197,78 @@ def loaded_reports(spark: SparkSession, folder: str) -> bronze.BronzeTables:
 @checked(REPORT_FILES_SQL + """
 SELECT event_type AS "TP_FUNDO", CAST(event_id AS VARCHAR) AS "CNPJ_FUNDO", dt AS "DT_COMPTC", amount AS "VL_TOTAL",
        quota AS "VL_QUOTA", amount AS "VL_PATRIM_LIQ", amount AS "CAPTC_DIA", amount AS "RESG_DIA", user_id AS "NR_COTST",
-       arquivo, CAST(year(ts) AS INT) AS ano, CAST(month(ts) AS INT) AS mes, subclass AS "ID_SUBCLASSE"
+       arquivo, CAST(year(ts) AS INT) AS ano, CAST(month(ts) AS INT) AS mes, subclass AS "ID_SUBCLASSE", TRUE AS dated
 FROM numbered WHERE event_type <> 'error'
 """)
 def bronze_append(spark, folder):
-    return spark.table(loaded_reports(spark, folder).bronze).drop("data_modificacao")
+    place = landed_reports(spark, folder)
+    rows = spark.table(loaded_reports(spark, folder, place).bronze)
+    return dated(rows, place, report_archive(F.col("CNPJ_FUNDO").cast("bigint")))
 
 
 @checked(REPORT_FILES_SQL + """
 SELECT origem_zip, arquivo, row_id, 'VL_QUOTA' AS column_name, 'not_nullable' AS check_name,
-       CAST(NULL AS VARCHAR) AS failure_case
+       CAST(NULL AS VARCHAR) AS failure_case, TRUE AS dated
 FROM numbered WHERE event_type = 'error'
 """)
 def bronze_failures(spark, folder):
-    return spark.table(loaded_reports(spark, folder).failures).drop("data_modificacao")
+    place = landed_reports(spark, folder)
+    return dated(spark.table(loaded_reports(spark, folder, place).failures), place, F.col("origem_zip"))
+
+
+@checked(REPORT_FILES_SQL + """
+SELECT origem_zip, arquivo, CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'loaded' END AS estado,
+       CASE WHEN event_type = 'error' THEN 0 ELSE count(*) END AS linhas,
+       CASE WHEN event_type = 'error' THEN count(*) ELSE 0 END AS falhas, TRUE AS dated
+FROM numbered GROUP BY origem_zip, arquivo, event_type
+UNION ALL SELECT DISTINCT origem_zip, NULL, 'listed', 0, 0, TRUE FROM numbered
+""")
+def load_record(spark, folder):
+    """What became of every member of every archive, after two loads."""
+    place = landed_reports(spark, folder)
+    return dated(spark.table(loaded_reports(spark, folder, place).record), place, F.col("origem_zip"))
+
+
+def damaged_reports(spark: SparkSession, folder: str) -> str:
+    """The archives with a byte of their first member changed, and beside each a piece that is no archive."""
+    place = landed_reports(spark, folder)
+    names = landing.landing_manifest(spark, place).select("path")
+
+    def damage(batches):
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                system, inner = archives.open_path(path)
+                with archives.open_archive(path) as archive:
+                    first = archive.infolist()[0]
+                with system.open_input_file(inner) as file:
+                    content = bytearray(file.readall())
+                at = first.header_offset + 30 + len(first.filename) + first.compress_size // 2
+                content[at] ^= 0xFF
+                for name, data in ((inner, content), (inner.replace("reports_", "piece_"), content[:at])):
+                    with system.open_output_stream(name) as out:
+                        out.write(bytes(data))
+            yield batch
+
+    names.mapInArrow(damage, "path STRING").count()
+    return place
+
+
+@checked(REPORT_FILES_SQL + """
+, firsts AS (SELECT origem_zip, min(arquivo) AS arquivo FROM numbered GROUP BY origem_zip)
+SELECT origem_zip, arquivo, 'member_unreadable' AS estado, CAST(0 AS BIGINT) AS linhas FROM firsts
+UNION ALL SELECT replace(origem_zip, 'reports', 'piece'), NULL, 'archive_unreadable', 0 FROM firsts
+UNION ALL SELECT origem_zip, arquivo, 'loaded', count(*) FROM numbered n
+          WHERE event_type <> 'error' AND arquivo NOT IN (SELECT arquivo FROM firsts) GROUP BY ALL
+""")
+def unreadable_files(spark, folder):
+    """Damaged members and archives are told; all other members load, with all their rows."""
+    tables = loaded_reports(spark, folder, damaged_reports(spark, folder))
+    broken = (spark.table(tables.failures).where("check_name LIKE '%_unreadable'")
+              .select("origem_zip", "arquivo", F.col("check_name").alias("estado"), F.lit(0).cast("bigint").alias("linhas")))
+    rows = spark.table(tables.bronze).groupBy("arquivo").agg(F.count("*").alias("n"))
+    loaded = (spark.table(tables.record).where("estado = 'loaded'").join(rows, "arquivo")
+              .where("n = linhas").select("origem_zip", "arquivo", "estado", "linhas"))
+    return broken.unionByName(loaded)
 
 
 @checked("""
@@ -236,7 +310,7 @@ def loaded_events(spark: SparkSession, folder: str, load) -> DataFrame:
     bronze.create_bronze(spark, raw, location=place)
     silver.create_silver(spark, tables, location=place)
     for batch in (before_noon(events), events.filter(F.hour("data_modificacao") >= 12)):
-        append_by_name(batch, raw.bronze)
+        bronze.append_rows(spark, batch, raw)
         load(spark, raw.bronze, tables, place)
     load(spark, raw.bronze, tables, place)
     return spark.table(tables.silver).withColumn("DATA_MODIFICACAO", F.col("DATA_MODIFICACAO").cast("timestamp_ntz"))
@@ -256,6 +330,30 @@ def fed_silver(spark, folder):
         session, table, tables, f"{place}/feed"))
 
 
+@checked("""
+SELECT event_type AS "TP_FUNDO", CAST(user_id AS VARCHAR) AS "CNPJ_FUNDO", '2025-13-01' AS "DT_COMPTC", event_id AS "NR_COTST",
+       unnest([1, 1]) AS copies FROM events WHERE event_type = 'error'
+""")
+def silver_rejects(spark, folder):
+    """Rows without a date, each of them twice in bronze, after loads of mornings, of everything, and of nothing new."""
+    events = events_as_bronze(read(spark, folder, "events"))
+    events = events.withColumn("DT_COMPTC", F.when(F.col("TP_FUNDO") == "error", "2025-13-01")
+                               .otherwise(F.col("DT_COMPTC")))
+    for period in ("ano", "mes"):
+        events = events.withColumn(period, F.when(F.col("TP_FUNDO") != "error", F.col(period)))
+    events = events.withColumn("data_modificacao", F.col("data_modificacao").cast("timestamp"))
+    place = new_folder(spark, "tables")
+    raw = bronze.BronzeTables(*unique_names("bronze", "failures"))
+    tables = silver.SilverTables(*unique_names("silver", "rejects"))
+    bronze.create_bronze(spark, raw, location=place)
+    silver.create_silver(spark, tables, location=place)
+    for batch in (before_noon(events), events.filter(F.hour("data_modificacao") >= 12)):
+        bronze.append_rows(spark, batch.unionAll(batch), raw)
+        silver.load_silver(spark, raw.bronze, tables)
+    silver.load_silver(spark, raw.bronze, tables)
+    return spark.table(tables.rejects).select("TP_FUNDO", "CNPJ_FUNDO", "DT_COMPTC", "NR_COTST", F.lit(1).alias("copies"))
+
+
 # --- control and chain -------------------------------------------------------------------------------------------
 
 @checked(REPORT_FILES_SQL + """
@@ -264,46 +362,114 @@ SELECT nome_arquivo, data_modificacao, origem_zip, tamanho_bytes, arquivo_ingest
 FROM entries
 """)
 def control_append(spark, folder):
-    """Control table after a load without one archive, one of all, and one more that adds nothing."""
-    found = landing.landing_manifest(spark, landed_reports(spark, folder))
+    """Control table after a load without one archive, one of all that the pages list, and one more that adds nothing."""
+    recorded = spark.table(registered_archives(spark, folder).control)
+    return recorded.withColumn("data_modificacao", F.col("data_modificacao").cast("timestamp_ntz"))
+
+
+@checked(REPORT_FILES_SQL + """
+SELECT nome_arquivo, concat('registry/2/', origem_zip) AS caminho_destino, CAST(1 AS BIGINT) AS chunks FROM entries
+""")
+def control_destinations(spark, folder):
+    """The destination that the last link to an archive gives its members."""
+    members = spark.table(registered_archives(spark, folder).members)
+    return members.groupBy("nome_arquivo", "caminho_destino").agg(F.count("*").alias("chunks"))
+
+
+def registered_archives(spark: SparkSession, folder: str) -> control.ControlTables:
+    """Registry pages that link each archive twice, the archives they list, and three loads of them."""
+    events = read(spark, folder, "events")
+    names = events.select(report_archive(F.col("event_id")).alias("name")).distinct()
+    link = F.concat(F.lit('<a href="'), "name", F.lit('.zip">x</a>'))
+    # A page per archive and number; more pages than any one task has to hold.
+    pages = names.select(link.alias("html"), F.explode(F.array(F.lit(1), F.lit(2))).alias("page"))
     tables = control.ControlTables(*unique_names("control", "members"))
     control.create_control(spark, tables, location=new_folder(spark, "tables"))
-    for exclude in (["reports_0", "absent"], [], []):
-        control.load_control(spark, found, tables, exclude)
-    recorded = spark.table(tables.control)
-    return recorded.withColumn("data_modificacao", F.col("data_modificacao").cast("timestamp_ntz"))
+    landed = new_folder(spark, "landing")
+    folder_of = F.concat(F.lit("registry/"), F.col("page").cast("string"), F.lit("/"),
+                         F.replace("nome_arquivo", F.lit(".zip")))
 
+    def fetch(plan: DataFrame) -> None:
+        lines = report_lines(events)
+        pack_archives(lines.join(plan.select(F.col("nome_arquivo").alias("archive")), "archive", "left_semi"), landed)
 
-def chained_reports(spark: SparkSession, folder: str) -> tuple[bronze.BronzeTables, silver.SilverTables]:
-    """Tables after the chain has run twice, with archives that arrive in the first run."""
-    documents, events = read(spark, folder, "documents"), read(spark, folder, "events")
-    pages, headers = index_pages(documents)
+    for exclude, fetched in ((["reports_0", "absent"], fetch), ([], fetch), ([], lambda plan: None)):
+        plan = control.destinations(pages, F.lit("registry/"), folder_of, order=("page",), exclude=exclude)
+        control.run_control(spark, plan, landed, tables, fetched)
+    return tables
+
+
+CHAIN_ROWS = 250
+#: What has become of an archive before the chain runs, by the rest of its number: it has landed and is current; it has
+#: landed half and the portal's is newer; it has not landed; it has landed and the portal does not list it.
+CURRENT, OUTDATED, NEW, UNLISTED = range(4)
+
+
+def chained_reports(spark: SparkSession, folder: str) -> tuple[bronze.BronzeTables, silver.SilverTables, str, list[DataFrame]]:
+    """Tables after the chain has run twice, the landing folder, and both plans; fetching packs what the plan names."""
+    events = read(spark, folder, "events").withColumn("number", F.floor(F.col("event_id") / CHAIN_ROWS))
+    role = F.col("number") % 4
+    lines = report_lines(events, CHAIN_ROWS)
     place, landed = new_folder(spark, "tables"), new_folder(spark, "landing")
+    pack_archives(report_lines(events.where(role.isin(CURRENT, UNLISTED)), CHAIN_ROWS), landed)
+    pack_archives(report_lines(events.where((role == OUTDATED) & (F.col("event_id") % 2 == 0)), CHAIN_ROWS), landed)
+    backdate(spark, landed, "2001-01-01")
+
+    names = (events.where(role != UNLISTED).select(report_archive(F.col("event_id"), CHAIN_ROWS).alias("name"), role.alias("role"))
+             .distinct())
+    pages = names.select(F.concat(F.lit('<a class="x" href="'), "name", F.lit('.zip">x</a><a href="notes.txt">n</a>')).alias("html"))
+    moment = F.when(F.col("role") == CURRENT, "1999-01-01").otherwise("2010-01-01").cast("timestamp_ntz")
+    headers = names.select(F.concat(F.lit("index/"), "name", F.lit(".zip")).alias("url"), http_text(moment).alias("last_modified"))
     raw = bronze.BronzeTables(*unique_names("bronze", "failures"))
     tables = silver.SilverTables(*unique_names("silver", "rejects"))
     bronze.create_bronze(spark, raw, location=place)
     silver.create_silver(spark, tables, location=place)
-    for fetch in (lambda plan: pack_archives(report_lines(events), landed), lambda plan: None):
+    plans = []
+
+    def fetch(plan: DataFrame) -> None:
+        plans.append(settle(plan))
+        wanted = plans[-1].select(F.replace("arquivo", F.lit(".zip")).alias("archive"))
+        pack_archives(lines.join(wanted, "archive", "left_semi"), landed)
+
+    for _ in range(2):
         chain.run_chain(spark, pages, headers, landed, F.lit("index/"), raw, tables, fetch, f"{place}/feed")
-    return raw, tables
+    return raw, tables, landed, plans
+
+
+def backdate(spark: SparkSession, folder: str, day: str) -> None:
+    """Give all files of a folder one date of change."""
+    moment = spark.sql(f"SELECT unix_millis(TIMESTAMP '{day}') AS ms").first().ms
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.listStatus(path):
+        system.setTimes(status.getPath(), moment, -1)
 
 
 @checked("""
 SELECT event_type AS "TP_FUNDO", CAST(event_id AS VARCHAR) AS "CNPJ_FUNDO", CAST(ts AS DATE) AS "DT_COMPTC",
        CAST(CAST(value AS VARCHAR) AS DECIMAL(18,2)) AS "VL_TOTAL", CAST(CAST(value AS VARCHAR) AS DECIMAL(18,2)) AS "VL_QUOTA",
        CAST(CAST(value AS VARCHAR) AS DECIMAL(18,2)) AS "VL_PATRIM_LIQ",
-       CAST(CAST(value AS VARCHAR) AS DECIMAL(18,2)) AS "CAPTC_DIA", CAST(CAST(value AS VARCHAR) AS DECIMAL(18,2)) AS "RESG_DIA"
+       CAST(CAST(value AS VARCHAR) AS DECIMAL(18,2)) AS "CAPTC_DIA", CAST(CAST(value AS VARCHAR) AS DECIMAL(18,2)) AS "RESG_DIA",
+       TRUE AS dated, event_id // 250 % 4 IN (1, 2) AS fetched, FALSE AS fetched_again
 FROM events WHERE event_type <> 'error'
 """)
 def medallion_chain(spark, folder):
-    return spark.table(chained_reports(spark, folder)[1].silver).drop("DATA_MODIFICACAO")
+    """Silver after two runs, with the time of each row's archive and whether the first and second plan named it."""
+    _, tables, landed, plans = chained_reports(spark, folder)
+    rows = dated(spark.table(tables.silver), landed, report_archive(F.col("CNPJ_FUNDO").cast("bigint"), CHAIN_ROWS))
+    name = F.concat(report_archive(F.col("CNPJ_FUNDO").cast("bigint"), CHAIN_ROWS), F.lit(".zip"))
+    rows = rows.withColumn("arquivo", name)
+    for label, plan in zip(("fetched", "fetched_again"), plans):
+        rows = (rows.join(plan.select("arquivo", F.lit(True).alias(label)), "arquivo", "left")
+                .withColumn(label, F.coalesce(label, F.lit(False))))
+    return rows.drop("arquivo")
 
 
 @checked("SELECT 'bronze' AS tabela, count(*) AS row_count FROM events WHERE event_type <> 'error' "
          "UNION ALL SELECT 'silver', count(*) FROM events WHERE event_type <> 'error'")
 def load_counts(spark, folder):
     """The row counts a load is checked by."""
-    raw, tables = chained_reports(spark, folder)
+    raw, tables, *_ = chained_reports(spark, folder)
     counts = [row_count(spark.table(table)).withColumn("tabela", F.lit(label))
               for label, table in (("bronze", raw.bronze), ("silver", tables.silver))]
     return counts[0].unionByName(counts[1])

@@ -15,7 +15,7 @@ from sluice.operators import files, manifest, quality
 from sluice.operators.quality import Rule
 from sluice.operators.versions import unseen_versions
 from sluice.plans.silver import VERSION, silver_candidates, silver_current
-from sluice.plans.standins import before_noon, events_as_bronze
+from checks.standins import before_noon, events_as_bronze
 from sluice.sources import portal
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from collections.abc import Sequence
 
@@ -57,12 +58,17 @@ def document_lines(documents: DataFrame) -> DataFrame:
         F.lit("doc_id;lang;source;n_chars;text").alias("header"), delimited(cells, quote_all=True).alias("line"))
 
 
-def report_lines(events: DataFrame) -> DataFrame:
+def report_archive(event_id: Column, rows: int = ROWS_PER_ARCHIVE) -> Column:
+    """Name of the archive that holds an event's line."""
+    return F.concat(F.lit("reports_"), F.floor(event_id / rows).cast("string"))
+
+
+def report_lines(events: DataFrame, rows: int = ROWS_PER_ARCHIVE) -> DataFrame:
     """Events as daily-report files: bounded blocks as archives, a member per day and type, header drift with time.
 
     Every event is a fund of its own. Events of type error come without a quota.
     """
-    archive = F.concat(F.lit("reports_"), F.floor(F.col("event_id") / ROWS_PER_ARCHIVE).cast("string"))
+    archive = report_archive(F.col("event_id"), rows)
     day, amount = F.col("ts").cast("date").cast("string"), F.col("value").cast("string")
     user = F.col("user_id").cast("string")
     head = [F.col("event_type"), F.col("event_id").cast("string")]
@@ -96,9 +102,11 @@ def pack_archives(lines: DataFrame, folder: str, encoding: str = "latin1") -> No
                 archive.writestr(info, text.encode(encoding), zipfile.ZIP_DEFLATED)
         system, inner = open_path(folder)
         system.create_dir(inner)
-        with system.open_output_stream(f"{inner}/{name}.part") as out:
+        # A name of its own for each attempt, as two may run at the same time.
+        part = f"{inner}/{name}.{uuid.uuid4().hex}.part"
+        with system.open_output_stream(part) as out:
             out.write(body.getbuffer())
-        system.move(f"{inner}/{name}.part", f"{inner}/{name}.zip")
+        system.move(part, f"{inner}/{name}.zip")
         return pa.table({"archive": [name], "members": pa.array([len(members)], pa.int64())})
 
     lines.groupBy("archive").applyInArrow(pack, PACKED).agg(F.sum("members")).first()

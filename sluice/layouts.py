@@ -49,7 +49,11 @@ FAILURE_COLUMNS = (
 )
 MEMBER_CONTENT_COLUMNS = (
     "arquivo_ingestao STRING, origem_zip STRING, nome_arquivo STRING, data_modificacao TIMESTAMP, "
-    "chunk_no BIGINT, content BINARY"
+    "chunk_no BIGINT, content BINARY, caminho_destino STRING, problema STRING"
+)
+# One row per member and version that a load has dealt with, and one without a name per archive it has listed.
+RECORD_COLUMNS = (
+    "origem_zip STRING, arquivo STRING, data_modificacao TIMESTAMP, estado STRING, linhas BIGINT, falhas BIGINT"
 )
 
 # Cell texts that count as missing, the defaults of the CSV reader the source files were made for.

@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 
 from sluice import layouts
 from sluice.functions.dates import period_columns
-from sluice.operators.files import loaded_files, new_rows
-from sluice.operators.quality import accepted_rows, failure, missing_columns, value_failures
-from sluice.operators.tables import append_by_name, create_table, current_table
+from sluice.functions.names import strip_extension
+from sluice.operators.files import new_rows
+from sluice.operators.joins import settle
+from sluice.operators.loads import (append_part, begin_load, create_loaded_table, create_log, finish_load, finished_rows,
+                                    part_rows)
+from sluice.operators.quality import accepted_rows, failure, failure_counts, missing_columns, value_failures
 from sluice.session import new_folder
-from sluice.sources.archives import archive_entries, archive_rows, data_rows, member_rows
+from sluice.sources.archives import (MAX_TASKS, TASK_BYTES, archive_rows, data_rows, listed_archives, member_rows,
+                                     unreadable_members)
 from sluice.sources.landing import landing_manifest
 
 log = logging.getLogger(__name__)
@@ -22,6 +26,8 @@ log = logging.getLogger(__name__)
 # One member of one archive in one version.
 FILE = ("origem_zip", "arquivo", "data_modificacao")
 PERIODS = ("ano", "mes")
+# What became of a member; an archive whose members were listed has a row of its own.
+LISTED, LOADED, REJECTED = "listed", "loaded", "rejected"
 
 
 @dataclass(frozen=True)
@@ -29,14 +35,48 @@ class BronzeTables:
     bronze: str
     failures: str
 
+    @property
+    def log(self) -> str:
+        return bronze_log(self.bronze)
+
+    @property
+    def record(self) -> str:
+        return f"{self.bronze}_record"
+
+
+@dataclass(frozen=True)
+class LoadResult:
+    """What a load did; true if it took up anything, an archive without members included."""
+
+    archives: int = 0
+    accepted: int = 0
+    rejected: int = 0
+    rows: int = 0
+    failures: int = 0
+
+    def __bool__(self) -> bool:
+        return self.archives > 0
+
+
+def bronze_log(bronze: str) -> str:
+    """The log of the loads of a bronze table."""
+    return f"{bronze}_loads"
+
 
 def create_bronze(spark: SparkSession, tables: BronzeTables, table_format: str = "parquet",
                   location: str | None = None) -> None:
-    """Both tables; bronze is partitioned by period so that the silver load can read single months."""
-    create_table(spark, tables.bronze, layouts.BRONZE_COLUMNS, PERIODS, table_format,
-                 location and f"{location}/bronze")
-    create_table(spark, tables.failures, layouts.FAILURE_COLUMNS, (), table_format,
-                 location and f"{location}/failures")
+    """Bronze, failures, the record of members and the log of loads.
+
+    Bronze is stored by load and period, so that the silver load can read single months.
+    """
+    def place(name: str) -> str | None:
+        return location and f"{location}/{name}"
+
+    create_log(spark, tables.log, table_format, place("loads"))
+    for table, columns, periods, name in ((tables.bronze, layouts.BRONZE_COLUMNS, PERIODS, "bronze"),
+                                          (tables.failures, layouts.FAILURE_COLUMNS, (), "failures"),
+                                          (tables.record, layouts.RECORD_COLUMNS, (), "record")):
+        create_loaded_table(spark, table, columns, tables.log, periods, table_format, place(name))
 
 
 def bronze_projection(rows: DataFrame) -> DataFrame:
@@ -48,44 +88,103 @@ def bronze_projection(rows: DataFrame) -> DataFrame:
         *(c.alias(n) for n, c in period_columns(F.col("DT_COMPTC")).items()), *layouts.OPTIONAL_COLUMNS)
 
 
+def recorded(spark: SparkSession, tables: BronzeTables) -> DataFrame:
+    return finished_rows(spark, tables.record, tables.log)
+
+
+def unseen_archives(spark: SparkSession, tables: BronzeTables, manifest: DataFrame) -> DataFrame:
+    """Archives of the manifest that no finished load has listed in this version; the others are not opened."""
+    seen = recorded(spark, tables).where(F.col("estado") == LISTED).select("origem_zip", "data_modificacao")
+    named = manifest.withColumn("origem_zip", strip_extension(F.col("arquivo")))
+    return new_rows(named, seen, ["origem_zip", "data_modificacao"]).select(*manifest.columns)
+
+
 def unseen_members(spark: SparkSession, tables: BronzeTables, entries: DataFrame) -> DataFrame:
     """Members whose (name, archive time) is not loaded and that were not rejected in this version of the archive."""
-    loaded = loaded_files(current_table(spark, tables.bronze), layouts.FILE_VERSION)
-    rejected = loaded_files(current_table(spark, tables.failures), FILE)
-    version = ["nome_arquivo", "archive_mtime"]
-    unseen = new_rows(entries, loaded.toDF(*version), version)
-    return (new_rows(unseen, rejected.toDF("origem_zip", *version), ["origem_zip", *version])
-            .select(*entries.columns))
+    record, version = recorded(spark, tables), ["nome_arquivo", "archive_mtime"]
+    loaded = record.where(F.col("estado") == LOADED).select(*layouts.FILE_VERSION).toDF(*version)
+    rejected = record.where(F.col("estado") == REJECTED).select(*FILE).toDF("origem_zip", *version)
+    unseen = new_rows(entries, loaded, version)
+    return new_rows(unseen, rejected, ["origem_zip", *version]).select(*entries.columns)
+
+
+def unreadable(rows: DataFrame, check_name: str) -> DataFrame:
+    """Failures of files that could not be read; ``rows`` has FILE and ``problem``."""
+    return rows.select(*FILE, F.lit(None).cast("bigint").alias("row_id"), F.lit(None).cast("string").alias("column_name"),
+                       F.lit(check_name).alias("check_name"), F.col("problem").alias("failure_case"))
 
 
 def report_failures(staged: DataFrame) -> DataFrame:
-    """All failures of staged rows: lacking columns, bad values, rows with more fields than the header."""
+    """All failures of staged rows: lacking columns, bad values, rows longer than the header, members that broke off."""
     too_long = failure(F.col("surplus") > 0, F.lit(None), "field_count", F.col("surplus").cast("string"))
     return (value_failures(data_rows(staged), layouts.REPORT_RULES, FILE, "row_id", F.col("absent"), [too_long])
-            .unionByName(missing_columns(member_rows(staged), FILE)))
+            .unionByName(missing_columns(member_rows(staged), FILE))
+            .unionByName(unreadable(unreadable_members(staged), "member_unreadable")))
 
 
-def stage_members(spark: SparkSession, entries: DataFrame) -> DataFrame:
+def stage_members(spark: SparkSession, entries: DataFrame, task_bytes: int = TASK_BYTES,
+                  max_tasks: int = MAX_TASKS) -> DataFrame:
     """Rows of the members, decoded once and written to the shared folder; checking and loading both read them there."""
     rows = archive_rows(entries, layouts.REPORT_COLUMNS + layouts.OPTIONAL_COLUMNS, layouts.REPORT_RENAMES,
-                        layouts.REPORT_COLUMNS, missing=layouts.MISSING_TEXTS)
+                        layouts.REPORT_COLUMNS, missing=layouts.MISSING_TEXTS, task_bytes=task_bytes, max_tasks=max_tasks)
     folder = new_folder(spark, "staged")
     rows.withColumnRenamed("archive_mtime", "data_modificacao").drop("entry_mtime").write.parquet(folder)
     return spark.read.parquet(folder)
 
 
-def load_bronze(spark: SparkSession, landing: str, tables: BronzeTables, suffix: str = ".zip") -> bool:
-    """Append the rows of members that are new in the landing folder; false when there are none.
+def member_record(members: DataFrame, rows: DataFrame, failures: DataFrame) -> DataFrame:
+    """A row per member: whether it was taken, its rows (none if it was not), its failures."""
+    counts = rows.groupBy(*FILE).agg(F.count(F.lit(1)).alias("linhas"))
+    return (members.select(*FILE).distinct().join(counts, list(FILE), "left")
+            .join(failure_counts(failures, FILE).withColumnRenamed("failures", "falhas"), list(FILE), "left")
+            .select(*FILE, F.when(F.col("falhas").isNull(), LOADED).otherwise(REJECTED).alias("estado"),
+                    F.when(F.col("falhas").isNull(), F.coalesce("linhas", F.lit(0))).otherwise(0).alias("linhas"),
+                    F.coalesce("falhas", F.lit(0)).alias("falhas")))
+
+
+def append_rows(spark: SparkSession, rows: DataFrame, tables: BronzeTables) -> None:
+    """Add rows in the layout of bronze as a load of their own, for instance to take over an existing table."""
+    load = begin_load(spark, tables.log)
+    append_part(rows, tables.bronze, load)
+    finish_load(spark, tables.log, load, changed_months(spark, tables, load))
+
+
+def changed_months(spark: SparkSession, tables: BronzeTables, load: str) -> list[tuple[int | None, int | None]]:
+    """Months of the load's rows, from the names of its partitions; as many as the calendar has at most."""
+    months = part_rows(spark, tables.bronze, load).select(*PERIODS).distinct()
+    return [(row.ano, row.mes) for row in months.collect()]
+
+
+def load_bronze(spark: SparkSession, landing: str, tables: BronzeTables, suffix: str = ".zip",
+                task_bytes: int = TASK_BYTES, max_tasks: int = MAX_TASKS) -> LoadResult:
+    """Append the rows of members that are new in the landing folder; the result is false when there was nothing new.
 
-    Files with a failure are recorded and left out whole. Failures are written first: a run that breaks off after them
-    finds the good files still unseen, and one that breaks off before finds all of them so.
+    A file with any failure is recorded and left out whole, one that cannot be read included. Everything is stored under
+    the number of the load, and counts once the load is finished: a run that breaks off has done nothing, and the next one
+    takes the same files up again.
     """
-    entries = archive_entries(landing_manifest(spark, landing, suffix))
-    staged = stage_members(spark, unseen_members(spark, tables, entries))
-    if staged.isEmpty():
+    fresh = settle(unseen_archives(spark, tables, landing_manifest(spark, landing, suffix)))
+    archives = fresh.count()
+    if not archives:
         log.info("nothing new in %s", landing)
-        return False
-    append_by_name(report_failures(staged), tables.failures)
-    good = accepted_rows(data_rows(staged), current_table(spark, tables.failures), FILE)
-    append_by_name(bronze_projection(good), tables.bronze)
-    return True
+        return LoadResult()
+    load = begin_load(spark, tables.log)
+    listed = settle(listed_archives(fresh))
+    whole = listed.where("problem IS NULL").drop("problem")
+    broken = listed.where("problem IS NOT NULL").select(
+        "origem_zip", F.lit(None).cast("string").alias("arquivo"), F.col("archive_mtime").alias("data_modificacao"), "problem")
+    staged = stage_members(spark, unseen_members(spark, tables, whole), task_bytes, max_tasks)
+    append_part(report_failures(staged).unionByName(unreadable(broken, "archive_unreadable")), tables.failures, load)
+    failures = part_rows(spark, tables.failures, load).where("arquivo IS NOT NULL")
+    append_part(bronze_projection(accepted_rows(data_rows(staged), failures, FILE)), tables.bronze, load)
+
+    members = member_record(staged.where("row_id IS NULL"), data_rows(staged), failures)
+    every = fresh.select(strip_extension(F.col("arquivo")).alias("origem_zip"), F.lit(None).cast("string").alias("arquivo"),
+                         "data_modificacao", F.lit(LISTED).alias("estado"), F.lit(0).cast("bigint").alias("linhas"),
+                         F.lit(0).cast("bigint").alias("falhas"))
+    append_part(members.unionByName(every), tables.record, load)
+    done = part_rows(spark, tables.record, load).where(F.col("estado") != LISTED).agg(
+        F.count_if(F.col("estado") == LOADED).alias("accepted"), F.count_if(F.col("estado") == REJECTED).alias("rejected"),
+        F.coalesce(F.sum("linhas"), F.lit(0)).alias("rows"), F.coalesce(F.sum("falhas"), F.lit(0)).alias("failures")).first()
+    finish_load(spark, tables.log, load, changed_months(spark, tables, load) if done.rows else [])
+    return LoadResult(archives, done.accepted, done.rejected, done.rows, done.failures)

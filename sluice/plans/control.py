@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice import layouts
+from sluice.functions.names import strip_extension
 from sluice.operators.files import members_to_extract, new_rows
-from sluice.operators.joins import settle
-from sluice.operators.manifest import exclude_names
-from sluice.operators.tables import append_by_name, create_table, current_table
-from sluice.sources.archives import archive_entries, member_contents
+from sluice.operators.joins import lookup_join, settle
+from sluice.operators.loads import (append_part, begin_load, create_loaded_table, create_log, finish_load, finished_rows,
+                                    part_rows)
+from sluice.operators.manifest import exclude_names, ingest_plan
+from sluice.plans.bronze import LISTED
+from sluice.sources.archives import CONTENT_CHUNK, MAX_TASKS, TASK_BYTES, listed_archives, member_contents
+from sluice.sources.landing import landing_manifest
+from sluice.sources.portal import portal_links
+
+ARCHIVE = ("origem_zip", "data_modificacao")
+ARCHIVE_COLUMNS = "origem_zip STRING, data_modificacao TIMESTAMP, estado STRING, problema STRING"
+REJECTED = "archive_unreadable"
 
 
 @dataclass(frozen=True)
@@ -21,12 +30,38 @@ class ControlTables:
     control: str
     members: str
 
+    @property
+    def log(self) -> str:
+        return f"{self.control}_loads"
+
+    @property
+    def archives(self) -> str:
+        return f"{self.control}_archives"
+
+
+@dataclass(frozen=True)
+class ControlResult:
+    """What a load did; true if it took up any archive."""
+
+    archives: int = 0
+    unreadable: int = 0
+    members: int = 0
+
+    def __bool__(self) -> bool:
+        return self.archives > 0
+
 
 def create_control(spark: SparkSession, tables: ControlTables, table_format: str = "parquet",
                    location: str | None = None) -> None:
-    create_table(spark, tables.control, layouts.CONTROL_COLUMNS, (), table_format, location and f"{location}/control")
-    create_table(spark, tables.members, layouts.MEMBER_CONTENT_COLUMNS, (), table_format,
-                 location and f"{location}/members")
+    """The control table, the landed members, the archives dealt with, and the log of loads."""
+    def place(name: str) -> str | None:
+        return location and f"{location}/{name}"
+
+    create_log(spark, tables.log, table_format, place("loads"))
+    for table, columns, name in ((tables.control, layouts.CONTROL_COLUMNS, "control"),
+                                 (tables.members, layouts.MEMBER_CONTENT_COLUMNS, "members"),
+                                 (tables.archives, ARCHIVE_COLUMNS, "archives")):
+        create_loaded_table(spark, table, columns, tables.log, (), table_format, place(name))
 
 
 def member_metadata(entries: DataFrame) -> DataFrame:
@@ -35,17 +70,68 @@ def member_metadata(entries: DataFrame) -> DataFrame:
                           "origem_zip", "tamanho_bytes", "arquivo_ingestao")
 
 
-def load_control(spark: SparkSession, manifest: DataFrame, tables: ControlTables, exclude: Sequence[str] = ()) -> None:
-    """Land the members that are not recorded yet, then record them, in one append after all have landed."""
+def destinations(pages: DataFrame, base: Column, folder: Column, suffix: str = ".zip", order: Sequence[str] = (),
+                 exclude: Sequence[str] = ()) -> DataFrame:
+    """``nome_arquivo``, ``caminho_completo``: each archive that the pages link to, once, without those left out.
+
+    ``folder`` may use ``arquivo`` and ``url`` of a link; of several links to a name the last in page order counts.
+    """
+    links = portal_links(pages, base, suffix, order=tuple(order)).withColumnRenamed("arquivo", "nome_arquivo")
+    return exclude_names(ingest_plan(links, folder, [*order, "position"]), exclude)
+
+
+def run_control(spark: SparkSession, plan: DataFrame, landing: str, tables: ControlTables,
+                fetch: Callable[[DataFrame], None], **how) -> ControlResult:
+    """Hand the plan of :func:`destinations` to ``fetch``, then load the archives of the plan from the landing folder.
+
+    The destination of an archive stays with its members. Archives that have landed and are not in the plan are left out.
+    """
+    plan = settle(plan)
+    fetch(plan)
+    names = plan.select(F.col("nome_arquivo").alias("origem_zip"), F.col("caminho_completo").alias("caminho_destino"))
+    manifest = landing_manifest(spark, landing).withColumn("origem_zip", strip_extension(F.col("arquivo")))
+    wanted = lookup_join(manifest, names.select("origem_zip"), ["origem_zip"], "left_semi").drop("origem_zip")
+    return load_control(spark, wanted, tables, destination=names, **how)
+
+
+def load_control(spark: SparkSession, manifest: DataFrame, tables: ControlTables, exclude: Sequence[str] = (),
+                 destination: DataFrame | None = None, task_bytes: int = TASK_BYTES, max_tasks: int = MAX_TASKS,
+                 chunk_bytes: int = CONTENT_CHUNK) -> ControlResult:
+    """Land the members that are not recorded yet, and record them.
+
+    Archives that a finished load has dealt with are not opened again. A member that cannot be read is recorded with its
+    state, and what is stored of it is not to be used; an archive that cannot be read is told in the list of archives. All of it counts once the
+    load is finished; a run that breaks off has landed nothing.
+    """
     version = list(layouts.MEMBER_VERSION)
-    entries = settle(exclude_names(archive_entries(manifest), exclude, "origem_zip"))
-    unseen = settle(new_rows(member_metadata(entries), current_table(spark, tables.control), version))
+    named = exclude_names(manifest.withColumn("origem_zip", strip_extension(F.col("arquivo"))), exclude, "origem_zip")
+    seen = finished_rows(spark, tables.archives, tables.log).select(*ARCHIVE)
+    fresh = settle(new_rows(named, seen, list(ARCHIVE)).select(*manifest.columns))
+    count = fresh.count()
+    if not count:
+        return ControlResult()
+    load = begin_load(spark, tables.log)
+    listed = settle(listed_archives(fresh))
+    entries = listed.where("problem IS NULL").drop("problem")
+    unseen = settle(new_rows(member_metadata(entries), finished_rows(spark, tables.control, tables.log), version))
 
     dated = entries.withColumn("data_modificacao", F.col("entry_mtime").cast("timestamp"))
     wanted = members_to_extract(dated, unseen, version)
-    # A run that broke off between the two appends has landed members it did not record.
-    wanted = new_rows(wanted, current_table(spark, tables.members), ["arquivo_ingestao", "origem_zip", *version])
-    contents = member_contents(wanted.drop("data_modificacao"))
-    append_by_name(contents.withColumn("data_modificacao", F.col("entry_mtime").cast("timestamp")).drop("entry_mtime"),
-                   tables.members)
-    append_by_name(unseen, tables.control)
+    contents = member_contents(wanted.drop("data_modificacao"), task_bytes, max_tasks, chunk_bytes)
+    contents = contents.withColumn("data_modificacao", F.col("entry_mtime").cast("timestamp")).drop("entry_mtime")
+    if destination is not None:
+        contents = lookup_join(contents, destination, ["origem_zip"], "left")
+    append_part(contents.withColumnRenamed("problem", "problema"), tables.members, load)
+    broken = part_rows(spark, tables.members, load).where("problema IS NOT NULL").select("origem_zip", *version)
+    state = lookup_join(unseen, broken.distinct().withColumn("situacao_arquivo", F.lit("member_unreadable")),
+                        ["origem_zip", *version], "left")
+    append_part(state, tables.control, load)
+    problems = listed.where("problem IS NOT NULL").select("origem_zip", F.col("archive_mtime").alias("data_modificacao"),
+                                                          F.col("problem").alias("problema"))
+    archives = (fresh.withColumn("origem_zip", strip_extension(F.col("arquivo"))).select(*ARCHIVE).distinct()
+                .join(problems, list(ARCHIVE), "left")
+                .withColumn("estado", F.when(F.col("problema").isNull(), LISTED).otherwise(REJECTED)))
+    append_part(archives, tables.archives, load)
+    unreadable, members = problems.count(), unseen.count()
+    finish_load(spark, tables.log, load)
+    return ControlResult(count, unreadable, members)

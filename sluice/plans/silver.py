@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +11,12 @@ from pyspark.sql import functions as F
 from sluice import layouts
 from sluice.functions.dates import coerce_date
 from sluice.functions.numbers import decimal_comma
+from sluice.operators.joins import drop_matching
+from sluice.operators.loads import finished_rows
 from sluice.operators.tables import append_by_name, create_table, current_table
 from sluice.operators.versions import (complete_keys, incomplete_keys, latest_version, typed_projection,
                                        unseen_versions)
+from sluice.plans.bronze import bronze_log
 
 Month = tuple[int | None, int | None]
 VERSION = "DATA_MODIFICACAO"
@@ -76,8 +78,9 @@ def days_of_months(months: Iterable[Month], day: Column) -> Column:
         first = last = numbers.pop(0)
         while numbers and numbers[0] == last + 1:
             last = numbers.pop(0)
-        start, end = (date(n // 12, n % 12 + 1, 1) for n in (first, last))
-        wanted = wanted | ((day >= F.lit(start)) & (day < F.add_months(F.lit(end), 1)))
+        # Made by Spark, whose years go further than Python's; literals, so partitions are still pruned.
+        start, end = (F.make_date(F.lit(n // 12), F.lit(n % 12 + 1), F.lit(1)) for n in (first, last))
+        wanted = wanted | ((day >= start) & (day < F.add_months(end, 1)))
     return wanted
 
 
@@ -86,9 +89,11 @@ def load_silver(spark: SparkSession, bronze_table: str, tables: SilverTables, mo
     """Add the latest versions that silver lacks.
 
     ``months`` limits both tables to the months that changed. The month follows from a ranking key, so what is added
-    for them is the same as in a load of everything.
+    for them is the same as in a load of everything. Rows that lack a key go to the rejects, as often as bronze has them,
+    with the first load that meets their file version.
     """
-    bronze, silver = current_table(spark, bronze_table), current_table(spark, tables.silver)
+    bronze = finished_rows(spark, bronze_table, bronze_log(bronze_table))
+    silver = current_table(spark, tables.silver)
     if months is not None:
         months = list(months)
         bronze = bronze.filter(in_months(months))
@@ -96,7 +101,17 @@ def load_silver(spark: SparkSession, bronze_table: str, tables: SilverTables, mo
     candidates = silver_candidates(bronze, extra_keys, scale)
     new = unseen_versions(candidates, silver, (*layouts.SILVER_KEYS, *extra_keys, VERSION))
     append_by_name(new, tables.silver, cluster_by=["DT_COMPTC"])
-    append_by_name(silver_rejects(bronze).subtract(current_table(spark, tables.rejects)), tables.rejects)
+    seen = current_table(spark, tables.rejects).select(*REJECT_VERSION)
+    append_by_name(drop_matching(silver_rejects(bronze).withColumns(period_key()), seen.withColumns(period_key()),
+                                 [*layouts.FILE_VERSION, *period_key()]).drop(*period_key()), tables.rejects)
+
+
+REJECT_VERSION = (*layouts.FILE_VERSION, "ano", "mes")
+
+
+def period_key() -> dict[str, Column]:
+    """The period in columns without nulls; a file's rows of one period are rejected by one load."""
+    return {f"{name}_key": F.coalesce(F.col(name), F.lit(0)) for name in ("ano", "mes")}
 
 
 def silver_current(silver: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:

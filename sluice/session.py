@@ -8,8 +8,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str = "local[*]", app_name: str = "sluice", **overrides) -> SparkSession:
-    """A session with the settings the loads are designed for; a cluster's own defaults win over none of them."""
+def build_session(master: str | None = None, app_name: str = "sluice", **overrides) -> SparkSession:
+    """A session with the settings the loads are designed for; a cluster's own defaults win over none of them.
+
+    Without a ``master`` it is the one the job was submitted to.
+    """
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
@@ -23,7 +26,9 @@ def build_session(master: str = "local[*]", app_name: str = "sluice", **override
         "spark.ui.showConsoleProgress": "false",
     }
     settings.update(overrides)
-    builder = SparkSession.builder.master(master).appName(app_name)
+    builder = SparkSession.builder.appName(app_name)
+    if master is not None:
+        builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

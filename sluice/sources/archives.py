@@ -9,7 +9,11 @@ from __future__ import annotations
 
 import csv
 import io
+import lzma
+import struct
+import sys
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from datetime import datetime
 
@@ -25,15 +29,21 @@ from sluice.operators.quality import standard_names
 from sluice.operators.joins import settle
 
 READ_BUFFER = 1 << 20
-CSV_BLOCK = 32 << 20  # no row may be longer
+CSV_BLOCK = 32 << 20  # a member with a longer row is set aside
 CONTENT_CHUNK = 4 << 20
 TASK_BYTES = 128 << 20
 TASK_MEMBERS = 10_000
+MAX_TASKS = 10_000
 ZIP_EPOCH = datetime(1980, 1, 1)
 SCHEME_ALIASES = {"s3a": "s3", "s3n": "s3"}
 
+# What tells that the bytes of an archive or member are no good. Errors of the store are others, and are raised.
+UNREADABLE = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, NotImplementedError, UnicodeError, struct.error,
+              csv.Error, pa.ArrowInvalid)
+ENCRYPTED = 1
+
 ENTRY = ("path STRING, arquivo STRING, archive_mtime TIMESTAMP, entry_no BIGINT, nome_arquivo STRING, "
-         "entry_mtime TIMESTAMP_NTZ, tamanho_bytes BIGINT, bytes_before BIGINT")
+         "entry_mtime TIMESTAMP_NTZ, tamanho_bytes BIGINT, bytes_before BIGINT, problem STRING")
 
 
 def open_path(path: str) -> tuple[pa_fs.FileSystem, str]:
@@ -63,8 +73,16 @@ def _entry_time(info: zipfile.ZipInfo) -> datetime:
 def _list_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for archive in batch.to_pylist():
-            with open_archive(archive["path"]) as opened:
-                infos = opened.infolist()
+            infos, problem = [], None
+            try:
+                with open_archive(archive["path"]) as opened:
+                    infos = opened.infolist()
+            except UNREADABLE as error:
+                problem = str(error)
+            if problem is not None:
+                lone = {name: archive[name] for name in ("path", "arquivo", "archive_mtime")}
+                yield pa.RecordBatch.from_pylist([lone | {"problem": problem}], schema=ENTRY_SCHEMA)
+                continue
             columns = {name: pa.array([archive[name]] * len(infos), batch.schema.field(name).type)
                        for name in ("path", "arquivo", "archive_mtime")}
             columns["entry_no"] = pa.array(range(len(infos)), pa.int64())
@@ -73,36 +91,47 @@ def _list_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             sizes = np.array([info.file_size for info in infos], dtype=np.int64)
             columns["tamanho_bytes"] = pa.array(sizes)
             columns["bytes_before"] = pa.array(np.cumsum(sizes) - sizes)
+            columns["problem"] = pa.nulls(len(infos), pa.string())
             yield pa.RecordBatch.from_pydict(columns)
 
 
-def archive_entries(manifest: DataFrame) -> DataFrame:
-    """One row per member of every archive in a landing manifest: where it is, its name, time and size.
-
-    ``archive_mtime`` is when the archive landed, ``entry_mtime`` the time the archive gives for the member.
-    """
+def listed_archives(manifest: DataFrame) -> DataFrame:
+    """As :func:`archive_entries`, with one row more, and its ``problem``, for each archive that cannot be read."""
     archives = manifest.select("path", "arquivo", F.col("data_modificacao").alias("archive_mtime"))
     return (archives.mapInArrow(_list_entries, ENTRY)
             .withColumn("origem_zip", strip_extension(F.col("arquivo")))
             .withColumn("arquivo_ingestao", ingest_name(F.col("nome_arquivo"), F.col("entry_mtime"))))
 
 
-def spread_members(entries: DataFrame, columns: Sequence[str], task_bytes: int = TASK_BYTES) -> DataFrame:
+def archive_entries(manifest: DataFrame) -> DataFrame:
+    """One row per member of every archive in a landing manifest: where it is, its name, time and size.
+
+    ``archive_mtime`` is when the archive landed, ``entry_mtime`` the time the archive gives for the member. Archives
+    that cannot be read have no members.
+    """
+    return listed_archives(manifest).where("problem IS NULL").drop("problem")
+
+
+def spread_members(entries: DataFrame, columns: Sequence[str], task_bytes: int = TASK_BYTES,
+                   max_tasks: int = MAX_TASKS) -> DataFrame:
     """File members, folders left out, as one row per stretch of an archive and task: ``path`` and ``members``.
 
     Neighbours in an archive go together up to ``task_bytes``, so that many small members share one opening of it; a
-    large member is on its own. Ranges over the stretches give every task the same number of them.
+    large member is on its own. Ranges over the stretches give every task the same number of them: one, as long as
+    there are no more than ``max_tasks`` stretches. Their number only groups the work; the rows are the same.
     """
     files = entries.filter(~F.col("nome_arquivo").endswith("/"))
     stretches = settle(files.groupBy("path", F.floor(F.col("bytes_before") / task_bytes).alias("stretch"),
                                      F.floor(F.col("entry_no") / TASK_MEMBERS).alias("block"))
                        .agg(F.sort_array(F.collect_list(F.struct("entry_no", *columns))).alias("members")))
-    return (stretches.repartitionByRange(max(1, stretches.count()), "path", "stretch", "block")
+    tasks = min(max_tasks, max(1, stretches.count()))
+    return (stretches.repartitionByRange(tasks, "path", "stretch", "block")
             .select("path", "members"))
 
 
-def _each_member(batches: Iterator[pa.RecordBatch], read: Callable) -> Iterator[pa.RecordBatch]:
-    """Open every listed member and pass it on."""
+def _each_member(batches: Iterator[pa.RecordBatch], read: Callable, failed: Callable) -> Iterator[pa.RecordBatch]:
+    """Open every listed member and pass it on; ``failed`` gets those that cannot be read, and why."""
+    csv.field_size_limit(sys.maxsize)
     for batch in batches:
         for stretch in batch.to_pylist():
             with open_archive(stretch["path"]) as archive:
@@ -111,8 +140,18 @@ def _each_member(batches: Iterator[pa.RecordBatch], read: Callable) -> Iterator[
                     info = infos[entry["entry_no"]]
                     if info.filename != entry["nome_arquivo"]:
                         raise RuntimeError(f"{stretch['path']} was replaced while it was being read")
-                    with archive.open(info) as member:
-                        yield from read(entry, member)
+                    try:
+                        if info.flag_bits & ENCRYPTED:
+                            raise zipfile.BadZipFile("the member is encrypted")
+                        with archive.open(info) as member:
+                            yield from read(entry, member)
+                    except UNREADABLE as error:
+                        yield failed(entry, str(error))
+                    except OSError as error:
+                        # What the bzip2 module raises for bad bytes; the store's errors have numbers or other words.
+                        if info.compress_type != zipfile.ZIP_BZIP2 or str(error) != "Invalid data stream":
+                            raise
+                        yield failed(entry, str(error))
 
 
 def _read_header(member, encoding: str, sep: str) -> list[str]:
@@ -196,16 +235,34 @@ def _irregular_cells(rows: Sequence[pa_csv.InvalidRow], raw_names: list[str], wa
 
 def archive_rows(entries: DataFrame, columns: Sequence[str], renames: Mapping[str, str] | None = None,
                  required: Sequence[str] = (), sep: str = ";", encoding: str = "latin1",
-                 missing: Sequence[str] = ("",), task_bytes: int = TASK_BYTES) -> DataFrame:
+                 missing: Sequence[str] = ("",), task_bytes: int = TASK_BYTES,
+                 max_tasks: int = MAX_TASKS) -> DataFrame:
     """Rows of the delimited members, all cells as text.
 
     Header names are cleaned and mapped per member, so members with differing headers come out under the same
     ``columns``. A cell of a column the member lacks is null; ``absent`` lists those of them that are ``required``. A
     row shorter than the header is filled with nulls, ``surplus`` counts the fields of a row beyond the header. Every
-    member also gives one row without ``row_id``, so that one without data is not lost.
+    member also gives one row without ``row_id``, so that one without data is not lost. A member that cannot be read
+    to its end gives another one with its ``problem``; rows before the fault may be there.
     """
     columns, renames, required, missing = list(columns), dict(renames or {}), list(required), list(missing)
 
+    def rows_of(entry: dict, absent, problem: str | None, row_ids: pa.Array, surplus: pa.Array,
+                cells: Mapping[str, pa.Array]) -> pa.RecordBatch:
+        size = len(row_ids)
+        data = {"origem_zip": pa.repeat(pa.scalar(entry["origem_zip"], pa.string()), size),
+                "arquivo": pa.repeat(pa.scalar(entry["nome_arquivo"], pa.string()), size),
+                "archive_mtime": pa.repeat(pa.scalar(entry["archive_mtime"], pa.timestamp("us", tz="UTC")), size),
+                "entry_mtime": pa.repeat(pa.scalar(entry["entry_mtime"], pa.timestamp("us")), size),
+                "row_id": row_ids, "surplus": surplus,
+                "absent": pa.repeat(pa.scalar(absent, pa.list_(pa.string())), size),
+                "problem": pa.repeat(pa.scalar(problem, pa.string()), size)}
+        data.update({name: cells.get(name, pa.nulls(size, pa.string())) for name in columns})
+        return pa.RecordBatch.from_pydict(data)
+
+    def failed(entry: dict, problem: str) -> pa.RecordBatch:
+        return rows_of(entry, None, problem, pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), {})
+
     def read(entry: dict, member) -> Iterator[pa.RecordBatch]:
         raw = _read_header(member, encoding, sep)
         header = standard_names(raw, renames)
@@ -214,15 +271,7 @@ def archive_rows(entries: DataFrame, columns: Sequence[str], renames: Mapping[st
         absent = [name for name in required if name not in header] or None
 
         def batch(row_ids: pa.Array, surplus: pa.Array, cells: Mapping[str, pa.Array]) -> pa.RecordBatch:
-            size = len(row_ids)
-            data = {"origem_zip": pa.repeat(pa.scalar(entry["origem_zip"], pa.string()), size),
-                    "arquivo": pa.repeat(pa.scalar(entry["nome_arquivo"], pa.string()), size),
-                    "archive_mtime": pa.repeat(pa.scalar(entry["archive_mtime"], pa.timestamp("us", tz="UTC")), size),
-                    "entry_mtime": pa.repeat(pa.scalar(entry["entry_mtime"], pa.timestamp("us")), size),
-                    "row_id": row_ids, "surplus": surplus,
-                    "absent": pa.repeat(pa.scalar(absent, pa.list_(pa.string())), size)}
-            data.update({name: cells.get(name, pa.nulls(size, pa.string())) for name in columns})
-            return pa.RecordBatch.from_pydict(data)
+            return rows_of(entry, absent, None, row_ids, surplus, cells)
 
         yield batch(pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), {})
         if not raw:
@@ -234,9 +283,10 @@ def archive_rows(entries: DataFrame, columns: Sequence[str], renames: Mapping[st
             yield batch(pa.array(numbers, pa.int64()), surplus, {name: by_source[key] for name, key in source.items()})
 
     schema = ("origem_zip STRING, arquivo STRING, archive_mtime TIMESTAMP, entry_mtime TIMESTAMP_NTZ, row_id BIGINT, "
-              "surplus BIGINT, absent ARRAY<STRING>, " + ", ".join(f"`{name}` STRING" for name in columns))
-    members = spread_members(entries, ["origem_zip", "nome_arquivo", "archive_mtime", "entry_mtime"], task_bytes)
-    return members.mapInArrow(lambda batches: _each_member(batches, read), schema)
+              "surplus BIGINT, absent ARRAY<STRING>, problem STRING, " + ", ".join(f"`{name}` STRING" for name in columns))
+    members = spread_members(entries, ["origem_zip", "nome_arquivo", "archive_mtime", "entry_mtime"],
+                             task_bytes, max_tasks)
+    return members.mapInArrow(lambda batches: _each_member(batches, read, failed), schema)
 
 
 def data_rows(rows: DataFrame) -> DataFrame:
@@ -246,28 +296,47 @@ def data_rows(rows: DataFrame) -> DataFrame:
 
 def member_rows(rows: DataFrame) -> DataFrame:
     """The one row per member of an :func:`archive_rows` result."""
-    return rows.filter(F.col("row_id").isNull())
+    return rows.filter(F.col("row_id").isNull() & F.col("problem").isNull())
+
+
+def unreadable_members(rows: DataFrame) -> DataFrame:
+    """Rows of an :func:`archive_rows` result that tell why a member could not be read, in ``problem``."""
+    return rows.filter(F.col("problem").isNotNull())
 
 
-def member_contents(entries: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
-    """Raw bytes of the members under their ingest names, in numbered chunks."""
+def member_contents(entries: DataFrame, task_bytes: int = TASK_BYTES, max_tasks: int = MAX_TASKS,
+                    chunk_bytes: int = CONTENT_CHUNK) -> DataFrame:
+    """Raw bytes of the members under their ingest names, in numbered chunks.
+
+    A member that cannot be read to its end gives a row without ``chunk_no`` that has its ``problem``; its chunks are not
+    to be used.
+    """
+    names = ("arquivo_ingestao", "origem_zip", "nome_arquivo", "entry_mtime")
 
     def read(entry: dict, member) -> Iterator[pa.RecordBatch]:
         chunk_no = 0
-        while (content := member.read(CONTENT_CHUNK)) or chunk_no == 0:
-            row = {**{name: entry[name] for name in ("arquivo_ingestao", "origem_zip", "nome_arquivo")},
-                   "entry_mtime": entry["entry_mtime"], "chunk_no": chunk_no, "content": content}
-            yield pa.RecordBatch.from_pylist([row], schema=CONTENT_SCHEMA)
+        while (content := member.read(chunk_bytes)) or chunk_no == 0:
+            yield chunk(entry, chunk_no, content, None)
             chunk_no += 1
             if not content:
                 break
 
-    members = spread_members(entries, ["arquivo_ingestao", "origem_zip", "nome_arquivo", "entry_mtime"], task_bytes)
-    return members.mapInArrow(lambda batches: _each_member(batches, read),
+    def chunk(entry: dict, chunk_no: int | None, content: bytes | None, problem: str | None) -> pa.RecordBatch:
+        row = {name: entry[name] for name in names} | {"chunk_no": chunk_no, "content": content, "problem": problem}
+        return pa.RecordBatch.from_pylist([row], schema=CONTENT_SCHEMA)
+
+    def failed(entry: dict, problem: str) -> pa.RecordBatch:
+        return chunk(entry, None, None, problem)
+
+    members = spread_members(entries, names, task_bytes, max_tasks)
+    return members.mapInArrow(lambda batches: _each_member(batches, read, failed),
                               "arquivo_ingestao STRING, origem_zip STRING, nome_arquivo STRING, "
-                              "entry_mtime TIMESTAMP_NTZ, chunk_no BIGINT, content BINARY")
+                              "entry_mtime TIMESTAMP_NTZ, chunk_no BIGINT, content BINARY, problem STRING")
 
 
 CONTENT_SCHEMA = pa.schema([("arquivo_ingestao", pa.string()), ("origem_zip", pa.string()),
                             ("nome_arquivo", pa.string()), ("entry_mtime", pa.timestamp("us")),
-                            ("chunk_no", pa.int64()), ("content", pa.binary())])
+                            ("chunk_no", pa.int64()), ("content", pa.binary()), ("problem", pa.string())])
+ENTRY_SCHEMA = pa.schema([("path", pa.string()), ("arquivo", pa.string()), ("archive_mtime", pa.timestamp("us", tz="UTC")),
+                          ("entry_no", pa.int64()), ("nome_arquivo", pa.string()), ("entry_mtime", pa.timestamp("us")),
+                          ("tamanho_bytes", pa.int64()), ("bytes_before", pa.int64()), ("problem", pa.string())])

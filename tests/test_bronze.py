@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import pytest
+from pyspark.sql import functions as F
+
 from conftest import NEW, OLD, new_row, old_row, report, tuples, write_zip
 from sluice.operators.quality import (Rule, accepted_rows, failure_counts, quarantined_rows, schema_failures,
                                       standardise_columns)
@@ -69,28 +72,120 @@ def test_a_restated_archive_is_a_new_version(spark, landing, bronze_tables):
     assert tuples(spark.table(bronze_tables.bronze), "VL_QUOTA") == [("1.0",), ("2.0",)]
 
 
-def test_a_run_that_broke_off_after_the_failures_is_completed(spark, landing, bronze_tables, monkeypatch):
-    from sluice.plans import bronze
-
-    write_zip(landing / "a.zip", [("good.csv", report(OLD, old_row())), ("bad.csv", report(OLD, old_row(holders="x")))])
-    real, calls = bronze.append_by_name, []
+def breaking(monkeypatch, module, name, when):
+    """Make the module's ``name`` write a part and fail, the ``when``-th time."""
+    real, calls = getattr(module, name), []
 
-    def breaks(df, table, *rest):
-        calls.append(table)
-        if len(calls) == 2:
+    def breaks(df, *rest, **more):
+        calls.append(name)
+        if len(calls) == when:
+            real(df.limit(1), *rest, **more)
             raise RuntimeError("lost")
-        real(df, table, *rest)
+        return real(df, *rest, **more)
+
+    monkeypatch.setattr(module, name, breaks)
+
+
+@pytest.mark.parametrize("when", [1, 2, 3])
+def test_a_run_that_broke_off_is_done_whole_by_the_next(spark, landing, bronze_tables, monkeypatch, when):
+    """It breaks off within the failures, within the rows, within the record: nothing of it counts, nothing is lost."""
+    from sluice.operators.loads import unfinished_loads
+    from sluice.plans import bronze
 
-    monkeypatch.setattr(bronze, "append_by_name", breaks)
-    try:
+    months = [old_row(fund="1", day="2025-03-03"), old_row(fund="2", day="2025-04-03")]
+    write_zip(landing / "a.zip", [("good.csv", report(OLD, *months)), ("bad.csv", report(OLD, old_row(holders="x")))])
+    breaking(monkeypatch, bronze, "append_part", when)
+    with pytest.raises(RuntimeError):
         load(spark, landing, bronze_tables)
-    except RuntimeError:
-        pass
     monkeypatch.undo()
-    assert spark.table(bronze_tables.bronze).count() == 0
-    load(spark, landing, bronze_tables)
-    assert spark.table(bronze_tables.bronze).count() == 1
+    assert spark.table(bronze_tables.bronze).count() == 0 and failures_of(spark, bronze_tables) == []
+    assert unfinished_loads(spark, bronze_tables.log).count() == 1
+    assert load(spark, landing, bronze_tables)
+    assert tuples(spark.table(bronze_tables.bronze), "CNPJ_FUNDO") == [("1",), ("2",)]
     assert len(failures_of(spark, bronze_tables)) == 1
+    assert not load(spark, landing, bronze_tables)
+
+
+def test_a_member_without_rows_is_done_once(spark, landing, bronze_tables, monkeypatch):
+    from sluice.plans import bronze
+
+    write_zip(landing / "a.zip", [("none.csv", report(OLD)), ("folder/", "")])
+    write_zip(landing / "empty.zip", [])
+    done = load(spark, landing, bronze_tables)
+    assert (done.archives, done.accepted, done.rows) == (2, 1, 0)
+    monkeypatch.setattr(bronze, "stage_members", None)
+    assert not load(spark, landing, bronze_tables)
+
+
+def test_results_say_what_a_load_did(spark, landing, bronze_tables):
+    write_zip(landing / "a.zip", [("a.csv", report(OLD, old_row(), old_row(fund="2"))),
+                                  ("b.csv", report(OLD, old_row(holders="x"), old_row(fund="")))])
+    done = load(spark, landing, bronze_tables)
+    assert (done.archives, done.accepted, done.rejected, done.rows, done.failures) == (1, 1, 1, 2, 2)
+
+
+def test_recorded_archives_are_not_opened_and_bronze_is_not_read(spark, landing, bronze_tables):
+    from sluice.plans.bronze import unseen_archives
+    from sluice.sources.landing import landing_manifest
+
+    write_zip(landing / "a.zip", [("a.csv", report(OLD, old_row()))])
+    load(spark, landing, bronze_tables)
+    write_zip(landing / "b.zip", [("b.csv", report(OLD, old_row()))])
+    fresh = unseen_archives(spark, bronze_tables, landing_manifest(spark, str(landing)))
+    assert tuples(fresh, "arquivo") == [("b.zip",)]
+    plan = fresh._jdf.queryExecution().toString()
+    assert f"{bronze_tables.bronze}_parts" not in plan
+
+
+def damaged(path, at=None, cut=None):
+    content = bytearray(path.read_bytes())
+    if at is not None:
+        content[at] ^= 0xFF
+    path.write_bytes(bytes(content[:cut]))
+
+
+def test_what_cannot_be_read_is_set_aside(spark, landing, bronze_tables):
+    good = report(OLD, old_row(fund="1"))
+    write_zip(landing / "a.zip", [("good.csv", good)])
+    write_zip(landing / "broken.zip", [("x.csv", good)])
+    damaged(landing / "broken.zip", cut=40)
+    (landing / "none.zip").write_bytes(b"none")
+    write_zip(landing / "changed.zip", [("first.csv", report(OLD, *[old_row(fund=str(i)) for i in range(99)])), ("second.csv", good)])
+    damaged(landing / "changed.zip", at=30 + len("first.csv") + 60)
+    write_zip(landing / "locked.zip", [("locked.csv", good)])
+    content = bytearray((landing / "locked.zip").read_bytes())
+    content[6] |= 1  # in the member's own header and in the directory's
+    content[content.index(b"PK\x01\x02") + 8] |= 1
+    (landing / "locked.zip").write_bytes(bytes(content))
+    done = load(spark, landing, bronze_tables)
+    assert tuples(spark.table(bronze_tables.bronze), "arquivo", "CNPJ_FUNDO") == [("good.csv", "1"), ("second.csv", "1")]
+    told = [(r.origem_zip, r.arquivo, r.check_name) for r in spark.table(bronze_tables.failures).collect()]
+    assert sorted(told, key=repr) == sorted([("broken", None, "archive_unreadable"), ("none", None, "archive_unreadable"),
+                                             ("changed", "first.csv", "member_unreadable"),
+                                             ("locked", "locked.csv", "member_unreadable")], key=repr)
+    assert (done.accepted, done.rejected) == (2, 2) and not load(spark, landing, bronze_tables)
+
+
+def test_long_fields_and_rows(spark, landing, bronze_tables):
+    """A long field is a field; a row longer than a block sets its file aside."""
+    write_zip(landing / "a.zip", [("good.csv", report(OLD, old_row(fund="1"))),
+                                  ("field.csv", report(OLD, old_row(fund="2" * 200_000))),
+                                  ("odd.csv", report(OLD, old_row(fund="3" * 200_000) + ["x"])),
+                                  ("row.csv", report(OLD, old_row(fund="4" * (70 << 20))))])
+    load(spark, landing, bronze_tables)
+    assert tuples(spark.table(bronze_tables.bronze), "arquivo", F.length("CNPJ_FUNDO")) == [
+        ("field.csv", 200_000), ("good.csv", 1)]
+    assert {row[3] for row in failures_of(spark, bronze_tables)} == {"field_count", "member_unreadable"}
+
+
+def test_an_error_of_the_store_is_raised(spark, landing, bronze_tables, monkeypatch):
+    from sluice.sources import archives
+    from sluice.sources.landing import landing_manifest
+
+    write_zip(landing / "a.zip", [("a.csv", report(OLD, old_row()))])
+    gone = landing_manifest(spark, str(landing)).withColumn("path", F.concat("path", F.lit(".gone")))
+    with pytest.raises(Exception, match="gone"):
+        archives.listed_archives(gone).collect()
 
 
 def test_only_unseen_members_are_decoded(spark, landing, bronze_tables):

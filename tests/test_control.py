@@ -2,20 +2,21 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import tuples, write_zip
 from sluice.operators.files import file_versions
 from sluice.operators.manifest import exclude_names, ingest_plan, manifest_diff
-from sluice.plans.control import load_control
+from sluice.plans.control import destinations, load_control, run_control
 from sluice.plans.discovery import fetch_plan
 from sluice.sources.landing import landing_manifest
 
 EARLY, LATE = (2025, 3, 5, 9, 10, 12), (2025, 4, 5, 9, 10, 12)
 
 
-def load(spark, landing, tables, exclude=()):
-    load_control(spark, landing_manifest(spark, str(landing)), tables, exclude)
+def load(spark, landing, tables, exclude=(), **how):
+    return load_control(spark, landing_manifest(spark, str(landing)), tables, exclude, **how)
 
 
 def recorded(spark, tables):
@@ -34,8 +35,8 @@ def test_members_are_recorded_and_landed_once(spark, landing, control_tables):
 
 
 def test_a_new_version_of_a_member_is_a_new_row(spark, landing, control_tables):
-    for when in (EARLY, LATE):
-        write_zip(landing / "a.zip", [("x.csv", "abc"), ("y.csv", "abc")], when)
+    for when, landed in ((EARLY, 1_741_000_000), (LATE, 1_744_000_000)):
+        write_zip(landing / "a.zip", [("x.csv", "abc"), ("y.csv", "abc")], when, landed)
         load(spark, landing, control_tables)
     write_zip(landing / "b.zip", [("z.csv", "abc")], LATE)
     load(spark, landing, control_tables)
@@ -53,26 +54,60 @@ def test_members_of_one_name_in_two_archives(spark, landing, control_tables):
         ("a", bytearray(b"early")), ("b", bytearray(b"late"))]
 
 
-def test_a_run_that_broke_off_before_recording_lands_nothing_twice(spark, landing, control_tables, monkeypatch):
+@pytest.mark.parametrize("when", [1, 2, 3])
+def test_a_run_that_broke_off_is_done_whole_by_the_next(spark, landing, control_tables, monkeypatch, when):
+    """It breaks off after the first of three chunks, within the control rows, within the archives."""
     from sluice.plans import control
 
-    write_zip(landing / "a.zip", [("x.csv", "abc")], EARLY)
-    real = control.append_by_name
+    write_zip(landing / "a.zip", [("x.csv", "abcdefghi"), ("y.csv", "abc")], EARLY)
+    real, calls = control.append_part, []
 
-    def breaks(df, table, *rest):
-        if table == control_tables.control:
+    def breaks(df, *rest):
+        calls.append(rest)
+        real(df.limit(1) if len(calls) == when else df, *rest)
+        if len(calls) == when:
             raise RuntimeError("lost")
-        real(df, table, *rest)
 
-    monkeypatch.setattr(control, "append_by_name", breaks)
-    try:
-        load(spark, landing, control_tables)
-    except RuntimeError:
-        pass
+    monkeypatch.setattr(control, "append_part", breaks)
+    with pytest.raises(RuntimeError):
+        load(spark, landing, control_tables, chunk_bytes=3)
     monkeypatch.undo()
-    load(spark, landing, control_tables)
-    assert spark.table(control_tables.members).count() == 1
-    assert spark.table(control_tables.control).count() == 1
+    assert spark.table(control_tables.members).count() == spark.table(control_tables.control).count() == 0
+    assert load(spark, landing, control_tables, chunk_bytes=3)
+    assert tuples(spark.table(control_tables.members).where("nome_arquivo = 'x.csv'"), "chunk_no", "content") == [
+        (0, bytearray(b"abc")), (1, bytearray(b"def")), (2, bytearray(b"ghi"))]
+    assert spark.table(control_tables.control).count() == 2
+    assert not load(spark, landing, control_tables)
+
+
+def test_unreadable_members_are_recorded_with_their_state(spark, landing, control_tables):
+    write_zip(landing / "a.zip", [("x.csv", "abc" * 50), ("y.csv", "abc")], EARLY)
+    content = bytearray((landing / "a.zip").read_bytes())
+    content[30 + len("x.csv") + 2] ^= 0xFF
+    (landing / "a.zip").write_bytes(bytes(content))
+    (landing / "b.zip").write_bytes(b"no archive")
+    done = load(spark, landing, control_tables)
+    assert (done.archives, done.unreadable, done.members) == (2, 1, 2)
+    assert tuples(spark.table(control_tables.control), "nome_arquivo", "situacao_arquivo") == [
+        ("x.csv", "member_unreadable"), ("y.csv", None)]
+    assert not load(spark, landing, control_tables)
+
+
+def test_pages_lead_to_members_with_their_destination(spark, landing, control_tables):
+    write_zip(landing / "stray.zip", [("s.csv", "abc")], EARLY)
+    pages = spark.createDataFrame([(1, '<a href="a.zip">a</a><a href="b.zip">b</a><a href="n.txt">n</a>'),
+                                   (2, '<a href="a.zip">again</a>')], "page INT, html STRING")
+    asked = []
+
+    def fetch(plan):
+        asked.append(tuples(plan, "nome_arquivo", "caminho_completo"))
+        write_zip(landing / "a.zip", [("x.csv", "abc")], EARLY)
+
+    plan = destinations(pages, F.lit("h/"), F.concat(F.lit("to/"), F.col("page").cast("string")), order=["page"],
+                        exclude=["b"])
+    assert run_control(spark, plan, str(landing), control_tables, fetch)
+    assert asked == [[("a", "to/2")]]
+    assert tuples(spark.table(control_tables.members), "nome_arquivo", "caminho_destino") == [("x.csv", "to/2")]
 
 
 def test_excluded_archives_are_left_out(spark, landing, control_tables):

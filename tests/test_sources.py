@@ -188,3 +188,17 @@ def test_contents_come_whole_in_chunks(spark, landing, monkeypatch):
     assert [(row.nome_arquivo, row.chunk_no) for row in found] == [("m.bin", 0), ("m.bin", 1), ("m.bin", 2),
                                                                    ("none.bin", 0)]
     assert {row.arquivo_ingestao for row in found} == {"m_20250305091012.bin", "none_20250305091012.bin"}
+
+
+def test_many_stretches_in_few_tasks(spark, landing):
+    """The same rows as with a task for each stretch, dealt out evenly."""
+    for i in range(4):
+        write_zip(landing / f"{i}.zip", [(f"{i}_{k}.csv", f"A;B\n{i};{k}\n") for k in range(250)])
+    entries = entries_of(spark, landing)
+    few = archives.spread_members(entries, ["nome_arquivo"], task_bytes=8, max_tasks=10)
+    assert few.count() == 1000 and few.rdd.getNumPartitions() == 10
+    sizes = few.groupBy(F.spark_partition_id()).count().select("count").collect()
+    assert max(r[0] for r in sizes) <= 2 * 1000 / 10
+    rows = [tuples(archives.archive_rows(entries, ["A", "B"], task_bytes=8, max_tasks=n), "arquivo", "A", "B")
+            for n in (10, 10_000)]
+    assert rows[0] == rows[1]
