@@ -69,9 +69,9 @@ def _sum_without_carry(a: Column, b: Column) -> Column:
 
 
 def around(value: Column, max_bits: int) -> Column:
-    """The value and, for two bits, all values one bit away: what two linked fingerprints have in common."""
+    """Array of the value and, for two bits, all values one bit away: what two linked fingerprints have in common."""
     flips = [0] if max_bits == 0 else [0, *(1 << i for i in range(63)), -(1 << 63)]
-    return F.explode(F.array(*(value.bitwiseXOR(F.lit(flip).cast("bigint")) for flip in flips)))
+    return F.array(*(value.bitwiseXOR(F.lit(flip).cast("bigint")) for flip in flips))
 
 
 def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -82,11 +82,11 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """
     if max_bits not in (0, 2):
         raise ValueError("the common value exists for a distance of 0 or 2 bits")
-    points = distinct.select("fp", around(F.col("fp"), max_bits).alias("middle"))
+    middles = around(F.col("fp"), max_bits)
+    points = distinct.select("fp", F.explode(middles).alias("middle"))
     points = points.select("fp", "middle", cell(F.col("middle")).alias("cell"))
-    in_grid = distinct.select("fp", F.explode(F.array_distinct(F.array(
-        *(cell(F.col("fp").bitwiseXOR(F.lit(flip).cast("bigint")))
-          for flip in ([0] if max_bits == 0 else [0, *(1 << i for i in range(63)), -(1 << 63)]))))).alias("cell"))
+    # A fingerprint's own cell and those a step away; several values around it may lie in one.
+    in_grid = distinct.select("fp", F.explode(F.array_distinct(F.transform(middles, cell))).alias("cell"))
     shared = (in_grid.groupBy("cell").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
               .where("low < high").select("cell"))
     met = lookup_join(points, shared, ["cell"], "left_semi")
