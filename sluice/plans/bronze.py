@@ -16,7 +16,7 @@ from sluice.operators.joins import settle
 from sluice.operators.loads import (append_part, begin_load, create_loaded_table, create_log, finish_load, finished_rows,
                                     part_rows)
 from sluice.operators.quality import accepted_rows, failure, failure_counts, missing_columns, value_failures
-from sluice.session import new_folder
+from sluice.session import new_folder, remove_folder
 from sluice.sources.archives import (MAX_TASKS, TASK_BYTES, archive_rows, data_rows, listed_archives, member_rows,
                                      unreadable_members)
 from sluice.sources.landing import landing_manifest
@@ -122,12 +122,12 @@ def report_failures(staged: DataFrame) -> DataFrame:
             .unionByName(unreadable(unreadable_members(staged), "member_unreadable")))
 
 
-def stage_members(spark: SparkSession, entries: DataFrame, task_bytes: int = TASK_BYTES,
-                  max_tasks: int = MAX_TASKS) -> DataFrame:
+def stage_members(spark: SparkSession, entries: DataFrame, task_bytes: int = TASK_BYTES, max_tasks: int = MAX_TASKS,
+                  folder: str | None = None) -> DataFrame:
     """Rows of the members, decoded once and written to the shared folder; checking and loading both read them there."""
     rows = archive_rows(entries, layouts.REPORT_COLUMNS + layouts.OPTIONAL_COLUMNS, layouts.REPORT_RENAMES,
                         layouts.REPORT_COLUMNS, missing=layouts.MISSING_TEXTS, task_bytes=task_bytes, max_tasks=max_tasks)
-    folder = new_folder(spark, "staged")
+    folder = folder or new_folder(spark, "staged")
     rows.withColumnRenamed("archive_mtime", "data_modificacao").drop("entry_mtime").write.parquet(folder)
     return spark.read.parquet(folder)
 
@@ -156,12 +156,12 @@ def changed_months(spark: SparkSession, tables: BronzeTables, load: str) -> list
 
 
 def load_bronze(spark: SparkSession, landing: str, tables: BronzeTables, suffix: str = ".zip",
-                task_bytes: int = TASK_BYTES, max_tasks: int = MAX_TASKS) -> LoadResult:
+                task_bytes: int = TASK_BYTES, max_tasks: int = MAX_TASKS, discard_staged: bool = False) -> LoadResult:
     """Append the rows of members that are new in the landing folder; the result is false when there was nothing new.
 
     A file with any failure is recorded and left out whole, one that cannot be read included. Everything is stored under
     the number of the load, and counts once the load is finished: a run that breaks off has done nothing, and the next one
-    takes the same files up again.
+    takes the same files up again. With ``discard_staged`` the decoded copy of the load is deleted once it has finished.
     """
     fresh = settle(unseen_archives(spark, tables, landing_manifest(spark, landing, suffix)))
     archives = fresh.count()
@@ -173,7 +173,8 @@ def load_bronze(spark: SparkSession, landing: str, tables: BronzeTables, suffix:
     whole = listed.where("problem IS NULL").drop("problem")
     broken = listed.where("problem IS NOT NULL").select(
         "origem_zip", F.lit(None).cast("string").alias("arquivo"), F.col("archive_mtime").alias("data_modificacao"), "problem")
-    staged = stage_members(spark, unseen_members(spark, tables, whole), task_bytes, max_tasks)
+    folder = new_folder(spark, "staged")
+    staged = stage_members(spark, unseen_members(spark, tables, whole), task_bytes, max_tasks, folder)
     append_part(report_failures(staged).unionByName(unreadable(broken, "archive_unreadable")), tables.failures, load)
     failures = part_rows(spark, tables.failures, load).where("arquivo IS NOT NULL")
     append_part(bronze_projection(accepted_rows(data_rows(staged), failures, FILE)), tables.bronze, load)
@@ -187,4 +188,6 @@ def load_bronze(spark: SparkSession, landing: str, tables: BronzeTables, suffix:
         F.count_if(F.col("estado") == LOADED).alias("accepted"), F.count_if(F.col("estado") == REJECTED).alias("rejected"),
         F.coalesce(F.sum("linhas"), F.lit(0)).alias("rows"), F.coalesce(F.sum("falhas"), F.lit(0)).alias("failures")).first()
     finish_load(spark, tables.log, load, changed_months(spark, tables, load) if done.rows else [])
+    if discard_staged:
+        remove_folder(spark, folder)
     return LoadResult(archives, done.accepted, done.rejected, done.rows, done.failures)

@@ -50,6 +50,14 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that :func:`new_folder` has named, with what is in it."""
+    if not folder.startswith(f"{shared_folder(spark).rstrip('/')}/"):
+        raise ValueError(f"{folder} is not in the shared folder")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +119,20 @@ def test_a_member_without_rows_is_done_once(spark, landing, bronze_tables, monke
     assert not load(spark, landing, bronze_tables)
 
 
+def test_the_decoded_copy_can_be_discarded(spark, landing, bronze_tables, tmp_path, monkeypatch):
+    from sluice.plans import bronze
+
+    write_zip(landing / "a.zip", [("a.csv", report(OLD, old_row()))])
+    removed = []
+    real = bronze.remove_folder
+    monkeypatch.setattr(bronze, "remove_folder", lambda session, folder: (removed.append(folder), real(session, folder)))
+    assert load_bronze(spark, str(landing), bronze_tables, discard_staged=True)
+    assert len(removed) == 1 and not Path(removed[0].removeprefix("file:")).exists()
+    assert spark.table(bronze_tables.bronze).count() == 1
+    with pytest.raises(ValueError):
+        real(spark, str(tmp_path))
+
+
 def test_results_say_what_a_load_did(spark, landing, bronze_tables):
     write_zip(landing / "a.zip", [("a.csv", report(OLD, old_row(), old_row(fund="2"))),
                                   ("b.csv", report(OLD, old_row(holders="x"), old_row(fund="")))])
