@@ -96,10 +96,9 @@ def bit_map(spark: SparkSession, hashes: DataFrame) -> object:
     place = F.shiftrightunsigned("shingle", 64 - MAP_BITS)
     parts = (hashes.select(F.shiftright(place, 5).alias("part"),
                            F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(31).cast("int")).alias("bit"))
-             .groupBy("part").agg(F.bit_or("bit").alias("bits")).collect())
+             .groupBy("part").agg(F.bit_or("bit").alias("bits")).toArrow())
     bits = np.zeros(1 << (MAP_BITS - 5), np.uint32)
-    for part, value in parts:
-        bits[part] = value
+    bits[parts["part"].to_numpy()] = parts["bits"].to_numpy()
     return spark.sparkContext.broadcast(np.unpackbits(bits.view(np.uint8), bitorder="little").astype(bool))
 
 

@@ -10,7 +10,9 @@ against what is known already; keys do not, and a candidate whose marginal bytes
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -31,6 +33,7 @@ KINDS = (*BASE_KINDS, "novel")
 #: Words after which a string may be a secret, whatever stands between within the distance.
 SENSITIVE = re.compile(r"password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key"
                        r"|credential|bearer|authorization|signature", re.IGNORECASE | re.ASCII)
+CANDIDATE_LEAST = 16
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 DISTANCE = 48
 AROUND = 256
@@ -69,17 +72,29 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def candidates(text: str, taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
-    """Places of strings that follow a sensitive word, hold both letters and digits, and touch no base span."""
+    """Places of strings that follow a sensitive word, hold both letters and digits, and touch no base span.
+
+    A string may begin right at the end of the word. Each string is looked at once for each word it is near to.
+    """
+    words = [near.end() for near in SENSITIVE.finditer(text)]
+    if not words:
+        return
+    starts, reach = [start for start, _, _ in taken], list(accumulate((end for _, end, _ in taken), max))
     last = -1
-    for near in SENSITIVE.finditer(text):
-        for match in CANDIDATE.finditer(text, near.end()):
-            if match.start() > near.end() + DISTANCE:
-                break
-            string = match[0]
-            if (match.start() > last and re.search("[0-9]", string) and re.search("[A-Za-z]", string)
-                    and all(match.end() <= start or end <= match.start() for start, end, _ in taken)):
-                yield match.span()
-            last = max(last, match.start())
+    for run in CANDIDATE.finditer(text):
+        # Words that end within the run, or before it within the distance.
+        first = bisect_left(words, run.start() - DISTANCE)
+        for word in words[first:bisect_right(words, run.end())]:
+            start, end = max(word, run.start()), run.end()
+            before = bisect_left(starts, end)
+            if start <= last or before and reach[before - 1] > start:
+                continue
+            # What the string lacks, a shorter end of it lacks as well.
+            string = text[start:end]
+            if len(string) >= CANDIDATE_LEAST and re.search("[0-9]", string) and re.search("[A-Za-z]", string):
+                yield start, end
+                last = end
+            break
 
 
 def scanned(docs: DataFrame) -> DataFrame:
