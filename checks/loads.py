@@ -219,14 +219,17 @@ def bronze_failures(spark, folder):
 @checked(REPORT_FILES_SQL + """
 SELECT origem_zip, arquivo, CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'loaded' END AS estado,
        CASE WHEN event_type = 'error' THEN 0 ELSE count(*) END AS linhas,
-       CASE WHEN event_type = 'error' THEN count(*) ELSE 0 END AS falhas, TRUE AS dated
+       CASE WHEN event_type = 'error' THEN count(*) ELSE 0 END AS falhas,
+       CASE WHEN event_type = 'error' THEN '' ELSE strftime(min(ts), '%Y-%-m') END AS meses, TRUE AS dated
 FROM numbered GROUP BY origem_zip, arquivo, event_type
-UNION ALL SELECT DISTINCT origem_zip, NULL, 'listed', 0, 0, TRUE FROM numbered
+UNION ALL SELECT DISTINCT origem_zip, NULL, 'listed', 0, 0, '', TRUE FROM numbered
 """)
 def load_record(spark, folder):
     """What became of every member of every archive, after two loads."""
     place = landed_reports(spark, folder)
-    return dated(spark.table(loaded_reports(spark, folder, place).record), place, F.col("origem_zip"))
+    rows = dated(spark.table(loaded_reports(spark, folder, place).record), place, F.col("origem_zip"))
+    months = F.transform("meses", lambda month: F.concat_ws("-", month["ano"], month["mes"]))
+    return rows.withColumn("meses", F.array_join(months, ","))
 
 
 def damaged_reports(spark: SparkSession, folder: str) -> str:

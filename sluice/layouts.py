@@ -53,7 +53,8 @@ MEMBER_CONTENT_COLUMNS = (
 )
 # One row per member and version that a load has dealt with, and one without a name per archive it has listed.
 RECORD_COLUMNS = (
-    "origem_zip STRING, arquivo STRING, data_modificacao TIMESTAMP, estado STRING, linhas BIGINT, falhas BIGINT"
+    "origem_zip STRING, arquivo STRING, data_modificacao TIMESTAMP, estado STRING, linhas BIGINT, falhas BIGINT, "
+    "meses ARRAY<STRUCT<ano: INT, mes: INT>>"
 )
 
 # Cell texts that count as missing, the defaults of the CSV reader the source files were made for.

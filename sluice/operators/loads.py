@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.operators.tables import append_by_name, create_table, current_table
 
@@ -34,7 +35,7 @@ def create_loaded_table(spark: SparkSession, table: str, columns: str, log: str,
     """The stored parts, and the view of those whose load has finished, with just the given columns."""
     create_table(spark, parts_of(table), f"{columns}, {LOAD} STRING", (LOAD, *partition_by), table_format, location)
     # Partition columns come last in a stored table; the view has the order given.
-    names = ", ".join(column.split()[0] for column in columns.replace(", ", "\n").split("\n"))
+    names = ", ".join(field.name for field in T.StructType.fromDDL(columns))
     spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {names} FROM {parts_of(table)} "
               f"WHERE {LOAD} IN (SELECT {LOAD} FROM {log} WHERE estado = '{FINISHED}')")
 

@@ -5,17 +5,17 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice import layouts
 from sluice.functions.dates import period_columns
 from sluice.functions.names import strip_extension
-from sluice.operators.files import new_rows
 from sluice.operators.joins import settle
 from sluice.operators.loads import (append_part, begin_load, create_loaded_table, create_log, finish_load, finished_rows,
                                     part_rows)
-from sluice.operators.quality import accepted_rows, failure, failure_counts, missing_columns, value_failures
+from sluice.operators.quality import accepted_rows, failure, missing_columns, value_failures
+from sluice.operators.versions import unseen_versions
 from sluice.session import new_folder, remove_folder
 from sluice.sources.archives import (MAX_TASKS, TASK_BYTES, archive_rows, data_rows, listed_archives, member_rows,
                                      unreadable_members)
@@ -96,7 +96,7 @@ def unseen_archives(spark: SparkSession, tables: BronzeTables, manifest: DataFra
     """Archives of the manifest that no finished load has listed in this version; the others are not opened."""
     seen = recorded(spark, tables).where(F.col("estado") == LISTED).select("origem_zip", "data_modificacao")
     named = manifest.withColumn("origem_zip", strip_extension(F.col("arquivo")))
-    return new_rows(named, seen, ["origem_zip", "data_modificacao"]).select(*manifest.columns)
+    return unseen_versions(named, seen, ["origem_zip", "data_modificacao"]).select(*manifest.columns)
 
 
 def unseen_members(spark: SparkSession, tables: BronzeTables, entries: DataFrame) -> DataFrame:
@@ -104,8 +104,8 @@ def unseen_members(spark: SparkSession, tables: BronzeTables, entries: DataFrame
     record, version = recorded(spark, tables), ["nome_arquivo", "archive_mtime"]
     loaded = record.where(F.col("estado") == LOADED).select(*layouts.FILE_VERSION).toDF(*version)
     rejected = record.where(F.col("estado") == REJECTED).select(*FILE).toDF("origem_zip", *version)
-    unseen = new_rows(entries, loaded, version)
-    return new_rows(unseen, rejected, ["origem_zip", *version]).select(*entries.columns)
+    unseen = unseen_versions(entries, loaded, version)
+    return unseen_versions(unseen, rejected, ["origem_zip", *version])
 
 
 def unreadable(rows: DataFrame, check_name: str) -> DataFrame:
@@ -133,13 +133,23 @@ def stage_members(spark: SparkSession, entries: DataFrame, task_bytes: int = TAS
 
 
 def member_record(members: DataFrame, rows: DataFrame, failures: DataFrame) -> DataFrame:
-    """A row per member: whether it was taken, its rows (none if it was not), its failures."""
-    counts = rows.groupBy(*FILE).agg(F.count(F.lit(1)).alias("linhas"))
-    return (members.select(*FILE).distinct().join(counts, list(FILE), "left")
-            .join(failure_counts(failures, FILE).withColumnRenamed("failures", "falhas"), list(FILE), "left")
-            .select(*FILE, F.when(F.col("falhas").isNull(), LOADED).otherwise(REJECTED).alias("estado"),
-                    F.when(F.col("falhas").isNull(), F.coalesce("linhas", F.lit(0))).otherwise(0).alias("linhas"),
-                    F.coalesce("falhas", F.lit(0)).alias("falhas")))
+    """A row per member: whether it was taken, its rows and their months (none if it was not), its failures.
+
+    All three are counted in one aggregation, which each task begins with its own rows.
+    """
+    def counted(frame: DataFrame, row: int, fault: int, *period: Column) -> DataFrame:
+        none = F.lit(None).cast("int")
+        ano, mes = period or (none, none)
+        return frame.select(*FILE, F.lit(row).alias("row"), F.lit(fault).alias("fault"), F.when(
+            F.lit(row) == 1, F.struct(ano.alias("ano"), mes.alias("mes"))).alias("month"))
+
+    every = (counted(members, 0, 0).unionByName(counted(failures, 0, 1))
+             .unionByName(counted(rows, 1, 0, *period_columns(F.col("DT_COMPTC")).values())))
+    found = every.groupBy(*FILE).agg(F.sum("row").alias("n"), F.sum("fault").alias("falhas"), F.collect_set("month").alias("months"))
+    taken = F.col("falhas") == 0
+    return found.select(*FILE, F.when(taken, LOADED).otherwise(REJECTED).alias("estado"),
+                        F.when(taken, F.col("n")).otherwise(0).alias("linhas"), "falhas",
+                        F.when(taken, F.col("months")).otherwise(F.array()).alias("meses"))
 
 
 def append_rows(spark: SparkSession, rows: DataFrame, tables: BronzeTables) -> None:
@@ -182,12 +192,14 @@ def load_bronze(spark: SparkSession, landing: str, tables: BronzeTables, suffix:
     members = member_record(staged.where("row_id IS NULL"), data_rows(staged), failures)
     every = fresh.select(strip_extension(F.col("arquivo")).alias("origem_zip"), F.lit(None).cast("string").alias("arquivo"),
                          "data_modificacao", F.lit(LISTED).alias("estado"), F.lit(0).cast("bigint").alias("linhas"),
-                         F.lit(0).cast("bigint").alias("falhas"))
+                         F.lit(0).cast("bigint").alias("falhas"),
+                         F.array().cast(members.schema["meses"].dataType).alias("meses"))
     append_part(members.unionByName(every), tables.record, load)
     done = part_rows(spark, tables.record, load).where(F.col("estado") != LISTED).agg(
         F.count_if(F.col("estado") == LOADED).alias("accepted"), F.count_if(F.col("estado") == REJECTED).alias("rejected"),
-        F.coalesce(F.sum("linhas"), F.lit(0)).alias("rows"), F.coalesce(F.sum("falhas"), F.lit(0)).alias("failures")).first()
-    finish_load(spark, tables.log, load, changed_months(spark, tables, load) if done.rows else [])
+        F.coalesce(F.sum("linhas"), F.lit(0)).alias("rows"), F.coalesce(F.sum("falhas"), F.lit(0)).alias("failures"),
+        F.array_distinct(F.flatten(F.collect_set("meses"))).alias("months")).first()
+    finish_load(spark, tables.log, load, [(month.ano, month.mes) for month in done.months])
     if discard_staged:
         remove_folder(spark, folder)
     return LoadResult(archives, done.accepted, done.rejected, done.rows, done.failures)

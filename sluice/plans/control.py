@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from sluice import layouts
 from sluice.functions.names import strip_extension
-from sluice.operators.files import members_to_extract, new_rows
 from sluice.operators.joins import lookup_join, settle
 from sluice.operators.loads import (append_part, begin_load, create_loaded_table, create_log, finish_load, finished_rows,
                                     part_rows)
 from sluice.operators.manifest import exclude_names, ingest_plan
+from sluice.operators.versions import unseen_versions
 from sluice.plans.bronze import LISTED
 from sluice.sources.archives import CONTENT_CHUNK, MAX_TASKS, TASK_BYTES, listed_archives, member_contents
 from sluice.sources.landing import landing_manifest
@@ -106,24 +106,25 @@ def load_control(spark: SparkSession, manifest: DataFrame, tables: ControlTables
     version = list(layouts.MEMBER_VERSION)
     named = exclude_names(manifest.withColumn("origem_zip", strip_extension(F.col("arquivo"))), exclude, "origem_zip")
     seen = finished_rows(spark, tables.archives, tables.log).select(*ARCHIVE)
-    fresh = settle(new_rows(named, seen, list(ARCHIVE)).select(*manifest.columns))
+    fresh = settle(unseen_versions(named, seen, ARCHIVE).select(*manifest.columns))
     count = fresh.count()
     if not count:
         return ControlResult()
     load = begin_load(spark, tables.log)
     listed = settle(listed_archives(fresh))
     entries = listed.where("problem IS NULL").drop("problem")
-    unseen = settle(new_rows(member_metadata(entries), finished_rows(spark, tables.control, tables.log), version))
+    recorded = finished_rows(spark, tables.control, tables.log)
+    unseen = settle(unseen_versions(member_metadata(entries), recorded, version))
 
     dated = entries.withColumn("data_modificacao", F.col("entry_mtime").cast("timestamp"))
-    wanted = members_to_extract(dated, unseen, version)
+    wanted = dated.join(unseen.select(*version).distinct(), version, "left_semi")
     contents = member_contents(wanted.drop("data_modificacao"), task_bytes, max_tasks, chunk_bytes)
     contents = contents.withColumn("data_modificacao", F.col("entry_mtime").cast("timestamp")).drop("entry_mtime")
     if destination is not None:
         contents = lookup_join(contents, destination, ["origem_zip"], "left")
     append_part(contents.withColumnRenamed("problem", "problema"), tables.members, load)
     broken = part_rows(spark, tables.members, load).where("problema IS NOT NULL").select("origem_zip", *version)
-    state = lookup_join(unseen, broken.distinct().withColumn("situacao_arquivo", F.lit("member_unreadable")),
+    state = unseen.join(broken.distinct().withColumn("situacao_arquivo", F.lit("member_unreadable")),
                         ["origem_zip", *version], "left")
     append_part(state, tables.control, load)
     problems = listed.where("problem IS NOT NULL").select("origem_zip", F.col("archive_mtime").alias("data_modificacao"),

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from sluice import layouts
 from sluice.functions.dates import coerce_date
 from sluice.functions.numbers import decimal_comma
-from sluice.operators.joins import drop_matching
 from sluice.operators.loads import finished_rows
 from sluice.operators.tables import append_by_name, create_table, current_table
 from sluice.operators.versions import (complete_keys, incomplete_keys, latest_version, typed_projection,
@@ -102,8 +101,9 @@ def load_silver(spark: SparkSession, bronze_table: str, tables: SilverTables, mo
     new = unseen_versions(candidates, silver, (*layouts.SILVER_KEYS, *extra_keys, VERSION))
     append_by_name(new, tables.silver, cluster_by=["DT_COMPTC"])
     seen = current_table(spark, tables.rejects).select(*REJECT_VERSION)
-    append_by_name(drop_matching(silver_rejects(bronze).withColumns(period_key()), seen.withColumns(period_key()),
-                                 [*layouts.FILE_VERSION, *period_key()]).drop(*period_key()), tables.rejects)
+    rejects = unseen_versions(silver_rejects(bronze).withColumns(period_key()), seen.withColumns(period_key()),
+                              [*layouts.FILE_VERSION, *period_key()])
+    append_by_name(rejects.drop(*period_key()), tables.rejects)
 
 
 REJECT_VERSION = (*layouts.FILE_VERSION, "ano", "mes")
