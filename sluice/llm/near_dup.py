@@ -135,7 +135,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bit
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     groups = rooted.join(named, "root").select("fp", "component_id")
     return (marked.join(groups, "fp")
-            .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+            .select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id"))
 
 
 def one_of_each_group(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
@@ -145,17 +145,23 @@ def one_of_each_group(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_b
     one with the smallest text. A group without any doc_id keeps one row as well.
     """
     groups = near_duplicates(docs, shingle_words, max_bits)
-    winners = settle(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                     .groupBy("doc_id").agg(F.count("*").alias("copies")))
-    alone = packed(docs).join(winners.where("doc_id IS NOT NULL AND copies = 1").select(F.col("doc_id").alias("id")),
-                              F.col("row.doc_id") == F.col("id"), "left_semi")
-    several = packed(docs).join(winners.where("doc_id IS NULL OR copies > 1").select(F.col("doc_id").alias("id")),
-                                F.col("row.doc_id").eqNullSafe(F.col("id")), "left_semi")
+    firsts = settle(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+                    .select(id_key(F.col("doc_id")).alias("key"), "fingerprint"))
+    counts = firsts.groupBy("key").agg(F.count("*").alias("copies"))
+    rows = packed(docs).withColumn("key", id_key(F.col("row.doc_id")))
+    alone = lookup_join(rows, counts.where("copies = 1 AND key <> ''").select("key"), ["key"], "left_semi")
     # Repeated ids are the exception; which of their rows stay is settled by fingerprint and text.
-    several = several.withColumn("fp", F.lpad(F.lower(F.hex(fingerprints(F.col("row.text"), shingle_words))), 16, "0"))
-    several = several.join(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                           .select("fingerprint", "component_id").distinct(),
-                           (F.col("fp") == F.col("fingerprint"))
-                           & F.col("row.doc_id").eqNullSafe(F.col("component_id")), "left_semi")
-    chosen = several.groupBy("row.doc_id", "fp").agg(F.min_by("row", F.struct("row.text")).alias("row"))
+    several = settle(lookup_join(rows, counts.where("copies > 1 OR key = ''").select("key"), ["key"], "left_semi"))
+    several = several.withColumn("fingerprint", hex_digits(fingerprints(F.col("row.text"), shingle_words)))
+    several = several.join(firsts.distinct(), ["key", "fingerprint"], "left_semi")
+    chosen = several.groupBy("key", "fingerprint").agg(F.min_by("row", F.struct("row.text")).alias("row"))
     return unpacked(alone).unionByName(unpacked(chosen))
+
+
+def id_key(doc_id: Column) -> Column:
+    """A doc_id as a text that is never null."""
+    return F.coalesce(F.concat(F.lit("id "), doc_id.cast("string")), F.lit(""))
+
+
+def hex_digits(fingerprint: Column) -> Column:
+    return F.lpad(F.lower(F.hex(fingerprint)), 16, "0")
