@@ -1,10 +1,11 @@
 """Quality rules: fixed ones, and robust outliers within each language and source.
 
 Each document has a vector of four transformed statistics. Per language and source, the minimum covariance determinant
-tells what is usual there: of all subsets of three quarters of the documents, the one with the smallest determinant of its
-covariance. It is approached from two starts by concentration steps - estimate from the subset, take the documents that
-are nearest by Mahalanobis distance as the next one - and the start with the smaller determinant counts. Documents too far
-from the centre are rejected.
+tells what is usual there: of all subsets of about half of the documents, the one with the smallest determinant of its
+covariance, which no smaller group of copies can sway. It is approached from two starts by concentration steps - estimate
+from the subset, take the documents that are nearest by Mahalanobis distance as the next one - and the start with the
+smaller determinant counts. As half of the documents say little of the spread of all, the estimate is then made again from
+every document that is not far by it. Documents too far from the centre are rejected.
 
 All of it is DataFrame operations. Vectors are whole thousandths and their sums exact, and the nearest part of a group is
 found from counts of distances by fine steps, so results depend neither on the order of rows nor on how they are dealt out,
@@ -30,13 +31,16 @@ SYMBOLS = "#*$%&|<>"
 #: documents of any source have a repeated line, a quotation or long words.
 SPREADS = {"word_length": 0.03, "symbols": 0.04, "dup_lines": 0.15, "repeats": 0.15}
 UNIT = 1000
-#: Part of a group that the estimate is made from, steps, and documents below which a group joins others.
-SUBSET = 0.75
+#: Steps, and documents below which a group joins others.
 STEPS = 4
 LEAST_DOCS = 40
 #: Squared distance that one in ten thousand of normally distributed vectors exceeds, and the median of such distances.
 CUTOFF = 23.513
 MEDIAN = 3.357
+#: Squared distance that one in forty exceeds: documents beyond it do not count when the estimate is made again. Leaving
+#: them out makes the covariance of normal vectors smaller by the last factor.
+WEIGHED = 11.143
+WEIGHED_SHRINK = 1.065
 FINE = 64
 DIMS = range(len(SPREADS))
 
@@ -115,12 +119,22 @@ def grouped(stats: DataFrame) -> DataFrame:
     return lookup_join(stats.withColumn("own", source), names, ["own"], "left").drop("own")
 
 
-def quantile(counts: DataFrame, by: list[str], share: float) -> DataFrame:
-    """The smallest ``v`` that at least the share of each group's rows do not exceed; counts has ``by``, ``v``, ``n``."""
+def half(every: Column) -> Column:
+    """The larger half of so many rows."""
+    return F.ceil(every / 2)
+
+
+def subset(every: Column) -> Column:
+    """Size of the subset that the most outliers cannot sway: half of the rows, of the statistics and one."""
+    return F.least(every, F.floor((every + len(SPREADS) + 1) / 2))
+
+
+def quantile(counts: DataFrame, by: list[str], rows: Callable[[Column], Column] = half) -> DataFrame:
+    """The smallest ``v`` that at least ``rows`` of each group's rows do not exceed; counts has ``by``, ``v``, ``n``."""
     upto = Window.partitionBy(*by).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     every = Window.partitionBy(*by)
     return (counts.select("*", F.sum("n").over(upto).alias("upto"), F.sum("n").over(every).alias("all"))
-            .where(F.col("upto") >= F.ceil(F.col("all") * share)).groupBy(*by).agg(F.min("v").alias("v")))
+            .where(F.col("upto") >= rows(F.col("all"))).groupBy(*by).agg(F.min("v").alias("v")))
 
 
 def fine(distance: Column) -> Column:
@@ -136,10 +150,10 @@ def starts(points: DataFrame) -> DataFrame:
     long = points.select("g", F.explode(F.array(*(F.struct(F.lit(i).alias("dim"), F.col(f"x{i}").alias("v"))
                                                   for i in DIMS))).alias("p")).select("g", "p.*")
     counts = settle(long.groupBy("g", "dim", "v").agg(F.count("*").alias("n")))
-    middle = quantile(counts, ["g", "dim"], 0.5).withColumnRenamed("v", "m")
+    middle = quantile(counts, ["g", "dim"]).withColumnRenamed("v", "m")
     off = counts.join(middle, ["g", "dim"]).groupBy("g", "dim", "m", F.abs(F.col("v") - F.col("m")).alias("v")).agg(
         F.sum("n").alias("n"))
-    spread = quantile(off, ["g", "dim", "m"], 0.5)
+    spread = quantile(off, ["g", "dim", "m"])
     rows = spread.groupBy("g").agg(*(F.max(F.when(F.col("dim") == i, F.struct("m", "v"))).alias(f"c{i}") for i in DIMS))
     each = [F.pow((F.col(f"x{i}") - F.col(f"c{i}.m"))
                   / F.greatest(1.4826 * F.col(f"c{i}.v"), F.lit(floor * UNIT)), 2)
@@ -151,9 +165,9 @@ def starts(points: DataFrame) -> DataFrame:
 
 
 def nearest(ranked: DataFrame) -> DataFrame:
-    """Rows within the distance that the subset's share of their group does not exceed."""
+    """Rows within the distance that the subset of their group does not exceed."""
     keys = [c for c in ("g", "start") if c in ranked.columns]
-    bound = quantile(ranked.groupBy(*keys, "v").agg(F.count("*").alias("n")), keys, SUBSET).withColumnRenamed("v", "bound")
+    bound = quantile(ranked.groupBy(*keys, "v").agg(F.count("*").alias("n")), keys, subset).withColumnRenamed("v", "bound")
     return ranked.join(settle(bound), keys).where(F.col("v") <= F.col("bound"))
 
 
@@ -186,10 +200,18 @@ def distanced(points: DataFrame) -> DataFrame:
     return points.withColumn("d2", sum((F.col(f"y{i}") * F.col(f"y{i}") for i in DIMS), F.lit(0.0)))
 
 
+def scaled(points: DataFrame, model: DataFrame) -> DataFrame:
+    """The estimates with ``scale``, which makes the group's median distance that of normal vectors where it is larger."""
+    counts = (distanced(points.join(model, "g")).groupBy("g", fine(F.col("d2")).alias("v")).agg(F.count("*").alias("n")))
+    middle = quantile(counts, ["g"]).select("g", F.greatest(
+        F.lit(1.0), F.expm1((F.col("v") + 1) / FINE) / MEDIAN).alias("scale"))
+    return settle(model.join(middle, "g"))
+
+
 def usual(points: DataFrame, steps: int = STEPS) -> DataFrame:
-    """For each group ``g`` of vectors, the estimates with the smallest determinant, and ``scale``.
+    """For each group ``g`` of vectors, the estimates and ``scale``, by which squared distances are to be divided.
 
-    ``scale`` makes the group's median distance that of normal vectors where it is larger.
+    Estimates are those of the subset with the smallest determinant, made again from all vectors that are near by it.
     """
     now = estimates(nearest(starts(points)))
     columns = ["g", *(f"x{i}" for i in DIMS)]
@@ -198,10 +220,9 @@ def usual(points: DataFrame, steps: int = STEPS) -> DataFrame:
         now = estimates(nearest(ranked.select(*columns, "start", "v")))
     best = now.groupBy("g").agg(F.min_by(F.struct(*(c for c in now.columns if c != "g")),
                                          F.struct("det", "start")).alias("e")).select("g", "e.*")
-    counts = (distanced(points.join(best, "g")).groupBy("g", fine(F.col("d2")).alias("v")).agg(F.count("*").alias("n")))
-    middle = quantile(counts, ["g"], 0.5).select("g", F.greatest(
-        F.lit(1.0), F.expm1((F.col("v") + 1) / FINE) / MEDIAN).alias("scale"))
-    return best.join(middle, "g")
+    near = (distanced(points.select(*columns).join(scaled(points, best), "g"))
+            .where(F.col("d2") <= WEIGHED * F.col("scale")).select(*columns, "start"))
+    return estimates(near).withColumn("scale", F.lit(WEIGHED_SHRINK))
 
 
 def judged(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:

@@ -136,6 +136,19 @@ def test_outliers_are_told_from_their_group(spark):
     assert found[2000].kept and found[2000].distance is None
 
 
+@pytest.mark.parametrize("copies", [120, 190])
+def test_a_large_group_of_copies_is_no_part_of_what_is_usual(spark, copies):
+    """Beside 210 documents, over a third of the rows are copies of one outlier, or nearly half."""
+    rng = random.Random(9)
+    usual = [(i, " ".join("".join(rng.choices("abcd", k=rng.randint(2, 7))) for _ in range(rng.randint(30, 200))), "en",
+              "web", 0) for i in range(210)]
+    odd = " ".join(f"w{rng.random()}### $$$" for _ in range(60))
+    rows = usual + [(1000 + i, odd, "en", "web", 0) for i in range(copies)]
+    found = {r.doc_id: r for r in quality.judged(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(found[i].kept for i, *_ in usual)
+    assert not any(r.kept or r.base_failed for i, r in found.items() if i >= 1000)
+
+
 def test_long_arrays_are_summed_in_two_levels(spark):
     frame = spark.range(1).selectExpr("transform(sequence(0, 999), i -> bigint(i % 7)) AS v")
     sums = frame.select(pii.running(frame["v"]).alias("s")).first().s
