@@ -31,9 +31,10 @@ SYMBOLS = "#*$%&|<>"
 #: documents of any source have a repeated line, a quotation or long words.
 SPREADS = {"word_length": 0.03, "symbols": 0.04, "dup_lines": 0.15, "repeats": 0.15}
 UNIT = 1000
-#: Steps, and documents below which a group joins others.
 STEPS = 4
+#: Documents below which those of a source are held against their whole language, and a language has no estimate.
 LEAST_DOCS = 40
+DEFINED = len(SPREADS) + 1
 #: Squared distance that one in ten thousand of normally distributed vectors exceeds, and the median of such distances.
 CUTOFF = 23.513
 MEDIAN = 3.357
@@ -105,20 +106,33 @@ def vector() -> list[Column]:
 
 
 def grouped(stats: DataFrame) -> DataFrame:
-    """Adds ``g``: language and source, or for small groups the language's small ones together; null if these are few too.
+    """Adds ``g``, what a document is held against: its language and source, or its language where the source is small.
 
-    Only documents that pass the fixed rules count.
+    Only documents that pass the fixed rules count. ``g`` is null in a language with too few of them for an estimate.
     """
     source, language = F.to_json(F.struct("lang", "source")), F.to_json(F.struct("lang"))
     counts = (stats.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("n"))
-              .select("n", source.alias("own"), language.alias("pool")))
-    pooled = counts.where(F.col("n") < LEAST_DOCS).groupBy("pool").agg(F.sum("n").alias("n_pool"))
-    names = counts.join(pooled, "pool", "left").select("own", F.when(F.col("n") >= LEAST_DOCS, F.col("own"))
-                                                       .when(F.col("n_pool") >= LEAST_DOCS, F.concat(F.lit("rest "), "pool"))
-                                                       .alias("g"))
+              .select("n", source.alias("own"), language.alias("whole")))
+    whole = counts.groupBy("whole").agg(F.sum("n").alias("n_whole"))
+    names = counts.join(whole, "whole").select("own", F.when(F.col("n") >= LEAST_DOCS, F.col("own"))
+                                               .when(F.col("n_whole") >= DEFINED, named_whole(F.col("whole"))).alias("g"))
     return lookup_join(stats.withColumn("own", source), names, ["own"], "left").drop("own")
 
 
+def named_whole(language: Column) -> Column:
+    return F.concat(F.lit("all "), language)
+
+
+def learned_from(stats: DataFrame) -> DataFrame:
+    """The rows that estimates are made from, with ``g``: once for their source, once for their language where needed."""
+    passing = stats.where("NOT base_failed")
+    own = passing.where(F.col("g") == F.to_json(F.struct("lang", "source")))
+    language = named_whole(F.to_json(F.struct("lang")))
+    needed = passing.where(F.col("g") == language).select("g").distinct()
+    every = lookup_join(passing.withColumn("g", language), needed, ["g"], "left_semi")
+    return own.unionByName(every.select(own.columns))
+
+
 def half(every: Column) -> Column:
     """The larger half of so many rows."""
     return F.ceil(every / 2)
@@ -180,7 +194,7 @@ def estimates(subset: DataFrame) -> DataFrame:
         *(F.sum((F.col(f"x{i}") * F.col(f"x{j}")).cast("decimal(20,0)")).cast("double").alias(f"p{i}{j}")
           for i, j in pairs))
     floors = [(floor * UNIT) ** 2 for floor in SPREADS.values()]
-    now = total.select("g", "start", *((F.col(f"s{i}") / n).alias(f"mu{i}") for i in DIMS), *(
+    now = total.select("g", "start", "n", *((F.col(f"s{i}") / n).alias(f"mu{i}") for i in DIMS), *(
         (F.greatest(F.lit(0.0), F.col(f"p{i}{j}") / n - F.col(f"s{i}") * F.col(f"s{j}") / (n * n)) + floors[i] if i == j
          else F.col(f"p{i}{j}") / n - F.col(f"s{i}") * F.col(f"s{j}") / (n * n)).alias(f"c{i}{j}") for i, j in pairs))
     # Cholesky's rows from the top; what is added to the diagonal keeps the roots real.
@@ -189,7 +203,7 @@ def estimates(subset: DataFrame) -> DataFrame:
         now = now.withColumn(f"l{i}{j}", F.sqrt(F.greatest(F.col(f"c{i}{i}") - inner, F.lit(1.0))) if i == j
                              else (F.col(f"c{i}{j}") - inner) / F.col(f"l{j}{j}"))
     det = sum((F.log(f"l{i}{i}") for i in DIMS), F.lit(0.0))
-    return settle(now.select("g", "start", *(f"mu{i}" for i in DIMS), *(f"l{i}{j}" for i, j in pairs), det.alias("det")))
+    return settle(now.select("g", "start", *(f"mu{i}" for i in DIMS), *(f"l{i}{j}" for i, j in pairs), det.alias("det"), "n"))
 
 
 def distanced(points: DataFrame) -> DataFrame:
@@ -225,19 +239,28 @@ def usual(points: DataFrame, steps: int = STEPS) -> DataFrame:
     return estimates(near).withColumn("scale", F.lit(WEIGHED_SHRINK))
 
 
+def allowed(d2: Column, n: Column) -> Column:
+    """The distance that is as rare for a known covariance as ``d2`` is for one that was estimated from ``n`` vectors.
+
+    Few vectors give an uncertain covariance, and distances by it have a longer tail, that of the F distribution.
+    """
+    return (n - len(SPREADS)) * F.log1p(d2 * n / (n * n - 1))
+
+
 def judged(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """``doc_id``, ``n_words``, the four counts, ``base_failed``, ``distance`` and ``kept`` for each row of ``docs``.
 
     Columns used are ``doc_id``, ``text``, ``lang`` and ``source``. A null text counts as the empty one, which fails the
-    fixed rules. Null languages and sources are groups of their own. Documents of a language whose small sources have
-    fewer than 40 passing documents together are not judged by distance (null) and stay if they pass the fixed rules.
+    fixed rules. Null languages and sources are groups of their own. Documents of small sources are held against their
+    whole language, large sources included. In a language with fewer than five passing documents no estimate is defined;
+    these are not judged by distance (null) and stay if they pass the fixed rules.
     Repeated rows each keep their row and count in the estimates as often as they occur. An empty table gives none.
     """
     stats = statistics(docs).withColumn("base_failed", base_failed())
     stats = settle(grouped(settle(stats)).select("*", *vector()))
-    model = usual(stats.where("NOT base_failed AND g IS NOT NULL"))
+    model = usual(learned_from(stats))
     placed = distanced(lookup_join(stats, model, ["g"], "left"))
-    distance = F.round(F.col("d2") / F.col("scale"), 6)
+    distance = F.round(allowed(F.col("d2") / F.col("scale"), F.col("n")), 6)
     return placed.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          distance.alias("distance"),
                          (~F.col("base_failed") & (F.coalesce(distance, F.lit(0.0)) <= cutoff)).alias("kept"))

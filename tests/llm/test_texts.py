@@ -149,6 +149,20 @@ def test_a_large_group_of_copies_is_no_part_of_what_is_usual(spark, copies):
     assert not any(r.kept or r.base_failed for i, r in found.items() if i >= 1000)
 
 
+def test_outliers_of_small_sources_and_languages_are_told(spark):
+    rng = random.Random(10)
+
+    def text():
+        return " ".join("".join(rng.choices("abcd", k=rng.randint(2, 7))) for _ in range(rng.randint(60, 200)))
+
+    odd = " ".join(f"w{rng.random()}### $$$" for _ in range(60))
+    rows = [(i, text(), "en", "web", 0) for i in range(100)] + [(100, text(), "en", "small", 0), (1000, odd, "en", "small", 0)]
+    rows += [(200 + i, text(), "yy", f"s{i % 3}", 0) for i in range(24)] + [(1001, odd, "yy", "s0", 0)]
+    rows += [(300 + i, text(), None, None, 0) for i in range(24)] + [(1002, odd, None, None, 0)]
+    found = {r.doc_id: r for r in quality.judged(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(r.distance is not None and r.kept == (i < 1000) for i, r in found.items())
+
+
 def test_long_arrays_are_summed_in_two_levels(spark):
     frame = spark.range(1).selectExpr("transform(sequence(0, 999), i -> bigint(i % 7)) AS v")
     sums = frame.select(pii.running(frame["v"]).alias("s")).first().s
