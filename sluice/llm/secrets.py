@@ -2,7 +2,8 @@
 
 The fixed patterns find assignments, access keys and long hexadecimal strings. Beyond them, a candidate is a longer string
 that follows a sensitive word. What it says anew is measured by compression: Zstandard is primed with a dictionary of the
-words that are common in such contexts, over all documents, then with the text around the candidate; the candidate's
+words that are common in such contexts, over all documents, then with the text around the candidate, in which candidates
+are blank, so that no key is known from its own copies; the candidate's
 marginal bytes are what the output grows by when the candidate is added to that text. Names, paths and words compress
 against what is known already; keys do not, and a candidate whose marginal bytes stay close to its length is reported.
 """
@@ -97,6 +98,24 @@ def candidates(text: str, taken: list[tuple[int, int, str]]) -> Iterator[tuple[i
             break
 
 
+def surrounded(text: str, places: list[tuple[int, int]]) -> Iterator[tuple[str, str, str]]:
+    """The text before each of the places, its string, and the text after it, with blanks for candidates wherever they stand.
+
+    Both sides are blanked with as much more text as the string is long, so that none of its copies is cut in two.
+    """
+    known, parts, last = {text[a:b] for a, b in places}, [], 0
+    for a, b in places:
+        parts += [text[last:a], " " * (b - a)]
+        last = b
+    rest = "".join([*parts, text[last:]])
+    # Copies where no sensitive word is near.
+    rest = CANDIDATE.sub(lambda run: " " * len(run[0]) if run[0] in known else run[0], rest) if known else rest
+    for a, b in places:
+        string, size = text[a:b], b - a
+        before = rest[max(0, a - AROUND - size):a].replace(string, " " * size)[-AROUND:]
+        yield before, string, rest[b:b + AROUND + size].replace(string, " " * size)[:AROUND]
+
+
 def scanned(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``found`` (the base spans) and ``near`` (candidates with the text around them), a row for each row."""
     span = "array<struct<start:bigint,end:bigint,kind:string>>"
@@ -108,8 +127,9 @@ def scanned(docs: DataFrame) -> DataFrame:
             text = value.as_py() or ""
             spans = base_spans(text)
             found.append([dict(zip(("start", "end", "kind"), s)) for s in spans])
-            near.append([{"start": a, "end": b, "before": text[max(0, a - AROUND):a], "string": text[a:b],
-                          "after": text[b:b + AROUND]} for a, b in candidates(text, spans)])
+            places = list(candidates(text, spans))
+            near.append([{"start": a, "end": b, "before": before, "string": string, "after": after}
+                         for (a, b), (before, string, after) in zip(places, surrounded(text, places))])
         spot = [("start", pa.int64()), ("end", pa.int64())]
         return pa.StructArray.from_arrays(
             [pa.array(found, pa.list_(pa.struct([*spot, ("kind", pa.string())]))),
@@ -120,9 +140,12 @@ def scanned(docs: DataFrame) -> DataFrame:
 
 
 def common_words(rows: DataFrame, size: int = DICTIONARY_BYTES) -> bytes:
-    """The commonest words around the candidates of all documents, ``size`` bytes of them, the commonest last."""
-    around = rows.select(F.explode("near").alias("n")).select(F.concat_ws(" ", "n.before", "n.after").alias("text"))
-    words = (around.select(F.explode(F.regexp_extract_all("text", F.lit(WORD.pattern), 0)).alias("word"))
+    """The commonest words around the candidates of all documents, ``size`` bytes of them, the commonest last.
+
+    A word counts once for each different text around a candidate, however many documents and rows hold it.
+    """
+    around = rows.select(F.explode("near").alias("n")).select(F.concat_ws(" ", "n.before", "n.after").alias("text")).distinct()
+    words = (around.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(WORD.pattern), 0))).alias("word"))
              .groupBy("word").agg(F.count("*").alias("n"))
              .orderBy(F.desc("n"), "word").limit(size // 4).collect())
     kept, total = [], 0

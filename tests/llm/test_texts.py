@@ -233,3 +233,17 @@ def test_secrets(spark):
     assert [row.spans for row in by[50] + by[None]] == [f"novel:{start}:{end}"] * 3
     assert by[51][0].spans == ""
     assert secrets.secrets(spark, spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_repeated_keys_stay_novel(spark):
+    """Keys that stand again nearby, beside another key, or in documents with many copies."""
+    one, two = "Zx9Qk2Lm7Vb4Nw8Rt5Yp-_q31", "a7Gd83Kf02LsPq64Mv19Xz"
+    twice = f"the bearer string is {one} here. the bearer string is {one} again"
+    both = f"credential here {one} and credential there {two} and credential there {two}, {one}"
+    rows = [(1, twice), (2, both), *((3, both) for _ in range(200))]
+    found = secrets.secrets(spark, spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    for row, text in [(r, twice if r.doc_id == 1 else both) for r in found]:
+        places = [m.span() for m in re.finditer(f"{one}|{two}", text)]
+        assert row.spans == ",".join(f"novel:{a}:{b}" for a, b in places)
+    around = [list(p) for p in secrets.surrounded(twice, [m.span() for m in re.finditer(one, twice)])]
+    assert all(one not in before + after and len(before) <= secrets.AROUND for before, _, after in around)
