@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, chat, decontaminate, language_id, near_dup, pii, quality, secrets, token_counts, warc
+from sluice.llm import (bpe, chat, decontaminate, divergence, language_id, near_dup, pii, quality, secrets, token_counts,
+                        warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -146,3 +147,43 @@ def op9_personal_data(spark, folder):
 @registered
 def op3_quality(spark, folder):
     return quality.judged(read(spark, folder, "documents"))
+
+
+#: Every kept term of a language in every one of its groups.
+DIVERGENCE_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+words AS (SELECT r, lang, source, unnest(words) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS c FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+used AS (SELECT lang, source, term, count(*) AS c FROM words SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+groups AS (
+  SELECT g.lang, g.source, coalesce(u.n, 0) + 2 * coalesce(v, 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM docs) g
+  LEFT JOIN (SELECT lang, source, sum(c) AS n FROM used GROUP BY lang, source) u ON g.lang = u.lang AND g.source = u.source
+  LEFT JOIN langs l ON g.lang = l.lang),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(u.c, 0) AS c, 1 + 1000000000::HUGEINT * (coalesce(u.c, 0) + 2) // total AS p,
+         1 + 1000000000::HUGEINT * (k.c + 2) // (l.n + 2 * l.v) AS q
+  FROM groups g JOIN kept k ON g.lang = k.lang JOIN langs l ON g.lang = l.lang
+  LEFT JOIN used u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+             FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+             GROUP BY x.lang, x.source, y.source) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value FROM shares WHERE c > 0 AND p > q),
+every AS (SELECT *, 'pair' AS part FROM pairs UNION ALL SELECT *, 'term' FROM terms),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part
+                                        ORDER BY value DESC, encode(item)) AS rank FROM every)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@checked(DIVERGENCE_SQL)
+def op11_source_divergence(spark, folder):
+    return divergence.audited(read(spark, folder, "documents"))
