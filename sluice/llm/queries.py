@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import (bpe, chat, decontaminate, divergence, language_id, near_dup, pii, quality, secrets, token_counts,
-                        warc)
+from sluice.llm import (bpe, chat, decontaminate, divergence, filter_audit, language_id, near_dup, pii, quality, secrets,
+                        token_counts, top_k, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -187,3 +187,60 @@ FROM ranked WHERE part = 'pair' OR rank <= 10
 @checked(DIVERGENCE_SQL)
 def op11_source_divergence(spark, folder):
     return divergence.audited(read(spark, folder, "documents"))
+
+
+NEAREST_SQL = """
+WITH vectors AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS parts
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.parts, c.parts) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.r <> c.r WHERE q.vec_id % 50 = 0)
+SELECT query_id, vec_id, score, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scores) WHERE rank <= 5
+"""
+
+
+@checked(NEAREST_SQL)
+def op12_top_k(spark, folder):
+    return top_k.nearest(read(spark, folder, "embeddings"))
+
+
+AUDIT_SQL = r"""
+WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+split AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+                 length(regexp_replace(text, '[^A-Z]', '', 'g')) AS capitals,
+                 min(doc_id) OVER (PARTITION BY text) AS first FROM texts),
+fails AS (
+  SELECT part, doc_id, CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * capitals > 3 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN first < doc_id THEN 16 ELSE 0 END AS mask FROM split),
+marks AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+counters AS (SELECT part, mask, coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic, count(*) AS n
+             FROM fails LEFT JOIN marks ON fails.doc_id = marks.doc_id GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT concat(a.x, b.x, c.x, d.x, e.x) AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, CAST(i AS INTEGER) AS step, bits[i] AS own,
+                 CAST(coalesce(list_sum(bits[1:i - 1]), 0) AS INTEGER) AS before
+          FROM (SELECT *, unnest(range(1, 6)) AS i FROM orders)),
+told AS (
+  SELECT part, filter_order, step, own, CAST(sum(CASE WHEN mask & (own | before) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+    CAST(sum(CASE WHEN mask & own > 0 AND mask & before = 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+    CAST(sum(CASE WHEN mask & own > 0 AND mask & before > 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+    CAST(sum(CASE WHEN mask = own THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+    CAST(sum(CASE WHEN mask & own > 0 AND mask & before = 0 AND good THEN n ELSE 0 END) AS BIGINT) AS good_lost,
+    CAST(sum(CASE WHEN mask & own > 0 AND mask & before = 0 AND toxic THEN n ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM counters, steps GROUP BY part, filter_order, step, own)
+SELECT * EXCLUDE own, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM told
+"""
+
+
+@checked(AUDIT_SQL)
+def op13_filter_audit(spark, folder):
+    return filter_audit.audited(spark, f"{folder}/documents.parquet", read(spark, folder, "labels"))
