@@ -21,10 +21,12 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.joins import settle
+from sluice.llm.common import settings
+from sluice.operators.joins import lookup_join, settle
 from sluice.session import new_folder
 
 FRAME_BYTES = 1 << 20
@@ -34,6 +36,8 @@ LEVEL = 3
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 INDEX = "page_id bigint, bundle string, frame bigint, offset bigint, length bigint"
 RECORD_DATE = "2000-01-01T00:00:00Z"
+#: Pages that a task is handed at a time, by number and by bytes.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
 
 
 class BundleWriter:
@@ -148,19 +152,19 @@ def parsed(record: bytes) -> dict:
             "url": fields["WARC-Target-URI"], "payload": None if revisit else payload}
 
 
-def with_roles(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
+def with_roles(pages: DataFrame, least_bytes: int = 0, max_broadcast_bytes: int | None = None) -> DataFrame:
     """Pages with ``refers_to`` and ``revisit``: of equal payloads the largest page_id is the response.
 
-    Equal payloads are told by SHA-1 and length. Only digests and ids are grouped; texts are moved once, by the join.
+    Equal payloads are told by SHA-1 and length. Only digests that several pages share are looked up, so as long as these
+    are few no payload is moved at all; beyond that a payload that many pages share may be split.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
                         payload.alias("payload"))
-    key = F.struct(F.unhex(F.sha1(F.col("payload").cast("binary"))).alias("sha1"),
-                   F.octet_length("payload").alias("size"))
-    first = (rows.where(F.octet_length("payload") >= least_bytes).groupBy(key.alias("key"))
-             .agg(F.max("page_id").alias("first")))
-    return (rows.withColumn("key", key).join(first, "key", "left")
+    keyed = rows.withColumns({"sha1": F.unhex(F.sha1(F.col("payload").cast("binary"))), "size": F.octet_length("payload")})
+    repeated = (keyed.where(F.col("size") >= least_bytes).groupBy("sha1", "size")
+                .agg(F.max("page_id").alias("first"), F.count("*").alias("pages")).where("pages > 1").drop("pages"))
+    return (lookup_join(keyed, repeated, ["sha1", "size"], "left", max_broadcast_bytes)
             .select("page_id", "url", "payload", "first",
                     (F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))).alias("revisit")))
 
@@ -200,7 +204,24 @@ def write_archives(spark: SparkSession, pages: DataFrame, folder: str, least_byt
 
     spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(
         spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder))
-    return settle(with_roles(pages, least_bytes).mapInArrow(run, INDEX))
+    roles = with_roles(pages, least_bytes)
+    with settings(spark, BATCHES):
+        return settle(roles.mapInArrow(run, INDEX))
+
+
+def stray_bundles(spark: SparkSession, index: DataFrame, folder: str) -> DataFrame:
+    """``path`` of the bundles below ``folder`` that the index does not name: what lost or repeated attempts have left.
+
+    They may be deleted once the index is written. Only the folder is listed.
+    """
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("path")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = spark.createDataFrame([], "path string")
+    named = files.withColumn("bundle", F.substring_index("path", "/", -1))
+    return named.join(index.select("bundle").distinct(), "bundle", "left_anti").select("path")
 
 
 def read_archives(index: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
@@ -217,10 +238,14 @@ def read_archives(index: DataFrame, folder: str, payloads: bool = False) -> Data
                 found = []
                 for row in batch.slice(start, 256).to_pylist():
                     if row["bundle"] != name:
+                        if reader is not None:
+                            reader.source.close()
                         name, reader = row["bundle"], BundleReader(store.open_input_file(f"{root}/{row['bundle']}"))
                     found.append(parsed(reader.record(row["frame"], row["offset"], row["length"])))
                 yield pa.RecordBatch.from_arrays([pa.array([f[n] for f in found], k) for n, k in kinds.items()],
                                                  names=list(kinds))
+        if reader is not None:
+            reader.source.close()
 
     fields = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
     return index.mapInArrow(run, fields + (", payload binary" if payloads else ""))
