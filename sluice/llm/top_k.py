@@ -30,24 +30,20 @@ EVERY = 50
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 512
 SEGMENT = 8
-#: Postings taken before the bounds are looked at again, as parts of a block's; rows that may be scored exactly instead.
+#: Times that the bounds are looked at, after equal parts of a block's postings.
 ROUNDS = 8
-FEW_ROWS = 128
-#: Whole numbers of this size and more do not fit the sums; they are kept, and scored by Python's own.
-WIDE = 1 << 62
 LONG = (1 << 63) - 1
-#: From here on a double is a whole number.
+#: Up to here doubles hold whole numbers exactly, and from here on they hold no others.
 EXACT = 1 << 53
 
 
 def whole_numbers(vectors: pa.Array) -> np.ndarray:
-    """Rows of floor(256 x); shorter vectors are filled up with zeros. Python's numbers where 64 bits could overflow."""
+    """Rows of floor(256 x), as doubles; shorter vectors are filled up with zeros. Python's numbers where doubles fail."""
     offsets, values = np.asarray(vectors.offsets), vectors.values.to_numpy(zero_copy_only=False).astype(np.float64)
     sizes, first = np.diff(offsets), offsets[0]
     width = int(sizes.max(initial=0))
-    largest = SCALE * float(np.abs(values).max(initial=0))
-    if largest * largest * max(1, width) < WIDE:
-        out, values = np.zeros((len(sizes), width), np.int64), np.floor(SCALE * values).astype(np.int64)
+    if SCALE * float(np.abs(values).max(initial=0)) < EXACT:
+        out, values = np.zeros((len(sizes), width)), np.floor(SCALE * values)
     else:
         whole = [math.floor(SCALE * v) if abs(v) < EXACT else SCALE * int(v) for v in values]
         out, values = np.zeros((len(sizes), width), object), np.array(whole, object)
@@ -58,12 +54,20 @@ def whole_numbers(vectors: pa.Array) -> np.ndarray:
     return out
 
 
+def sums_fit(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether doubles hold every sum of products exactly."""
+    if a.dtype == object or b.dtype == object:
+        return False
+    most = [int(np.abs(m).max(initial=0)) for m in (a, b)]
+    return 2 * most[0] * most[1] * max(1, a.shape[1]) < EXACT
+
+
 class Index:
     """Postings of a block of rows: per component the rows by falling value, and where its segments begin."""
 
     def __init__(self, rows: np.ndarray, segment: int = SEGMENT):
         self.rows, (self.size, self.width) = rows, rows.shape
-        self.order = np.argsort(-rows, axis=0, kind="stable").T.astype(np.int64)
+        self.order = np.argsort(-rows, axis=0, kind="stable").T.astype(np.intp)
         self.values = np.take_along_axis(rows.T, self.order, axis=1)
         starts, ends, dims = [], [], []
         for dim, values in enumerate(self.values):
@@ -72,47 +76,66 @@ class Index:
             starts.append(np.concatenate([[0], cuts]))
             ends.append(np.concatenate([cuts, [self.size]]))
             dims.append(np.full(len(cuts) + 1, dim))
-        empty = [np.empty(0, np.int64)]
-        self.starts, self.ends, self.dims = (np.concatenate(parts or empty) for parts in (starts, ends, dims))
+        empty = [np.empty(0, np.intp)]
+        self.starts, self.ends, self.dims = (np.concatenate(parts or empty).astype(np.intp) for parts in (starts, ends, dims))
         self.most, self.least = self.values[self.dims, self.starts], self.values[self.dims, self.ends - 1]
+        #: Segments before each component's first one.
+        self.before = np.searchsorted(self.dims, np.arange(self.width + 1))
 
-    def search(self, query: np.ndarray, own: np.ndarray, ids: np.ndarray, top: int) -> list[tuple[int, int]]:
+    def search(self, query: np.ndarray, own: np.ndarray, ids: list, top: int) -> list[tuple[int, int]]:
         """Places and scores of the best ``top`` rows but ``own``; of equal scores the smaller of ``ids``."""
-        size, exact = self.size, self.rows.dtype != object and query.dtype != object
         impact = np.maximum(query[self.dims] * self.most, query[self.dims] * self.least)
         # What a query lacks adds nothing, and needs no segment.
         wanted = np.flatnonzero(query[self.dims] != 0)
         turn = wanted[np.argsort(-impact[wanted], kind="stable")]
-        lengths = (self.ends - self.starts)[turn]
-        rounds = np.searchsorted(np.cumsum(lengths), np.arange(1, ROUNDS + 1) * (lengths.sum() / ROUNDS) - 0.5) + 1
-        reached = np.zeros(size, np.int64) if exact else np.zeros(size, object)
-        lacking = np.full(size, int((query != 0).sum()), reached.dtype)
-        others = np.ones(size, bool)
+        postings = np.cumsum((self.ends - self.starts)[turn])
+        total = int(postings[-1]) if len(postings) else 0
+        reached = np.zeros(self.size, self.rows.dtype)
+        lacking = np.full(self.size, int((query != 0).sum()), np.intp)
+        others = np.ones(self.size, bool)
         others[own] = False
-        done = 0
-        for stop in rounds:
-            stop = min(int(stop), len(turn))
-            parts = [(self.dims[s], self.starts[s], self.ends[s]) for s in turn[done:stop]]
-            done = max(done, stop)
-            if parts:
-                rows = np.concatenate([self.order[d, a:b] for d, a, b in parts])
-                added = np.concatenate([query[d] * self.values[d, a:b] for d, a, b in parts])
-                np.add.at(reached, rows, added)
-                lacking -= np.bincount(rows, minlength=size)
+        taken = np.zeros(self.width, np.intp)
+        possible = np.flatnonzero(others)
+        for step in range(1, ROUNDS + 1):
+            done = min(len(turn), int(np.searchsorted(postings, step * total / ROUNDS)) + 1)
+            now = np.bincount(self.dims[turn[:done]], minlength=self.width)
+            self.add(query, taken, now, reached, lacking)
+            taken = now
             mark = self.mark(query, reached, others, top)
-            if done < len(turn):
-                possible = np.flatnonzero(others & (reached + lacking * impact[turn[done]] >= mark)) if mark is not None else None
-                if possible is None or len(possible) > max(FEW_ROWS, size // ROUNDS // 4):
-                    continue
-            else:
-                possible = np.flatnonzero(others & (reached >= mark)) if mark is not None else np.flatnonzero(others)
-            break
-        else:
-            possible = np.flatnonzero(others)
+            if mark is None:
+                break
+            left = lacking.astype(reached.dtype) * impact[turn[done]] if done < len(turn) else 0
+            possible = np.flatnonzero(others & (reached + left >= mark))
+            # Enough is proven when the rest is sooner scored than gone through.
+            if done == len(turn) or len(possible) * self.width * ROUNDS <= total - postings[done - 1]:
+                break
         scores = [max(-LONG - 1, min(LONG, int(score))) for score in self.rows[possible] @ query]
-        best = sorted(zip(possible.tolist(), scores), key=lambda found: (-found[1], ids[found[0]]))
+        if len(scores) > top:
+            least = sorted(scores)[-top]
+            possible, scores = zip(*((i, score) for i, score in zip(possible, scores) if score >= least))
+        best = sorted(zip(map(int, possible), scores), key=lambda found: (-found[1], ids[found[0]]))
         return best[:top]
 
+    def add(self, query: np.ndarray, taken: np.ndarray, now: np.ndarray, reached: np.ndarray, lacking: np.ndarray) -> None:
+        """Add what the segments from ``taken`` up to ``now`` of each component hold; a negative query takes the last first."""
+        rows, added = [], []
+        for dim in np.flatnonzero(now > taken):
+            first, last = self.before[dim], self.before[dim + 1]
+            if query[dim] > 0:
+                stretch = slice(self.starts[first + taken[dim]], self.ends[first + now[dim] - 1])
+            else:
+                stretch = slice(self.starts[last - now[dim]], self.ends[last - taken[dim] - 1])
+            rows.append(self.order[dim, stretch])
+            added.append(query[dim] * self.values[dim, stretch])
+        if not rows:
+            return
+        rows, added = np.concatenate(rows), np.concatenate(added)
+        lacking -= np.bincount(rows, minlength=self.size)
+        if reached.dtype == object:
+            np.add.at(reached, rows, added)
+        else:
+            reached += np.bincount(rows, weights=added, minlength=self.size)
+
     def mark(self, query: np.ndarray, reached: np.ndarray, others: np.ndarray, top: int):
         """A score that ``top`` rows are known to have at least, or none if there are fewer rows."""
         open_rows = np.flatnonzero(others)
@@ -168,9 +191,8 @@ def best_of_block(top: int):
         if rows.num_rows and queries.num_rows:
             numbers, asked = (whole_numbers(t["embedding"].combine_chunks()) for t in (rows, queries))
             width, own = max(numbers.shape[1], asked.shape[1]), rows["row_no"].to_numpy()
-            # Both fit 64 bits by themselves; their products may not.
-            if not overflow_free(numbers, asked):
-                numbers, asked = numbers.astype(object), asked.astype(object)
+            if not sums_fit(numbers, asked):
+                numbers, asked = (np.vectorize(int, otypes=[object])(m) for m in (numbers, asked))
             numbers, asked = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (numbers, asked))
             index, ids = Index(numbers), rows["vec_id"].to_pylist()
             ids = [(i is None, i or 0) for i in ids]
@@ -180,10 +202,3 @@ def best_of_block(top: int):
         return pa.table({name: pa.array([f[i] for f in found], kind) for i, (name, kind) in enumerate(kinds.items())})
 
     return search
-
-
-def overflow_free(a: np.ndarray, b: np.ndarray) -> bool:
-    if a.dtype == object or b.dtype == object:
-        return False
-    most = [int(np.abs(m).max(initial=0)) for m in (a, b)]
-    return most[0] * most[1] * max(1, a.shape[1]) < WIDE
