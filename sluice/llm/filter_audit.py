@@ -4,7 +4,9 @@ All files of a table are taken as a stream of micro-batches that ends when the l
 a mask, one bit for each filter it fails. Four bits follow from its text. The fifth says that a smaller doc_id has the same
 text, which a later file may still bring. So the state holds, for each text, the smallest doc_id so far and how it was
 counted; when a smaller one arrives, the earlier mask is taken back from the counters of its part and counted again with
-the fifth bit. The stream gives changes of counters, and their sums after the last batch are exact.
+the fifth bit. The stream gives changes of counters, and their sums after the last batch are exact. The state of texts is
+kept in buckets of some hundred texts, as a call of Python for each text costs far more than what it does; there are as
+many buckets as the table is large.
 
 Copies within a task are settled there: all but the smallest doc_id are surely removed, so only that one and a few
 counters are sent on, however many copies a text has. Texts are told apart by SHA-256 and are not shuffled.
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import permutations
@@ -37,6 +40,8 @@ SYMBOLS, CAPITALS = b"#$%&*|", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Bytes that go on with a sign of several bytes.
 CONTINUED = bytes(range(0x80, 0xC0))
 MICRO_BATCHES = 4
+#: Bytes of the table's files that there is a bucket of texts for.
+BUCKET_BYTES = 1 << 20
 #: Texts that a task holds before it passes them on.
 HELD_TEXTS = 1 << 16
 #: Age up to which the stream takes up a file, in days: a file is never too old.
@@ -49,8 +54,9 @@ STATE_STORE = {
 }
 
 DESCRIBED = "doc_id bigint, part string, digest string, mask int"
-KEYED = "key string, first boolean, doc_id bigint, part string, mask int, good boolean, toxic boolean, n bigint"
-STATE = "doc_id bigint, mask int, good boolean, toxic boolean, parts string"
+KEYED = ("bucket int, digest string, first boolean, doc_id bigint, part string, mask int, good boolean, toxic boolean, "
+         "n bigint")
+STATE = "texts string"
 COUNTERS = "part string, mask int, good boolean, toxic boolean, n bigint"
 
 
@@ -105,10 +111,10 @@ class Smallest:
             counters[part, self.mask, good, toxic] += n
 
 
-def gathered(rows: DataFrame, held_texts: int = HELD_TEXTS) -> DataFrame:
+def gathered(rows: DataFrame, buckets: int, held_texts: int = HELD_TEXTS) -> DataFrame:
     """For each text of a task the rows of its smallest doc_id (``first``), and counters of all others."""
-    kinds = [pa.string(), pa.bool_(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64()]
-    names = ["key", "first", "doc_id", "part", "mask", "good", "toxic", "n"]
+    kinds = [pa.int32(), pa.string(), pa.bool_(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64()]
+    names = ["bucket", "digest", "first", "doc_id", "part", "mask", "good", "toxic", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts: dict[str, Smallest] = {}
@@ -118,10 +124,12 @@ def gathered(rows: DataFrame, held_texts: int = HELD_TEXTS) -> DataFrame:
             # The rows that are sent on are counted by the state, and are no counters yet.
             out = []
             for digest, text in texts.items():
+                bucket = int(digest[:12], 16) % buckets
                 for part, n in text.parts.items():
                     counters[part, text.mask, text.good, text.toxic] -= n
-                    out.append((digest, True, text.doc_id, part, text.mask, text.good, text.toxic, n))
-            out += [(json.dumps(counter), False, 0, *counter, n) for counter, n in counters.items() if n]
+                    out.append((bucket, digest, True, text.doc_id, part, text.mask, text.good, text.toxic, n))
+            out += [(zlib.crc32(repr(counter).encode()) % buckets, "", False, 0, *counter, n)
+                    for counter, n in counters.items() if n]
             texts.clear()
             counters.clear()
             if out:
@@ -148,24 +156,37 @@ def changes(keyed: DataFrame) -> DataFrame:
     """What each micro-batch changes in the counters; the smallest doc_id of each text is kept as state."""
     def update(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         counters: Counter = Counter()
-        held = None
-        if state.exists:
-            doc_id, mask, good, toxic, parts = state.get
-            held = Smallest(mask, doc_id, good, toxic, json.loads(parts))
+        held = json.loads(state.get[0]) if state.exists else {}
+        texts: dict[str, Smallest] = {}
         for frame in frames:
-            columns = (frame[c].tolist() for c in ("first", "doc_id", "part", "mask", "good", "toxic", "n"))
-            for first, doc_id, part, mask, good, toxic, n in zip(*columns):
-                if first:
-                    held = held or Smallest(mask)
-                    held.add(doc_id, part, good, toxic, n, counters)
-                else:
+            columns = (frame[c].tolist() for c in ("digest", "first", "doc_id", "part", "mask", "good", "toxic", "n"))
+            for digest, first, doc_id, part, mask, good, toxic, n in zip(*columns):
+                if not first:
                     counters[part, mask, good, toxic] += n
-        if held is not None:
-            state.update((held.doc_id, held.mask, held.good, held.toxic, json.dumps(held.parts)))
+                    continue
+                text = texts.get(digest)
+                if text is None:
+                    text = texts[digest] = Smallest(mask, *held.get(digest, ()))
+                text.add(doc_id, part, good, toxic, n, counters)
+        if texts:
+            held |= {digest: (text.doc_id, text.good, text.toxic, text.parts) for digest, text in texts.items()}
+            state.update((json.dumps(held, separators=(",", ":")),))
         rows = [(*counter, n) for counter, n in counters.items() if n]
         yield pd.DataFrame(rows, columns=["part", "mask", "good", "toxic", "n"])
 
-    return keyed.groupBy("key").applyInPandasWithState(update, COUNTERS, STATE, "append", "NoTimeout")
+    return keyed.groupBy("bucket").applyInPandasWithState(update, COUNTERS, STATE, "append", "NoTimeout")
+
+
+def bucket_count(spark: SparkSession, path: str, folder: str) -> int:
+    """Number of buckets: by the size of the table when the stream is first started, the same ever after."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    place, settled = path_of(path), path_of(f"{folder}/buckets")
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    if not settled.getFileSystem(configuration).exists(settled):
+        size = place.getFileSystem(configuration).getContentSummary(place).getLength()
+        number = max(1, -(-size // BUCKET_BYTES))
+        spark.createDataFrame([(number,)], "buckets int").coalesce(1).write.parquet(f"{folder}/buckets")
+    return spark.read.schema("buckets int").parquet(f"{folder}/buckets").first().buckets
 
 
 def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -196,7 +217,8 @@ def mask_counters(spark: SparkSession, path: str, labels: DataFrame, micro_batch
     spark.createDataFrame([], COUNTERS).write.mode("overwrite").parquet(f"{folder}/changes/batch=-1")
     stream = (spark.readStream.schema(whole.schema).option("maxFileAge", ANY_AGE).option("maxFilesPerTrigger", files)
               .parquet(as_pattern(path)))
-    rows = changes(gathered(labelled(described(stream), labels)))
+    buckets = bucket_count(spark, path, folder)
+    rows = changes(gathered(labelled(described(stream), labels), buckets))
 
     def keep(batch: DataFrame, number: int) -> None:
         sums = batch.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))

@@ -10,6 +10,7 @@ from itertools import permutations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sluice.llm import divergence, filter_audit, top_k
 
@@ -129,9 +130,9 @@ def test_search_is_exact(spark):
     assert found_nearest(frame, block_rows=64, block_queries=3) == wanted
     # The index alone, in one block.
     numbers = np.array([[math.floor(256 * x) for x in v] for _, v in rows[:460]], np.int64)
-    index = top_k.Index(numbers)
+    index = top_k.Index(numbers.astype(float))
     for n in range(0, 460, 7):
-        best = index.search(numbers[n], np.array([n]), [(False, i) for i in range(460)], 5)
+        best = index.search(numbers[n].astype(float), np.array([n]), [(False, i) for i in range(460)], 5)
         scores = numbers @ numbers[n]
         assert best == sorted(((i, int(s)) for i, s in enumerate(scores) if i != n), key=lambda x: (-x[1], x[0]))[:5]
 
@@ -199,7 +200,7 @@ def test_audit_of_all_orders(spark, tmp_path, order):
     """Files in both orders, so that smaller ids come in later batches, and in the same one."""
     rows = audited_rows()
     labels = [(d, d % 2, d % 3 % 2) for d in range(0, 1001, 2)] + [(4, 1, 1), (4, 0, None), (None, 1, 1), (6, None, None)]
-    frame = spark.createDataFrame(rows, AUDITED).selectExpr("*", "'x' AS part", "1 AS mask", "true AS good", "'k' AS key")
+    frame = spark.createDataFrame(rows, AUDITED).selectExpr("*", "'x' AS part", "1 AS mask", "true AS good", "0 AS bucket")
     for part in range(1, 6):
         (frame.selectExpr("*", f"ntile(5) OVER (ORDER BY {order}, text, lang) AS nr").where(f"nr = {part}").drop("nr")
          .coalesce(1).write.mode("append").parquet(str(tmp_path / "documents")))
@@ -233,8 +234,9 @@ def test_audit_of_an_empty_table(spark, tmp_path):
 def test_copies_are_settled_within_a_task(spark):
     rows = [(i, "p", "d", 1, False, False) for i in range(50, 0, -1)] + [(1, "q", "d", 1, False, False)]
     frame = spark.createDataFrame(rows, "doc_id bigint, part string, digest string, mask int, good boolean, toxic boolean").coalesce(1)
-    sent = filter_audit.gathered(frame).collect()
+    frame = frame.withColumn("digest", F.sha2("digest", 256))
+    sent = filter_audit.gathered(frame, 7).collect()
     assert sorted((r.first, r.doc_id, r.part, r["mask"], r.n) for r in sent) == [
         (False, 0, "p", 17, 49), (True, 1, "p", 1, 1), (True, 1, "q", 1, 1)]
-    small = filter_audit.gathered(frame, held_texts=0).collect()
+    small = filter_audit.gathered(frame, 7, held_texts=0).collect()
     assert sum(r.n for r in small) == 51
