@@ -67,18 +67,22 @@ class Index:
 
     def __init__(self, rows: np.ndarray, segment: int = SEGMENT):
         self.rows, (self.size, self.width) = rows, rows.shape
-        self.order = np.argsort(-rows, axis=0, kind="stable").T.astype(np.intp)
-        self.values = np.take_along_axis(rows.T, self.order, axis=1)
-        starts, ends, dims = [], [], []
+        # Rows of a segment are in their own order, which is the quicker way through their scores.
+        levels = rows // segment
+        self.order = np.ascontiguousarray(np.argsort(-levels, axis=0, kind="stable").T)
+        self.values = np.ascontiguousarray(np.take_along_axis(rows.T, self.order, axis=1))
+        starts, ends, dims, most, least = [], [], [], [], []
         for dim, values in enumerate(self.values):
-            level = values // segment
-            cuts = np.flatnonzero(level[1:] != level[:-1]) + 1
-            starts.append(np.concatenate([[0], cuts]))
-            ends.append(np.concatenate([cuts, [self.size]]))
-            dims.append(np.full(len(cuts) + 1, dim))
+            level = levels[self.order[dim], dim]
+            start = np.concatenate([[0], np.flatnonzero(level[1:] != level[:-1]) + 1])
+            starts.append(start)
+            ends.append(np.concatenate([start[1:], [self.size]]))
+            dims.append(np.full(len(start), dim))
+            most.append(np.maximum.reduceat(values, start))
+            least.append(np.minimum.reduceat(values, start))
         empty = [np.empty(0, np.intp)]
         self.starts, self.ends, self.dims = (np.concatenate(parts or empty).astype(np.intp) for parts in (starts, ends, dims))
-        self.most, self.least = self.values[self.dims, self.starts], self.values[self.dims, self.ends - 1]
+        self.most, self.least = (np.concatenate(parts or empty) for parts in (most, least))
         #: Segments before each component's first one.
         self.before = np.searchsorted(self.dims, np.arange(self.width + 1))
 
@@ -106,20 +110,21 @@ class Index:
                 break
             left = lacking.astype(reached.dtype) * impact[turn[done]] if done < len(turn) else 0
             possible = np.flatnonzero(others & (reached + left >= mark))
-            # Enough is proven when the rest is sooner scored than gone through.
-            if done == len(turn) or len(possible) * self.width * ROUNDS <= total - postings[done - 1]:
+            # All others are proven to be out. These are scored when they have fewer components than there are postings left.
+            if done == len(turn) or len(possible) * self.width <= total - postings[done - 1]:
                 break
-        scores = [max(-LONG - 1, min(LONG, int(score))) for score in self.rows[possible] @ query]
+        scores = np.clip(self.rows[possible] @ query, -LONG - 1, LONG)
         if len(scores) > top:
-            least = sorted(scores)[-top]
-            possible, scores = zip(*((i, score) for i, score in zip(possible, scores) if score >= least))
-        best = sorted(zip(map(int, possible), scores), key=lambda found: (-found[1], ids[found[0]]))
+            most = scores >= np.sort(scores)[-top]
+            possible, scores = possible[most], scores[most]
+        best = sorted(((i, int(score)) for i, score in zip(possible.tolist(), scores.tolist())),
+                      key=lambda found: (-found[1], ids[found[0]]))
         return best[:top]
 
     def add(self, query: np.ndarray, taken: np.ndarray, now: np.ndarray, reached: np.ndarray, lacking: np.ndarray) -> None:
         """Add what the segments from ``taken`` up to ``now`` of each component hold; a negative query takes the last first."""
         rows, added = [], []
-        for dim in np.flatnonzero(now > taken):
+        for dim in np.flatnonzero(now > taken).tolist():
             first, last = self.before[dim], self.before[dim + 1]
             if query[dim] > 0:
                 stretch = slice(self.starts[first + taken[dim]], self.ends[first + now[dim] - 1])
