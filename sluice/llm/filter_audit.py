@@ -28,7 +28,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import settings
 from sluice.operators.joins import lookup_join
 from sluice.session import new_folder
 
@@ -46,13 +45,6 @@ BUCKET_BYTES = 1 << 20
 HELD_TEXTS = 1 << 16
 #: Age up to which the stream takes up a file, in days: a file is never too old.
 ANY_AGE = "365000d"
-#: The store of the stream's state: on disk, its memory bounded for all stores of an executor together.
-STATE_STORE = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
-}
-
 DESCRIBED = "doc_id bigint, part string, digest string, mask int"
 KEYED = ("bucket int, digest string, first boolean, doc_id bigint, part string, mask int, good boolean, toxic boolean, "
          "n bigint")
@@ -210,6 +202,8 @@ def mask_counters(spark: SparkSession, path: str, labels: DataFrame, micro_batch
 
     The stream's state and the changes of each batch are in ``folder``, by default a fresh one in the shared folder; given
     again, the stream goes on after the files it has seen. A batch that is repeated writes its changes in the same place.
+    The state, about 150 bytes a text, is kept by the session's state store: Spark's own default holds it in the executors'
+    memory; where that is too small set ``spark.sql.streaming.stateStore.providerClass`` to the one of RocksDB.
     """
     folder = folder or new_folder(spark, "audit")
     whole = spark.read.parquet(path)
@@ -224,10 +218,9 @@ def mask_counters(spark: SparkSession, path: str, labels: DataFrame, micro_batch
         sums = batch.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
         sums.write.mode("overwrite").parquet(f"{folder}/changes/batch={number}")
 
-    with settings(spark, STATE_STORE):
-        query = (rows.writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/checkpoint")
-                 .trigger(availableNow=True).start())
-        query.awaitTermination()
+    query = (rows.writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/checkpoint")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
     done = spark.read.schema(COUNTERS).parquet(f"{folder}/changes")
     return done.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).where("n <> 0")
 

@@ -228,7 +228,6 @@ def test_audit_takes_back_and_goes_on(spark, tmp_path):
 def test_audit_of_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], AUDITED).write.parquet(str(tmp_path / "documents"))
     assert filter_audit.audited(spark, str(tmp_path / "documents"), spark.createDataFrame([], LABELS)).count() == 0
-    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
 
 
 def test_copies_are_settled_within_a_task(spark):
