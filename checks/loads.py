@@ -14,10 +14,11 @@ from checks.standins import (TEXTS_PER_ARCHIVE, before_noon, delimited, document
 from sluice.layouts import OPTIONAL_COLUMNS, REPORT_COLUMNS, REPORT_RENAMES
 from sluice.operators.files import row_count
 from sluice.operators.joins import settle
+from sluice.operators.loads import LOAD, append_part, begin_load, counted_of
 from sluice.operators.tables import append_unseen, create_table, publish_view
 from sluice.plans import bronze, chain, control, discovery, silver
 from sluice.session import new_folder
-from sluice.sources import archives, landing
+from sluice.sources import archives, landing, large_members
 from sluice.streaming.silver_feed import feed_silver
 
 QUERIES = {}
@@ -111,6 +112,22 @@ def csv_decode(spark, folder):
                        F.col("n_chars").cast("bigint").alias("n_chars"), "text")
 
 
+@checked("""
+SELECT concat('texts_', doc_id // 500) AS origem_zip, concat(source, '.csv') AS arquivo, doc_id, lang, n_chars, text,
+       row_number() OVER (PARTITION BY doc_id // 500, source ORDER BY doc_id) - 1 AS row_id
+FROM documents
+""")
+def large_member(spark, folder):
+    """Each member in chunks of 16 KB, which end anywhere: within words, quoted texts and line ends."""
+    place = new_folder(spark, "landing")
+    pack_archives(document_lines(read(spark, folder, "documents")), place)
+    entries = settle(archives.archive_entries(landing.landing_manifest(spark, place)))
+    rows = archives.data_rows(large_members.all_rows(entries, ["doc_id", "lang", "n_chars", "text"], new_folder(spark, "chunks"),
+                                                     split_bytes=64 << 10, chunk_bytes=16 << 10))
+    return rows.select("origem_zip", "arquivo", F.col("doc_id").cast("bigint").alias("doc_id"), "lang",
+                       F.col("n_chars").cast("bigint").alias("n_chars"), "text", "row_id")
+
+
 @checked(REPORT_FILES_SQL + """
 , contents AS (SELECT arquivo, concat(max(header), chr(10), string_agg(line, chr(10) ORDER BY event_id), chr(10)) AS text
              FROM numbered GROUP BY arquivo)
@@ -232,6 +249,54 @@ def load_record(spark, folder):
     return rows.withColumn("meses", F.array_join(months, ","))
 
 
+SIDE_BY_SIDE_SQL = REPORT_FILES_SQL + """
+SELECT 'bronze' AS tabela, arquivo AS chave, count(*) AS n, CAST(1 AS BIGINT) AS cargas
+FROM numbered WHERE event_type <> 'error' GROUP BY arquivo
+UNION ALL SELECT 'failures', arquivo, count(*), 1 FROM numbered WHERE event_type = 'error' GROUP BY arquivo
+UNION ALL SELECT 'record', coalesce(arquivo, origem_zip), count(*), 1
+          FROM (SELECT DISTINCT origem_zip, arquivo FROM numbered UNION SELECT DISTINCT origem_zip, NULL FROM numbered) GROUP BY ALL
+"""
+
+
+def counted(spark: SparkSession, tables: bronze.BronzeTables) -> DataFrame:
+    """Rows of each file in each table of bronze, and the number of loads that they are from."""
+    keys = {"bronze": (tables.bronze, F.col("arquivo")), "failures": (tables.failures, F.col("arquivo")),
+            "record": (tables.record, F.coalesce("arquivo", "origem_zip"))}
+    found = None
+    for label, (table, key) in keys.items():
+        rows = spark.table(counted_of(table)).groupBy(key.alias("chave")).agg(
+            F.count("*").alias("n"), F.count_distinct(LOAD).alias("cargas")).withColumn("tabela", F.lit(label))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@checked(SIDE_BY_SIDE_SQL)
+def overlapping_loads(spark, folder):
+    """Two loads that each began before the other had finished, one nested in the other, and one that finds nothing."""
+    place = landed_reports(spark, folder)
+    tables = bronze.BronzeTables(*unique_names("bronze", "failures"))
+    bronze.create_bronze(spark, tables, location=new_folder(spark, "tables"))
+    outer = bronze.begin_bronze(spark, place, tables)
+    for taken in (bronze.begin_bronze(spark, place, tables), outer):
+        bronze.complete_bronze(spark, taken, tables)
+    bronze.load_bronze(spark, place, tables)
+    return counted(spark, tables)
+
+
+@checked(SIDE_BY_SIDE_SQL)
+def merged_loads(spark, folder):
+    """A load of half of the archives, one of the rest, both made one."""
+    events, place = read(spark, folder, "events"), new_folder(spark, "landing")
+    tables = bronze.BronzeTables(*unique_names("bronze", "failures"))
+    bronze.create_bronze(spark, tables, location=new_folder(spark, "tables"))
+    for odd in (0, 1):
+        pack_archives(report_lines(events).where(F.substring_index("archive", "_", -1).cast("int") % 2 == odd), place)
+        bronze.load_bronze(spark, place, tables)
+    bronze.merge_bronze(spark, tables)
+    bronze.load_bronze(spark, place, tables)
+    return counted(spark, tables)
+
+
 def damaged_reports(spark: SparkSession, folder: str) -> str:
     """The archives with a byte of their first member changed, and beside each a piece that is no archive."""
     place = landed_reports(spark, folder)
@@ -357,6 +422,40 @@ def silver_rejects(spark, folder):
     return spark.table(tables.rejects).select("TP_FUNDO", "CNPJ_FUNDO", "DT_COMPTC", "NR_COTST", F.lit(1).alias("copies"))
 
 
+@checked(SILVER_SQL + """
+SELECT 'silver' AS tabela, tp AS "TP_FUNDO", cnpj AS "CNPJ_FUNDO", dt AS "DT_COMPTC", ts AS versao, CAST(1 AS BIGINT) AS n
+FROM latest WHERE nr = 1 AND tp <> 'error'
+UNION ALL SELECT 'rejects', tp, cnpj, '2025-13-01', ts, 2 * count(*) FROM bronze WHERE tp = 'error' GROUP BY ALL
+""")
+def silver_resumed(spark, folder):
+    """Silver and rejects after a load that broke off in silver, one that broke off in the rejects, and two whole ones."""
+    events = events_as_bronze(read(spark, folder, "events"))
+    events = events.withColumns({"DT_COMPTC": F.when(F.col("TP_FUNDO") == "error", "2025-13-01").otherwise(F.col("DT_COMPTC")),
+                                 "data_modificacao": F.col("data_modificacao").cast("timestamp")})
+    events = events.withColumns({p: F.when(F.col("TP_FUNDO") != "error", F.col(p)) for p in ("ano", "mes")})
+    place = new_folder(spark, "tables")
+    raw = bronze.BronzeTables(*unique_names("bronze", "failures"))
+    tables = silver.SilverTables(*unique_names("silver", "rejects"))
+    bronze.create_bronze(spark, raw, location=place)
+    silver.create_silver(spark, tables, location=place)
+    # Rejects are kept as often as bronze has them.
+    bronze.append_rows(spark, events.unionAll(events.where("TP_FUNDO = 'error'")), raw)
+    some = F.xxhash64("CNPJ_FUNDO") % 3 == 0
+    for whole in (False, True):
+        broken = begin_load(spark, tables.log)
+        candidates = silver.silver_candidates(spark.table(raw.bronze))
+        append_part(candidates if whole else candidates.where(some), tables.silver, broken)
+        if whole:
+            append_part(silver.silver_rejects(spark.table(raw.bronze)).where(some), tables.rejects, broken)
+    for _ in range(2):
+        silver.load_silver(spark, raw.bronze, tables)
+    found = [spark.table(table).groupBy("TP_FUNDO", "CNPJ_FUNDO", F.col("DT_COMPTC").cast("string").alias("DT_COMPTC"),
+                                        F.col("data_modificacao").cast("timestamp_ntz").alias("versao"))
+             .agg(F.count("*").alias("n")).withColumn("tabela", F.lit(label))
+             for label, table in (("silver", tables.silver), ("rejects", tables.rejects))]
+    return found[0].unionByName(found[1])
+
+
 # --- control and chain -------------------------------------------------------------------------------------------
 
 @checked(REPORT_FILES_SQL + """

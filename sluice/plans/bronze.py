@@ -12,14 +12,14 @@ from sluice import layouts
 from sluice.functions.dates import period_columns
 from sluice.functions.names import strip_extension
 from sluice.operators.joins import settle
-from sluice.operators.loads import (append_part, begin_load, create_loaded_table, create_log, finish_load, finished_rows,
-                                    part_rows)
+from sluice.operators.loads import (Claims, Load, append_part, begin_load, create_loaded_table, create_log, finish_load,
+                                    finished_rows, log_state, merge_loads, part_rows)
 from sluice.operators.quality import accepted_rows, failure, missing_columns, value_failures
 from sluice.operators.versions import unseen_versions
-from sluice.session import new_folder, remove_folder
-from sluice.sources.archives import (MAX_TASKS, TASK_BYTES, archive_rows, data_rows, listed_archives, member_rows,
-                                     unreadable_members)
+from sluice.session import folder_exists, new_folder, remove_folder
+from sluice.sources.archives import MAX_TASKS, TASK_BYTES, data_rows, listed_archives, member_rows, unreadable_members
 from sluice.sources.landing import landing_manifest
+from sluice.sources.large_members import all_rows
 
 log = logging.getLogger(__name__)
 
@@ -41,7 +41,7 @@ class BronzeTables:
 
     @property
     def record(self) -> str:
-        return f"{self.bronze}_record"
+        return bronze_record(self.bronze)
 
 
 @dataclass(frozen=True)
@@ -63,6 +63,11 @@ def bronze_log(bronze: str) -> str:
     return f"{bronze}_loads"
 
 
+def bronze_record(bronze: str) -> str:
+    """The record of the members that loads have dealt with."""
+    return f"{bronze}_record"
+
+
 def create_bronze(spark: SparkSession, tables: BronzeTables, table_format: str = "parquet",
                   location: str | None = None) -> None:
     """Bronze, failures, the record of members and the log of loads.
@@ -73,10 +78,14 @@ def create_bronze(spark: SparkSession, tables: BronzeTables, table_format: str =
         return location and f"{location}/{name}"
 
     create_log(spark, tables.log, table_format, place("loads"))
-    for table, columns, periods, name in ((tables.bronze, layouts.BRONZE_COLUMNS, PERIODS, "bronze"),
-                                          (tables.failures, layouts.FAILURE_COLUMNS, (), "failures"),
-                                          (tables.record, layouts.RECORD_COLUMNS, (), "record")):
-        create_loaded_table(spark, table, columns, tables.log, periods, table_format, place(name))
+    # A member is loaded once per name and time, and set aside once per archive, name and time.
+    taken, version = f"estado = '{LOADED}'", list(layouts.FILE_VERSION)
+    stated = ["estado", f"CASE WHEN {taken} THEN NULL ELSE origem_zip END", *version]
+    for table, columns, periods, name, claims in (
+            (tables.record, layouts.RECORD_COLUMNS, (), "record", Claims(tables.record, stated)),
+            (tables.bronze, layouts.BRONZE_COLUMNS, PERIODS, "bronze", Claims(tables.record, version, where=taken)),
+            (tables.failures, layouts.FAILURE_COLUMNS, (), "failures", Claims(tables.record, FILE, where=f"NOT {taken}"))):
+        create_loaded_table(spark, table, columns, tables.log, periods, table_format, place(name), claims)
 
 
 def bronze_projection(rows: DataFrame) -> DataFrame:
@@ -92,6 +101,11 @@ def recorded(spark: SparkSession, tables: BronzeTables) -> DataFrame:
     return finished_rows(spark, tables.record, tables.log)
 
 
+def bronze_rows(spark: SparkSession, bronze: str) -> DataFrame:
+    """The bronze table as it is now."""
+    return finished_rows(spark, bronze, bronze_log(bronze), bronze_record(bronze))
+
+
 def unseen_archives(spark: SparkSession, tables: BronzeTables, manifest: DataFrame) -> DataFrame:
     """Archives of the manifest that no finished load has listed in this version; the others are not opened."""
     seen = recorded(spark, tables).where(F.col("estado") == LISTED).select("origem_zip", "data_modificacao")
@@ -125,11 +139,15 @@ def report_failures(staged: DataFrame) -> DataFrame:
 def stage_members(spark: SparkSession, entries: DataFrame, task_bytes: int = TASK_BYTES, max_tasks: int = MAX_TASKS,
                   folder: str | None = None) -> DataFrame:
     """Rows of the members, decoded once and written to the shared folder; checking and loading both read them there."""
-    rows = archive_rows(entries, layouts.REPORT_COLUMNS + layouts.OPTIONAL_COLUMNS, layouts.REPORT_RENAMES,
-                        layouts.REPORT_COLUMNS, missing=layouts.MISSING_TEXTS, task_bytes=task_bytes, max_tasks=max_tasks)
+    chunks = new_folder(spark, "chunks")
+    rows = all_rows(settle(entries), layouts.REPORT_COLUMNS + layouts.OPTIONAL_COLUMNS, chunks, layouts.REPORT_RENAMES,
+                    layouts.REPORT_COLUMNS, missing=layouts.MISSING_TEXTS, task_bytes=task_bytes, max_tasks=max_tasks)
+    rows = rows.withColumnRenamed("archive_mtime", "data_modificacao").drop("entry_mtime")
     folder = folder or new_folder(spark, "staged")
-    rows.withColumnRenamed("archive_mtime", "data_modificacao").drop("entry_mtime").write.parquet(folder)
-    return spark.read.parquet(folder)
+    rows.write.parquet(folder)
+    if folder_exists(spark, chunks):
+        remove_folder(spark, chunks)
+    return spark.read.schema(rows.schema).parquet(folder)
 
 
 def member_record(members: DataFrame, rows: DataFrame, failures: DataFrame) -> DataFrame:
@@ -153,32 +171,49 @@ def member_record(members: DataFrame, rows: DataFrame, failures: DataFrame) -> D
 
 
 def append_rows(spark: SparkSession, rows: DataFrame, tables: BronzeTables) -> None:
-    """Add rows in the layout of bronze as a load of their own, for instance to take over an existing table."""
+    """Add rows in the layout of bronze as a load of their own, for instance to take over an existing table.
+
+    They have no record, so no other load has a claim to them.
+    """
     load = begin_load(spark, tables.log)
     append_part(rows, tables.bronze, load)
     finish_load(spark, tables.log, load, changed_months(spark, tables, load))
 
 
-def changed_months(spark: SparkSession, tables: BronzeTables, load: str) -> list[tuple[int | None, int | None]]:
+def changed_months(spark: SparkSession, tables: BronzeTables, load: Load) -> list[tuple[int | None, int | None]]:
     """Months of the load's rows, from the names of its partitions; as many as the calendar has at most."""
     months = part_rows(spark, tables.bronze, load).select(*PERIODS).distinct()
     return [(row.ano, row.mes) for row in months.collect()]
 
 
-def load_bronze(spark: SparkSession, landing: str, tables: BronzeTables, suffix: str = ".zip",
-                task_bytes: int = TASK_BYTES, max_tasks: int = MAX_TASKS, discard_staged: bool = False) -> LoadResult:
-    """Append the rows of members that are new in the landing folder; the result is false when there was nothing new.
+@dataclass(frozen=True)
+class Taken:
+    """A load that has begun, and the archives that are new to it."""
 
-    A file with any failure is recorded and left out whole, one that cannot be read included. Everything is stored under
-    the number of the load, and counts once the load is finished: a run that breaks off has done nothing, and the next one
-    takes the same files up again. With ``discard_staged`` the decoded copy of the load is deleted once it has finished.
-    """
-    fresh = settle(unseen_archives(spark, tables, landing_manifest(spark, landing, suffix)))
-    archives = fresh.count()
-    if not archives:
+    load: Load
+    archives: DataFrame
+    count: int
+
+
+def begin_bronze(spark: SparkSession, landing: str, tables: BronzeTables, suffix: str = ".zip") -> Taken | None:
+    """Begin a load of the archives that are new in the landing folder; none if there are no such."""
+    manifest = landing_manifest(spark, landing, suffix)
+    before = log_state(spark, tables.log).done
+    fresh = settle(unseen_archives(spark, tables, manifest))
+    if fresh.isEmpty():
         log.info("nothing new in %s", landing)
-        return LoadResult()
+        return None
     load = begin_load(spark, tables.log)
+    if log_state(spark, tables.log).done != before:
+        # A load has finished in between; from here on the two know of each other.
+        fresh = settle(unseen_archives(spark, tables, fresh))
+    return Taken(load, fresh, fresh.count())
+
+
+def complete_bronze(spark: SparkSession, taken: Taken, tables: BronzeTables, task_bytes: int = TASK_BYTES,
+                    max_tasks: int = MAX_TASKS, discard_staged: bool = False) -> LoadResult:
+    """Load what :func:`begin_bronze` has found."""
+    load, fresh = taken.load, taken.archives
     listed = settle(listed_archives(fresh))
     whole = listed.where("problem IS NULL").drop("problem")
     broken = listed.where("problem IS NOT NULL").select(
@@ -202,4 +237,23 @@ def load_bronze(spark: SparkSession, landing: str, tables: BronzeTables, suffix:
     finish_load(spark, tables.log, load, [(month.ano, month.mes) for month in done.months])
     if discard_staged:
         remove_folder(spark, folder)
-    return LoadResult(archives, done.accepted, done.rejected, done.rows, done.failures)
+    return LoadResult(taken.count, done.accepted, done.rejected, done.rows, done.failures)
+
+
+def load_bronze(spark: SparkSession, landing: str, tables: BronzeTables, suffix: str = ".zip",
+                task_bytes: int = TASK_BYTES, max_tasks: int = MAX_TASKS, discard_staged: bool = False) -> LoadResult:
+    """Append the rows of members that are new in the landing folder; the result is false when there was nothing new.
+
+    A file with any failure is recorded and left out whole, one that cannot be read included. Everything is stored under
+    the number of the load, and counts once the load is finished: a run that breaks off has done nothing, and the next one
+    takes the same files up again. Loads may run side by side: a file that two of them take up counts once, for the first to
+    finish. With ``discard_staged`` the decoded copy of the load is deleted once it has finished.
+    """
+    taken = begin_bronze(spark, landing, tables, suffix)
+    return complete_bronze(spark, taken, tables, task_bytes, max_tasks, discard_staged) if taken else LoadResult()
+
+
+def merge_bronze(spark: SparkSession, tables: BronzeTables) -> bool:
+    """Rewrite bronze, failures and record as one load; the months stay what they were for the feed of silver."""
+    periods = {tables.bronze: PERIODS}
+    return merge_loads(spark, (tables.record, tables.failures, tables.bronze), tables.log, periods, tables.record) is not None

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from sluice import layouts
 from sluice.functions.names import strip_extension
 from sluice.operators.joins import lookup_join, settle
-from sluice.operators.loads import (append_part, begin_load, create_loaded_table, create_log, finish_load, finished_rows,
-                                    part_rows)
+from sluice.operators.loads import (Claims, Load, append_part, begin_load, create_loaded_table, create_log, finish_load,
+                                    finished_rows, log_state, part_rows)
 from sluice.operators.manifest import exclude_names, ingest_plan
 from sluice.operators.versions import unseen_versions
 from sluice.plans.bronze import LISTED
@@ -58,10 +58,12 @@ def create_control(spark: SparkSession, tables: ControlTables, table_format: str
         return location and f"{location}/{name}"
 
     create_log(spark, tables.log, table_format, place("loads"))
-    for table, columns, name in ((tables.control, layouts.CONTROL_COLUMNS, "control"),
-                                 (tables.members, layouts.MEMBER_CONTENT_COLUMNS, "members"),
-                                 (tables.archives, ARCHIVE_COLUMNS, "archives")):
-        create_loaded_table(spark, table, columns, tables.log, (), table_format, place(name))
+    # A member is recorded and landed once per name and time, an archive per name and time of its own.
+    version = Claims(tables.control, layouts.MEMBER_VERSION)
+    for table, columns, name, claims in ((tables.control, layouts.CONTROL_COLUMNS, "control", version),
+                                         (tables.members, layouts.MEMBER_CONTENT_COLUMNS, "members", version),
+                                         (tables.archives, ARCHIVE_COLUMNS, "archives", Claims(tables.archives, ARCHIVE))):
+        create_loaded_table(spark, table, columns, tables.log, (), table_format, place(name), claims)
 
 
 def member_metadata(entries: DataFrame) -> DataFrame:
@@ -94,23 +96,56 @@ def run_control(spark: SparkSession, plan: DataFrame, landing: str, tables: Cont
     return load_control(spark, wanted, tables, destination=names, **how)
 
 
+@dataclass(frozen=True)
+class Taken:
+    """A load that has begun, and the archives that are new to it."""
+
+    load: Load
+    archives: DataFrame
+    count: int
+
+
+def unseen_archives(spark: SparkSession, tables: ControlTables, manifest: DataFrame) -> DataFrame:
+    """Archives of the manifest that no finished load has dealt with in this version."""
+    seen = finished_rows(spark, tables.archives, tables.log).select(*ARCHIVE)
+    named = manifest.withColumn("origem_zip", strip_extension(F.col("arquivo")))
+    return unseen_versions(named, seen, ARCHIVE).select(*manifest.columns)
+
+
+def begin_control(spark: SparkSession, manifest: DataFrame, tables: ControlTables, exclude: Sequence[str] = ()) -> Taken | None:
+    """Begin a load of the archives of the manifest that are new; none if there are no such."""
+    before = log_state(spark, tables.log).done
+    named = exclude_names(manifest.withColumn("origem_zip", strip_extension(F.col("arquivo"))), exclude, "origem_zip")
+    fresh = settle(unseen_archives(spark, tables, named.drop("origem_zip")))
+    if fresh.isEmpty():
+        return None
+    load = begin_load(spark, tables.log)
+    if log_state(spark, tables.log).done != before:
+        # A load has finished in between; from here on the two know of each other.
+        fresh = settle(unseen_archives(spark, tables, fresh))
+    return Taken(load, fresh, fresh.count())
+
+
 def load_control(spark: SparkSession, manifest: DataFrame, tables: ControlTables, exclude: Sequence[str] = (),
                  destination: DataFrame | None = None, task_bytes: int = TASK_BYTES, max_tasks: int = MAX_TASKS,
                  chunk_bytes: int = CONTENT_CHUNK) -> ControlResult:
     """Land the members that are not recorded yet, and record them.
 
     Archives that a finished load has dealt with are not opened again. A member that cannot be read is recorded with its
-    state, and what is stored of it is not to be used; an archive that cannot be read is told in the list of archives. All of it counts once the
-    load is finished; a run that breaks off has landed nothing.
+    state, and what is stored of it is not to be used; an archive that cannot be read is told in the list of archives. All
+    of it counts once the load is finished; a run that breaks off has landed nothing. Loads may run side by side: a member
+    that two of them take up counts once, for the first to finish.
     """
-    version = list(layouts.MEMBER_VERSION)
-    named = exclude_names(manifest.withColumn("origem_zip", strip_extension(F.col("arquivo"))), exclude, "origem_zip")
-    seen = finished_rows(spark, tables.archives, tables.log).select(*ARCHIVE)
-    fresh = settle(unseen_versions(named, seen, ARCHIVE).select(*manifest.columns))
-    count = fresh.count()
-    if not count:
-        return ControlResult()
-    load = begin_load(spark, tables.log)
+    taken = begin_control(spark, manifest, tables, exclude)
+    return (complete_control(spark, taken, tables, destination, task_bytes, max_tasks, chunk_bytes) if taken
+            else ControlResult())
+
+
+def complete_control(spark: SparkSession, taken: Taken, tables: ControlTables, destination: DataFrame | None = None,
+                     task_bytes: int = TASK_BYTES, max_tasks: int = MAX_TASKS,
+                     chunk_bytes: int = CONTENT_CHUNK) -> ControlResult:
+    """Load what :func:`begin_control` has found."""
+    version, load, fresh = list(layouts.MEMBER_VERSION), taken.load, taken.archives
     listed = settle(listed_archives(fresh))
     entries = listed.where("problem IS NULL").drop("problem")
     recorded = finished_rows(spark, tables.control, tables.log)
@@ -135,4 +170,4 @@ def load_control(spark: SparkSession, manifest: DataFrame, tables: ControlTables
     append_part(archives, tables.archives, load)
     unreadable, members = problems.count(), unseen.count()
     finish_load(spark, tables.log, load)
-    return ControlResult(count, unreadable, members)
+    return ControlResult(taken.count, unreadable, members)

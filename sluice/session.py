@@ -50,6 +50,11 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     """Delete a folder that :func:`new_folder` has named, with what is in it."""
     if not folder.startswith(f"{shared_folder(spark).rstrip('/')}/"):

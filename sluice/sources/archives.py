@@ -180,8 +180,8 @@ class _Prefixed(io.RawIOBase):
 Cells = tuple[np.ndarray, pa.Array, list[pa.Array]]
 
 
-def _read_table(member, raw_names: list[str], wanted: list[str], encoding: str, sep: str, missing: Sequence[str]
-                ) -> Iterator[Cells]:
+def _read_table(member, raw_names: list[str], wanted: list[str], encoding: str, sep: str, missing: Sequence[str],
+                block: int | None = None) -> Iterator[Cells]:
     """Batches of row numbers, numbers of surplus fields, and the wanted columns as text.
 
     Rows are numbered from 0 in file order. The reader sets irregular rows aside; they are passed on after every block,
@@ -198,7 +198,7 @@ def _read_table(member, raw_names: list[str], wanted: list[str], encoding: str,
     reader = pa_csv.open_csv(
         _Prefixed(first, member),
         read_options=pa_csv.ReadOptions(column_names=raw_names, encoding=encoding, use_threads=False,
-                                        block_size=CSV_BLOCK),
+                                        block_size=block or CSV_BLOCK),
         parse_options=pa_csv.ParseOptions(delimiter=sep, newlines_in_values=True, invalid_row_handler=set_aside),
         convert_options=pa_csv.ConvertOptions(column_types={name: pa.string() for name in raw_names},
                                               include_columns=wanted, null_values=list(missing),
@@ -233,19 +233,14 @@ def _irregular_cells(rows: Sequence[pa_csv.InvalidRow], raw_names: list[str], wa
             [pa.array(column, pa.string()) for column in columns])
 
 
-def archive_rows(entries: DataFrame, columns: Sequence[str], renames: Mapping[str, str] | None = None,
-                 required: Sequence[str] = (), sep: str = ";", encoding: str = "latin1",
-                 missing: Sequence[str] = ("",), task_bytes: int = TASK_BYTES,
-                 max_tasks: int = MAX_TASKS) -> DataFrame:
-    """Rows of the delimited members, all cells as text.
+def rows_schema(columns: Sequence[str]) -> str:
+    return ("origem_zip STRING, arquivo STRING, archive_mtime TIMESTAMP, entry_mtime TIMESTAMP_NTZ, row_id BIGINT, "
+            "surplus BIGINT, absent ARRAY<STRING>, problem STRING, " + ", ".join(f"`{name}` STRING" for name in columns))
 
-    Header names are cleaned and mapped per member, so members with differing headers come out under the same
-    ``columns``. A cell of a column the member lacks is null; ``absent`` lists those of them that are ``required``. A
-    row shorter than the header is filled with nulls, ``surplus`` counts the fields of a row beyond the header. Every
-    member also gives one row without ``row_id``, so that one without data is not lost. A member that cannot be read
-    to its end gives another one with its ``problem``; rows before the fault may be there.
-    """
-    columns, renames, required, missing = list(columns), dict(renames or {}), list(required), list(missing)
+
+def row_batches(columns: Sequence[str]) -> Callable[..., pa.RecordBatch]:
+    """Makes batches of :func:`rows_schema`, with nulls in the columns that the cells lack."""
+    columns = list(columns)
 
     def rows_of(entry: dict, absent, problem: str | None, row_ids: pa.Array, surplus: pa.Array,
                 cells: Mapping[str, pa.Array]) -> pa.RecordBatch:
@@ -260,6 +255,24 @@ def archive_rows(entries: DataFrame, columns: Sequence[str], renames: Mapping[st
         data.update({name: cells.get(name, pa.nulls(size, pa.string())) for name in columns})
         return pa.RecordBatch.from_pydict(data)
 
+    return rows_of
+
+
+def archive_rows(entries: DataFrame, columns: Sequence[str], renames: Mapping[str, str] | None = None,
+                 required: Sequence[str] = (), sep: str = ";", encoding: str = "latin1",
+                 missing: Sequence[str] = ("",), task_bytes: int = TASK_BYTES,
+                 max_tasks: int = MAX_TASKS) -> DataFrame:
+    """Rows of the delimited members, all cells as text.
+
+    Header names are cleaned and mapped per member, so members with differing headers come out under the same
+    ``columns``. A cell of a column the member lacks is null; ``absent`` lists those of them that are ``required``. A
+    row shorter than the header is filled with nulls, ``surplus`` counts the fields of a row beyond the header. Every
+    member also gives one row without ``row_id``, so that one without data is not lost. A member that cannot be read
+    to its end gives another one with its ``problem``; rows before the fault may be there.
+    """
+    columns, renames, required, missing = list(columns), dict(renames or {}), list(required), list(missing)
+    rows_of = row_batches(columns)
+
     def failed(entry: dict, problem: str) -> pa.RecordBatch:
         return rows_of(entry, None, problem, pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), {})
 
@@ -282,11 +295,9 @@ def archive_rows(entries: DataFrame, columns: Sequence[str], renames: Mapping[st
             by_source = dict(zip(wanted, cells))
             yield batch(pa.array(numbers, pa.int64()), surplus, {name: by_source[key] for name, key in source.items()})
 
-    schema = ("origem_zip STRING, arquivo STRING, archive_mtime TIMESTAMP, entry_mtime TIMESTAMP_NTZ, row_id BIGINT, "
-              "surplus BIGINT, absent ARRAY<STRING>, problem STRING, " + ", ".join(f"`{name}` STRING" for name in columns))
     members = spread_members(entries, ["origem_zip", "nome_arquivo", "archive_mtime", "entry_mtime"],
                              task_bytes, max_tasks)
-    return members.mapInArrow(lambda batches: _each_member(batches, read, failed), schema)
+    return members.mapInArrow(lambda batches: _each_member(batches, read, failed), rows_schema(columns))
 
 
 def data_rows(rows: DataFrame) -> DataFrame:

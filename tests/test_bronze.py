@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from pathlib import Path
 
 import pytest
@@ -183,15 +184,15 @@ def test_what_cannot_be_read_is_set_aside(spark, landing, bronze_tables):
 
 
 def test_long_fields_and_rows(spark, landing, bronze_tables):
-    """A long field is a field; a row longer than a block sets its file aside."""
+    """A long field is a field, and a row may be longer than a block of the reader."""
     write_zip(landing / "a.zip", [("good.csv", report(OLD, old_row(fund="1"))),
                                   ("field.csv", report(OLD, old_row(fund="2" * 200_000))),
                                   ("odd.csv", report(OLD, old_row(fund="3" * 200_000) + ["x"])),
                                   ("row.csv", report(OLD, old_row(fund="4" * (70 << 20))))])
     load(spark, landing, bronze_tables)
     assert tuples(spark.table(bronze_tables.bronze), "arquivo", F.length("CNPJ_FUNDO")) == [
-        ("field.csv", 200_000), ("good.csv", 1)]
-    assert {row[3] for row in failures_of(spark, bronze_tables)} == {"field_count", "member_unreadable"}
+        ("field.csv", 200_000), ("good.csv", 1), ("row.csv", 70 << 20)]
+    assert {row[3] for row in failures_of(spark, bronze_tables)} == {"field_count"}
 
 
 def test_an_error_of_the_store_is_raised(spark, landing, bronze_tables, monkeypatch):
@@ -268,3 +269,80 @@ def test_guarded_append(spark, names, tmp_path):
     assert append_unseen(rows, table, ["arquivo", "v"])
     assert not append_unseen(rows, table, ["arquivo", "v"])
     assert tuples(spark.table(table), "arquivo", "v", "extra") == [("a", 1, None), ("b", 1, None)]
+
+
+def test_loads_side_by_side_count_each_file_once(spark, landing, bronze_tables, monkeypatch):
+    """A second load runs from start to end inside the first; both have the same files and each some of their own."""
+    from sluice.plans import bronze
+
+    write_zip(landing / "a.zip", [("x.csv", report(OLD, old_row(fund="1"), old_row(fund="2"))),
+                                  ("bad.csv", report(OLD, old_row(holders="x")))])
+    (landing / "broken.zip").write_bytes(b"no archive")
+    outer = bronze.begin_bronze(spark, str(landing), bronze_tables)
+    write_zip(landing / "b.zip", [("y.csv", report(OLD, old_row(fund="3")))])
+    assert load(spark, landing, bronze_tables).archives == 3
+    before = [tuples(spark.table(t), "*") for t in (bronze_tables.bronze, bronze_tables.failures, bronze_tables.record)]
+    assert bronze.complete_bronze(spark, outer, bronze_tables).archives == 2
+    after = [tuples(spark.table(t), "*") for t in (bronze_tables.bronze, bronze_tables.failures, bronze_tables.record)]
+    assert after == before and len(after[0]) == 3 and len(after[1]) == 2 and len(after[2]) == 6
+    assert not load(spark, landing, bronze_tables)
+    assert not bronze.unseen_archives(spark, bronze_tables, bronze.landing_manifest(spark, str(landing))).count()
+
+
+def test_the_first_to_finish_has_the_claim(spark, landing, bronze_tables):
+    """The inner load has seen less: what only the outer one took up stays with that."""
+    from sluice.operators.loads import counted_of
+    from sluice.plans import bronze
+
+    write_zip(landing / "a.zip", [("x.csv", report(OLD, old_row(fund="1")))])
+    inner = bronze.begin_bronze(spark, str(landing), bronze_tables)
+    write_zip(landing / "b.zip", [("y.csv", report(OLD, old_row(fund="2")))])
+    outer = bronze.begin_bronze(spark, str(landing), bronze_tables)
+    third = bronze.begin_bronze(spark, str(landing), bronze_tables)
+    for taken in (inner, outer, third):
+        bronze.complete_bronze(spark, taken, bronze_tables)
+    found = tuples(spark.table(counted_of(bronze_tables.bronze)), "CNPJ_FUNDO", "carga")
+    assert found == [("1", inner.load.number), ("2", outer.load.number)]
+
+
+def test_a_load_that_finishes_just_before_another_begins_is_seen(spark, landing, bronze_tables, monkeypatch):
+    """It finishes after the second has looked for new files and before that has begun."""
+    from sluice.plans import bronze
+
+    write_zip(landing / "a.zip", [("x.csv", report(OLD, old_row(fund="1")))])
+    real = bronze.begin_load
+
+    def late(session, log):
+        monkeypatch.setattr(bronze, "begin_load", real)
+        assert load(session, landing, bronze_tables)
+        return real(session, log)
+
+    monkeypatch.setattr(bronze, "begin_load", late)
+    assert load(spark, landing, bronze_tables).archives == 0
+    assert spark.table(bronze_tables.bronze).count() == 1
+
+
+def test_merged_loads_have_the_same_rows_in_fewer_files(spark, landing, bronze_tables, tmp_path):
+    from sluice.operators.loads import log_state, parts_of, replaced_parts
+    from sluice.plans import bronze
+
+    for name in "abc":
+        write_zip(landing / f"{name}.zip", [(f"{name}.csv", report(OLD, old_row(fund=name))), (f"bad{name}.csv", report(OLD, old_row(holders="x")))])
+        outer = bronze.begin_bronze(spark, str(landing), bronze_tables) if name == "b" else None
+        load(spark, landing, bronze_tables)
+        if outer:
+            bronze.complete_bronze(spark, outer, bronze_tables)
+
+    def rows():
+        return [tuples(spark.table(t), "*") for t in (bronze_tables.bronze, bronze_tables.failures, bronze_tables.record)]
+
+    before, files = rows(), len(spark.table(parts_of(bronze_tables.bronze)).inputFiles())
+    assert bronze.merge_bronze(spark, bronze_tables) and rows() == before
+    assert len(log_state(spark, bronze_tables.log).done) == 1
+    gone = replaced_parts(spark, bronze_tables.bronze, bronze_tables.log)
+    assert gone.count() == files and len(spark.table(parts_of(bronze_tables.bronze)).inputFiles()) < 2 * files
+    assert not load(spark, landing, bronze_tables) and not bronze.merge_bronze(spark, bronze_tables)
+    for row in gone.collect():
+        os.remove("/" + row.path.removeprefix("file:").lstrip("/"))
+    spark.catalog.refreshTable(parts_of(bronze_tables.bronze))
+    assert rows() == before

@@ -145,3 +145,17 @@ def test_fetch_plan(spark, landing):
                                      ("h/same.zip", "Mon, 03 Mar 2025 11:06:40 GMT")], "url STRING, last_modified STRING")
     assert tuples(fetch_plan(spark, pages, headers, str(landing), F.lit("h/")), "arquivo", "url") == [
         ("new.zip", "h/new.zip"), ("old.zip", "h/old.zip")]
+
+
+def test_loads_side_by_side_record_each_member_once(spark, landing, control_tables):
+    from sluice.plans import control
+
+    write_zip(landing / "a.zip", [("x.csv", "abcdefghi"), ("y.csv", "abc")], EARLY)
+    outer = control.begin_control(spark, control.landing_manifest(spark, str(landing)), control_tables)
+    write_zip(landing / "b.zip", [("z.csv", "abc")], EARLY)
+    assert load(spark, landing, control_tables, chunk_bytes=3)
+    control.complete_control(spark, outer, control_tables, chunk_bytes=3)
+    assert spark.table(control_tables.control).count() == 3
+    assert spark.table(control_tables.members).count() == 5
+    assert spark.table(control_tables.archives).count() == 2
+    assert not load(spark, landing, control_tables)

@@ -197,3 +197,67 @@ def test_old_files_of_bronze_reach_silver(spark, bronze_tables, silver_tables, t
                 os.utime(f"{folder}/{name}", (old, old))
     feed_silver(spark, bronze_tables.bronze, silver_tables, str(tmp_path / "feed"))
     assert [row[0] for row in silver_rows(spark, silver_tables)] == ["1", "2"]
+
+
+@pytest.mark.parametrize("how", ["whole", "feed"])
+@pytest.mark.parametrize("when", [1, 2])
+def test_a_load_that_broke_off_is_done_whole_by_the_next(spark, bronze_tables, silver_tables, tmp_path, monkeypatch, how, when):
+    """It breaks off within silver or within the rejects, with some of the rows written: nothing of it counts."""
+    from sluice.operators.loads import unfinished_loads
+    from sluice.plans import silver
+
+    rows = [(str(i), "2025-01-02", "1", 1) for i in range(6)] + [(str(i), "no date", "1", 1) for i in range(6)]
+    append_rows(spark, bronze_rows(spark, rows), bronze_tables)
+    real, calls = silver.append_part, []
+
+    def breaks(df, *rest, **more):
+        calls.append(rest)
+        real(df.limit(2) if len(calls) == when else df, *rest, **more)
+        if len(calls) == when:
+            raise RuntimeError("lost")
+
+    def run():
+        if how == "whole":
+            load_silver(spark, bronze_tables.bronze, silver_tables)
+        else:
+            feed_silver(spark, bronze_tables.bronze, silver_tables, str(tmp_path / "feed"))
+
+    monkeypatch.setattr(silver, "append_part", breaks)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    monkeypatch.undo()
+    assert spark.table(silver_tables.silver).count() == spark.table(silver_tables.rejects).count() == 0
+    assert unfinished_loads(spark, silver_tables.log).count() == 1
+    assert silver.uncovered_loads(spark, bronze_tables.bronze, silver_tables).count() == 1
+    for _ in range(2):
+        run()
+        assert spark.table(silver_tables.silver).count() == spark.table(silver_tables.rejects).count() == 6
+    assert silver.uncovered_loads(spark, bronze_tables.bronze, silver_tables).count() == 0
+
+
+def test_silver_loads_side_by_side_add_each_version_once(spark, bronze_tables, silver_tables, monkeypatch):
+    from sluice.plans import silver
+
+    append_rows(spark, bronze_rows(spark, [("1", "2025-01-02", "1", 1), ("2", "2025-02-02", "1", 1), ("3", "no date", "1", 1)]),
+                bronze_tables)
+    real = silver.silver_candidates
+
+    def nested(*rest):
+        monkeypatch.setattr(silver, "silver_candidates", real)
+        append_rows(spark, bronze_rows(spark, [("1", "2025-01-02", "2", 2)]), bronze_tables)
+        load_silver(spark, bronze_tables.bronze, silver_tables)
+        return real(*rest)
+
+    monkeypatch.setattr(silver, "silver_candidates", nested)
+    load_silver(spark, bronze_tables.bronze, silver_tables)
+    assert [(r[0], r[3]) for r in silver_rows(spark, silver_tables)] == [("1", 1), ("1", 2), ("2", 1)]
+    assert spark.table(silver_tables.rejects).count() == 1
+    assert silver.merge_silver(spark, silver_tables)
+    assert [(r[0], r[3]) for r in silver_rows(spark, silver_tables)] == [("1", 1), ("1", 2), ("2", 1)]
+    assert spark.table(silver_tables.rejects).count() == 1
+
+
+def test_rejects_seen_are_read_in_changed_months_only(spark, bronze_tables, silver_tables):
+    append_rows(spark, bronze_rows(spark, [("1", "2025-01-02", "1", 1)]), bronze_tables)
+    plan = spark.table(silver_tables.rejects).filter(in_months([(2025, 1)]))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*isnotnull\(ano", plan)
