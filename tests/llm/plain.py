@@ -107,46 +107,64 @@ def private(text):
     return sorted(out)
 
 
-def context(text, start, previous):
-    words = text[previous:start][-48:].lower()
-    m = re.search(r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*\Z", words)
-    return re.sub("[0-9]", "0", f"{m[1]} {m[2]}") if m else ""
-
-
-def identifiers(texts, rounds=3, sure=0.8):
+def context(text, start):
+    """The words that a string's pattern is made of; None for a list that began farther back."""
+    first = max(0, start - 160)
+    window = text[first:start].lower()
+    parted = regex.search(r"[ \t-\r]", window)
+    words = regex.sub(r"^[^ \t-\r]+", "", window) if first and parted else window
+    words = regex.sub(r"[^ \t-\r]*[0-9@][^ \t-\r]*", "\x01", words)
+    words = regex.split(r"[ \t-\r]+", regex.sub(r"[\x01 \t-\r\p{P}\p{S}]+\Z", "", words).strip(" "))
+    words = [w for w in words if w]
+    if len(words) > 1:
+        return " ".join(words[-2:])
+    if not first:
+        return f"^ {words[0]}" if words else ""
+    return words[0][-16:] if words and not parted else None
+
+
+def limits(edges):
+    """What scores rise to, each pattern and instance worked out again as long as anything rises."""
+    score = {edge: float(seed) for edge, seed in edges.items()}
+    by, of = defaultdict(list), defaultdict(list)
+    for words, value in edges:
+        by[words].append(value)
+        of[value].append(words)
+    while True:
+        trust = {}
+        for words, values in by.items():
+            unseen = sum(not edges[words, v] for v in values)
+            known = sum(score[words, v] for v in values)
+            trust[words] = known / (len(values) + 0.5 + 0.125 * unseen) if len(values) >= 4 else 0.0
+        rise = 0.0
+        for (words, value), seed in edges.items():
+            if not seed:
+                doubt = math.prod(1 - trust[w] for w in of[value] if not edges[w, value])
+                rise = max(rise, 1 - doubt - score[words, value])
+                score[words, value] = 1 - doubt
+        if rise < 1e-9:
+            return score
+
+
+def identifiers(texts, sure=0.8):
     """Spans that bootstrapping adds, for each text."""
-    patterns = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(?:\.[0-9]+){3}",
-                "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-                "other": r"(?<![A-Za-z0-9])[A-Za-z]{0,12}+[0-9][A-Za-z0-9./-]{4,}+"}
-    edges, places = {}, []
+    pattern, edges, places = r"(?<![A-Za-z0-9])[A-Za-z]{0,12}+[0-9][A-Za-z0-9./-]{4,}+", {}, []
     for text in texts:
-        text, own = text or "", []
+        text, own, given = text or "", [], ""
         base = [(a, b, kind) for a, _, b, kind in private(text)]
-        for kind, pattern in patterns.items():
-            previous = 0
-            for m in regex.finditer(pattern, text):
-                words, (a, b) = context(text, m.start(), previous), m.span()
-                previous = b
-                seed = (a, b, kind) in base
-                if not seed and (kind != "other" or any(a < y and x < b for x, y, _ in base)):
-                    continue
-                if words:
-                    edges[words, m[0]] = edges.get((words, m[0]), False) or seed
-                if not seed:
-                    own.append((a, b, m[0]))
+        strings = [(a, 0, b, kind) for a, b, kind in base] + [(*m.span()[:1], 1, m.end(), "other") for m in regex.finditer(pattern, text)]
+        for a, rank, b, kind in sorted(strings):
+            words = context(text, a)
+            given = words = given if words is None else words
+            if rank and any(a < y and x < b for x, y, _ in base):
+                continue
+            if words:
+                edges[words, text[a:b]] = edges.get((words, text[a:b]), False) or not rank
+            if rank:
+                own.append((a, b, text[a:b]))
         places.append(own)
-    score = {edge: float(seed) for edge, seed in edges.items()}
-    for _ in range(rounds):
-        by = defaultdict(list)
-        for (words, value), s in score.items():
-            by[words].append(s)
-        trust = {w: sum(s) / (len(s) + 1) if len(s) >= 4 else 0.0 for w, s in by.items()}
-        doubt = defaultdict(float)
-        for words, value in edges:
-            if not edges[words, value]:
-                doubt[value] += math.log(1 - trust[words])
-        score = {edge: 1.0 if seed else 1 - math.exp(doubt[edge[1]]) for edge, seed in edges.items()}
-    known = {value for (words, value), s in score.items() if not edges[words, value] and s >= sure - 1e-9}
+    score = limits(edges)
+    known = {value for (words, value), s in score.items() if not edges[words, value] and s >= sure}
     return [[(a, 4, b, "identifier") for a, b, value in own if value in known] for own in places]
 
 

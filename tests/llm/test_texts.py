@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import re
 
 import plain
@@ -206,6 +207,58 @@ def test_personal_data(letters):
         repr((r.doc_id, None if r.text is None else plain.masked(r.text, b + m))) for r, b, m in zip(rows, base, more))
 
 
+def found_strings(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return {r.doc_id: [rows_text[s.start:s.end] for s in r.found if s.kind == "identifier"]
+            for r in pii.personal_data(rows).collect() for rows_text in [texts[r.doc_id]]}
+
+
+def test_identifiers_are_found_to_the_end_of_the_scoring(spark):
+    """Cases whose scores take many rounds, and lists."""
+    mails = [f"write to my desk a{i}@b.org soon" for i in range(4)] + ["write to my desk EMP99881 soon"]
+    assert found_strings(spark, mails)[4] == ["EMP99881"]
+    phones = [f"call our phone line +1 (555) 010-{1000 + i}." for i in range(8)]
+    lines = phones + [f"call our phone line 0800-55{i}-777 now" for i in range(8)]
+    found = found_strings(spark, lines)
+    assert [found[8 + i] for i in range(8)] == [[f"0800-55{i}-777"] for i in range(8)]
+    lists = phones + ["call our phone line 0800-555-777, 0800-555-778", "call our phone line +1 (555) 010-9999 / 0800-555-779"]
+    lists += ["call our phone line " + ", ".join(f"0800-{i}-0000" for i in range(100, 160))]
+    found = found_strings(spark, lists[:10])
+    assert found[8] == ["0800-555-777", "0800-555-778"] and found[9] == ["0800-555-779"]
+    many = found_strings(spark, phones * 1 + [f"call our phone line +1 (555) 011-{1000 + i}." for i in range(100)] + lists[10:])
+    assert len(many[108]) == 60
+    starts = [f"line +1 (555) 010-{1000 + i}." for i in range(6)] + ["line 0800-555-780"]
+    assert found_strings(spark, starts)[6] == ["0800-555-780"]
+    # Too many unseen ones for the known, and too few instances.
+    assert not any(found_strings(spark, phones + [f"call our phone line 0800-{i}-777" for i in range(100, 140)]).values())
+    assert not any(found_strings(spark, ["my desk a@b.org", "my desk EMP99881"]).values())
+
+
+def test_scores_are_the_same_where_nothing_is_broadcast(spark):
+    rng = random.Random(8)
+    edges = {}
+    for i in range(900):
+        words = "hot words" if i % 3 == 0 else f"w{rng.randrange(60)}"
+        edges[words, f"v{rng.randrange(700)}"] = rng.random() < 0.6
+    frame = spark.createDataFrame([(*edge, seed) for edge, seed in edges.items()], "context string, value string, seed boolean")
+    limits = {}
+    for (words, value), score in plain.limits(edges).items():
+        if not edges[words, value]:
+            limits[value] = max(score, limits.get(value, 0.0))
+    for bound in (None, 0):
+        found = {r.value: r.score for r in pii.scored(frame, bound).collect()}
+        assert found.keys() == {v for v, s in limits.items() if s}
+        assert max(abs(found[v] - s) for v, s in limits.items() if s) < 0.01
+
+
+def test_one_text_with_very_many_spans(spark):
+    text = " and ".join(f"m{i}@x.org" for i in range(32_000))
+    rows = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    start = time.time()
+    assert pii.masked(rows).first().text == " and ".join(["<EMAIL>"] * 32_000)
+    assert time.time() - start < 60
+
+
 def test_personal_data_of_nothing(letters):
     assert pii.personal_data(letters.limit(0)).count() == 0 and pii.masked(letters.limit(0)).count() == 0
 
