@@ -16,7 +16,7 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents that are in no language: those without text, or with no letter in it."""
+    """Without documents in no language that the model has learned: those without a letter, and those no landmark supports."""
     return language_id.in_known_language(spark, docs)
 
 

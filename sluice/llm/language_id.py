@@ -5,8 +5,9 @@ n-grams of one to three letters that occur in both, over the root of the product
 span the kernel's space (Nyström), and a ridge regression in that space tells each language from the rest. A text is
 scored by one product of its batch's presence matrix with the landmarks' and one with the weights.
 
-N-grams are those that occur in a landmark; others meet no landmark and change no comparison. Letters are lower-cased;
-anything between words is one boundary sign.
+N-grams are those that occur in a landmark; others meet no landmark and change no comparison. Which of a text's own n-grams
+do tells whether the model can place the text at all: its support. Letters of all scripts count as themselves, in lower
+case; anything between words is one boundary sign.
 """
 
 from __future__ import annotations
@@ -29,9 +30,12 @@ SAMPLE_ROWS = 1600
 SAMPLE_CHARS = 20_000
 LANDMARKS = 128
 RIDGE = 1e-4
-#: Letters told apart: as many of the commonest, then one sign for all others; sign 0 is the boundary.
-SIGN_BITS = 7
-LETTERS = (1 << SIGN_BITS) - 2
+#: Share of a text's own n-grams, up to this length, that landmarks have to have, for the text to be in a known language.
+#: Longer ones are too many in scripts of thousands of letters for landmarks to have most of them.
+SUPPORT = 0.3
+SUPPORT_LENGTH = 2
+#: Bits of a sign, which is a letter's code or, between words, 0.
+SIGN_BITS = 21
 BLOCK = 1 << 20
 BATCH = 256
 
@@ -39,7 +43,6 @@ BATCH = 256
 @dataclass
 class Model:
     languages: list[str]
-    letters: dict[str, int]
     grams: list[np.ndarray]
     landmarks: np.ndarray
     weights: np.ndarray
@@ -48,42 +51,42 @@ class Model:
 class Presence:
     """Which n-grams of one, two and three signs a text has."""
 
-    def __init__(self, letters: dict[str, int]):
-        self.signs = np.full(0x110000, 0, np.uint8)
-        for code in range(0x110000):
-            if not 0xD800 <= code < 0xE000 and chr(code).isalpha():
-                self.signs[code] = LETTERS + 1
-        for letter, sign in letters.items():
-            self.signs[ord(letter)] = sign
-        self.flags = [np.zeros(1 << SIGN_BITS * n, bool) for n in (1, 2, 3)]
-
-    def mark(self, text: str, out: list[np.ndarray], grams: list[np.ndarray] | None) -> None:
-        """Put the presence of ``grams`` (or, if None, the n-grams themselves) into ``out``, one array per length."""
-        touched: list[list[np.ndarray]] = [[], [], []]
+    def __init__(self):
+        # Letters stand for themselves; all other codes are boundaries.
+        self.letters = np.array([not 0xD800 <= code < 0xE000 and chr(code).isalpha() for code in range(0x110000)])
+
+    def grams(self, text: str) -> list[np.ndarray]:
+        """The different n-grams of each length, in order."""
+        found: list[list[np.ndarray]] = [[], [], []]
         for start in range(0, max(1, len(text)), BLOCK):
-            signs = self.signs[np.frombuffer(text[start:start + BLOCK + 2].lower().encode("utf-32-le"), np.uint32)]
-            signs = signs.astype(np.int32)
-            for n, flags in enumerate(self.flags):
-                codes = signs[:len(signs) - n]
+            codes = np.frombuffer(text[start:start + BLOCK + 2].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+            signs = np.where(self.letters[codes], codes, 0).astype(np.int64)
+            # Boundaries next to each other say no more than one.
+            signs = signs[np.flatnonzero((signs != 0) | (np.append(start, signs[:-1]) != 0))] if len(signs) else signs
+            for n, parts in enumerate(found):
+                own = signs[:max(0, len(signs) - n)]
                 for i in range(1, n + 1):
-                    codes = codes << SIGN_BITS | signs[i:len(signs) - n + i]
-                flags[codes] = True
-                touched[n].append(codes)
-        for n, flags in enumerate(self.flags):
-            flags[0] = False  # boundaries alone say nothing
-            if grams is None:
-                out.append(np.flatnonzero(flags))
-            else:
-                np.take(flags, grams[n], out=out[n])
-            for codes in touched[n]:
-                flags[codes] = False
-
-    def matrix(self, texts: list[str], grams: list[np.ndarray]) -> np.ndarray:
+                    own = own << SIGN_BITS | signs[i:len(signs) - n + i]
+                parts.append(np.unique(own))
+        whole = [parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts)) for parts in found]
+        return [own[own != 0] for own in whole]
+
+    def matrix(self, texts: list[str], grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Presence of the given n-grams, and the share of each text's own short ones that are among them."""
         ends = np.cumsum([0, *map(len, grams)])
-        found = np.zeros((len(texts), ends[-1]), bool)
-        for row, text in zip(found, texts):
-            self.mark(text, [row[a:b] for a, b in zip(ends, ends[1:])], grams)
-        return found.astype(np.float32)
+        found, support = np.zeros((len(texts), ends[-1]), np.float32), np.zeros(len(texts))
+        for row, text in enumerate(texts):
+            known = total = 0
+            for n, (start, wanted, own) in enumerate(zip(ends, grams, self.grams(text)), 1):
+                counts = n <= SUPPORT_LENGTH
+                total += counts * len(own)
+                if len(wanted) and len(own):
+                    place = np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)
+                    place = place[wanted[place] == own]
+                    found[row, start + place] = 1
+                    known += counts * len(place)
+            support[row] = known / total if total else 0.0
+        return found, support
 
 
 def kernel(rows: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
@@ -95,33 +98,20 @@ def fit_model(texts: list[str], languages: list[str], landmarks: int = LANDMARKS
     """One-versus-rest ridge regression over landmarks, which are taken from the languages in turn."""
     if not texts:
         return None
-    counts: dict[str, int] = {}
-    for text in texts:
-        for letter in text.lower():
-            if letter.isalpha():
-                counts[letter] = counts.get(letter, 0) + 1
-    common = sorted(counts, key=lambda letter: (-counts[letter], letter))[:LETTERS]
-    letters = {letter: sign for sign, letter in enumerate(common, 1)}
     names = sorted(set(languages))
     by_language = [[t for t, name in zip(texts, languages) if name == own] for own in names]
     turns = [own[i] for i in range(max(map(len, by_language))) for own in by_language if i < len(own)]
-    chosen, presence = turns[:landmarks], Presence(letters)
-    sets: list[list[np.ndarray]] = [[], [], []]
-    for text in chosen:
-        own: list[np.ndarray] = []
-        presence.mark(text, own, None)
-        for n in range(3):
-            sets[n].append(own[n])
-    grams = [np.unique(np.concatenate(s)) for s in sets]
-    spanning = presence.matrix(chosen, grams)
+    chosen, presence = turns[:landmarks], Presence()
+    grams = [np.unique(np.concatenate(own)) for own in zip(*(presence.grams(text) for text in chosen))]
+    spanning, _ = presence.matrix(chosen, grams)
     values, vectors = np.linalg.eigh(kernel(spanning, spanning).astype(np.float64))
     keep = values > 1e-6 * max(values.max(), 1e-12)
     root = vectors[:, keep] / np.sqrt(values[keep])
-    mapped = np.concatenate([kernel(presence.matrix(texts[i:i + BATCH], grams), spanning)
+    mapped = np.concatenate([kernel(presence.matrix(texts[i:i + BATCH], grams)[0], spanning)
                              for i in range(0, len(texts), BATCH)]).astype(np.float64) @ root
     targets = np.where(np.array(languages)[:, None] == np.array(names)[None, :], 1.0, -1.0)
     weights = np.linalg.solve(mapped.T @ mapped + ridge * len(texts) * np.eye(mapped.shape[1]), mapped.T @ targets)
-    return Model(names, letters, grams, spanning, (root @ weights).astype(np.float32))
+    return Model(names, grams, spanning, (root @ weights).astype(np.float32))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -152,28 +142,28 @@ def training_sample(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPL
 
 
 def predictions(spark: SparkSession, model: Model | None, text: Column) -> Column:
-    """Struct of ``lang_pred`` and ``score``, from the text alone."""
+    """Struct of ``lang_pred``, ``score`` and ``support``, from the text alone."""
     if model is None:
-        return F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    # Landmarks and letters are limited by parameters, and so is the size of the model.
+        return F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("support"))
+    # Landmarks are limited by parameters, and so is the size of the model.
     shared = spark.sparkContext.broadcast(vars(model))
-    key = ("languages", hash(model.weights.tobytes()), model.weights.shape)
 
-    @F.arrow_udf("lang_pred string, score double")
+    @F.arrow_udf("lang_pred string, score double, support double")
     def predict(column: pa.Array) -> pa.Array:
-        model = Model(**shared.value)
-        presence = per_worker(key, lambda: Presence(model.letters))
+        model, presence = Model(**shared.value), per_worker(("letters",), Presence)
         letter = regex.compile(r"\p{L}")
-        names, scores, values = [], [], iter(column)
+        names, scores, supports, values = [], [], [], iter(column)
         while batch := [v.as_py() or "" for v in islice(values, BATCH)]:
-            found = kernel(presence.matrix(batch, model.grams), model.landmarks) @ model.weights
+            rows, support = presence.matrix(batch, model.grams)
+            found = kernel(rows, model.landmarks) @ model.weights
             best = found.argmax(1)
-            for text, i, row in zip(batch, best.tolist(), found):
+            for text, i, row, share in zip(batch, best.tolist(), found, support.tolist()):
                 known = letter.search(text) is not None
                 names.append(model.languages[i] if known else UNKNOWN)
                 scores.append(round(min(1.0, max(0.0, (float(row[i]) + 1) / 2)), 6) if known else 0.0)
-        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                                          ["lang_pred", "score"])
+                supports.append(round(share, 6))
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64()),
+                                           pa.array(supports, pa.float64())], ["lang_pred", "score", "support"])
 
     return predict(text.cast("string"))
 
@@ -196,14 +186,16 @@ def identified(spark: SparkSession, docs: DataFrame, sample_rows: int = SAMPLE_R
             .select("doc_id", "held_out", "of.lang_pred", "of.score"))
 
 
-def in_known_language(spark: SparkSession, docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The rows of ``docs`` that are in some language, in their own columns: those not told ``und``.
+def in_known_language(spark: SparkSession, docs: DataFrame, sample_rows: int = SAMPLE_ROWS, support: float = SUPPORT) -> DataFrame:
+    """The rows of ``docs`` that are in a language the model knows, in their own columns.
 
-    A set without any labelled row to learn from is returned whole but for texts without a letter.
+    Rejected are texts without a letter and those that the landmarks of no language support: of whose n-grams less than
+    ``support`` occur in any of them, as in another script. A set without
+    any labelled row to learn from is returned whole but for texts without a letter.
     """
     model = learned(docs, sample_rows)
     rows = packed(docs)
     if model is None:
         return unpacked(rows.where(F.coalesce(F.col("row.text").cast("string").rlike(r"\p{L}"), F.lit(False))))
     return unpacked(rows.withColumn("of", predictions(spark, model, F.col("row.text")))
-                    .where(F.col("of.lang_pred") != UNKNOWN))
+                    .where((F.col("of.lang_pred") != UNKNOWN) & (F.col("of.support") >= support)))

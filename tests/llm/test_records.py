@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
+import numpy as np
 import plain
 import public_tokenizers
 import pyarrow.fs
@@ -115,13 +117,76 @@ def test_languages(spark, spoken):
     assert {by[i].lang_pred for i in (500, 501, 502)} == {"und"} and by[504].lang_pred == "aa"
     assert by[503].lang_pred in ("aa", "bb")
     kept = language_id.in_known_language(spark, spoken)
-    assert kept.columns == spoken.columns and kept.count() == spoken.count() - 3
+    # Not those without a letter, nor the one in a script that no landmark has.
+    assert kept.columns == spoken.columns and kept.count() == spoken.count() - 4
+    assert kept.where("doc_id IN (500, 501, 502, 503)").count() == 0
+
+
+SCRIPTS = {"ru": "абвгдежзик", "el": "αβγδεζηθικ", "he": "אבגדהוזחטי", "hi": "कखगघचछजझटठ", "zh": "中文字符测试语言学习", "ko": "가나다라마바사아자차"}
+
+
+def test_scripts_are_told_apart(spark):
+    """Six scripts with more letters together than a small table would hold, and texts that the letter rule alone keeps."""
+    rng = random.Random(4)
+
+    def text(letters):
+        """Words of a vocabulary of the script's own, as languages have them."""
+        words = vocabulary.setdefault(letters, ["".join(rng.choices(letters, k=rng.randint(1, 5))) for _ in range(40)])
+        return " ".join(rng.choices(words, k=30))
+
+    vocabulary = {}
+    wide = {lang: letters + "".join(chr(ord(letters[0]) + i) for i in range(40) if chr(ord(letters[0]) + i).isalpha())
+            for lang, letters in SCRIPTS.items()}
+    rows = [(i * 6 + k, text(letters), lang) for i in range(60) for k, (lang, letters) in enumerate(wide.items())]
+    docs = spark.createDataFrame(rows + [(9000, "ქართული ენა", None), (9001, text("ქართული"), "ru")], "doc_id bigint, text string, lang string")
+    found = {r.doc_id: r for r in language_id.identified(spark, docs, sample_rows=120).collect()}
+    assert all(found[i].lang_pred == lang for i, _, lang in rows)
+    kept = {r.doc_id for r in language_id.in_known_language(spark, docs.where("doc_id <> 9001"), sample_rows=120).collect()}
+    assert kept == {i for i, _, _ in rows}
+
+
+def plain_grams(text):
+    signs = "".join(c if c.isalpha() else " " for c in text.lower())
+    while "  " in signs:
+        signs = signs.replace("  ", " ")
+    signs = signs.removeprefix(" ")
+    return {signs[i:i + n] for n in (1, 2, 3) for i in range(len(signs) - n + 1)} - {" "}
+
+
+def test_kernel_and_weights_against_a_plain_computation():
+    rng = random.Random(9)
+    words = {"aa": ["kato", "mi", "tomi", "ka"], "bb": ["athing", "er", "ing", "the"], "cc": ["öst", "ßen", "中文", "er"]}
+    texts = [(" .1 ".join(rng.choices(words[lang], k=rng.randint(1, 12))), lang) for _ in range(40) for lang in words]
+    texts += [("", "aa"), ("ka ka", "aa")]
+    model = language_id.fit_model([t for t, _ in texts], [lang for _, lang in texts], landmarks=12, ridge=1e-3)
+    presence = language_id.Presence()
+    rows, support = presence.matrix([t for t, _ in texts], model.grams)
+    scores = language_id.kernel(rows, model.landmarks) @ model.weights
+
+    by = {lang: [t for t, own in texts if own == lang] for lang in words}
+    chosen = [plain_grams(by[lang][i]) for i in range(4) for lang in sorted(words)]
+    every = set().union(*chosen)
+    own = [plain_grams(t) for t, _ in texts]
+    short = [{n for n in g if len(n) < 3} for g in own]
+    assert [round(s, 9) for s in support] == [round(len(g & every) / len(g), 9) if g else 0.0 for g in short]
+
+    def alike(a, b):
+        return len(a & b) / math.sqrt(max(1, len(a & every)) * max(1, len(b & every)))
+
+    between = np.array([[alike(a, b) for b in chosen] for a in chosen])
+    values, vectors = np.linalg.eigh(between)
+    root = vectors[:, values > 1e-6 * values.max()] / np.sqrt(values[values > 1e-6 * values.max()])
+    mapped = np.array([[alike(a, b) for b in chosen] for a in own]) @ root
+    for k, lang in enumerate(sorted(words)):
+        target = np.array([1.0 if own_lang == lang else -1.0 for _, own_lang in texts])
+        weights = np.linalg.solve(mapped.T @ mapped + 1e-3 * len(texts) * np.eye(mapped.shape[1]), mapped.T @ target)
+        assert np.allclose(mapped @ weights, scores[:, k], atol=2e-3)
 
 
 def test_languages_without_anything_to_learn(spark, spoken):
     nothing = spoken.selectExpr("doc_id", "text", "CAST(NULL AS string) AS lang")
     assert {r.lang_pred for r in language_id.identified(spark, nothing).collect()} == {"und"}
-    assert language_id.in_known_language(spark, nothing).count() == spoken.count() - 3
+    assert language_id.in_known_language(spark, nothing).count() == spoken.count() - 3  # only the letter rule is left
     assert language_id.identified(spark, spoken.limit(0)).count() == 0
 
 
@@ -138,6 +203,7 @@ def test_pipeline(spark, tmp_path):
     item = " ".join(rng.choices(["these", "words", "are", "one", "test", "item", "of", "several"], k=25))
     rows = [tuple(r) for r in source]
     rows += [(9000, f"before it {item.upper()} after it", "en", "s", 1), (9001, None, "en", "s", 1), (9002, "12 !", "en", "s", 1)]
+    rows += [(9005, "中文字符测试文本", "en", "s", 1), (9006, "Привет, мир", None, "s", 1)]  # no landmark has their letters
     rows += [(9003, rows[5][1], "en", "s", 1), (9003, rows[5][1], "en", "s", 1), (9004, "x@y.zz and 10.0.0.1", None, None, 1)]
     spark.createDataFrame(rows, spark.read.parquet("/root/testdata/sf0.001/documents.parquet").schema).write.parquet(
         f"{tmp_path}/documents.parquet")
@@ -145,7 +211,7 @@ def test_pipeline(spark, tmp_path):
     spark.createDataFrame(items + [(777, item)], "item_id bigint, text string").write.parquet(
         f"{tmp_path}/benchmark.parquet")
 
-    rows = [r for r in rows if r[1] and any(c.isalpha() for c in r[1])]
+    rows = [r for r in rows if r[1] and any(c.isalpha() for c in r[1]) and r[0] not in (9005, 9006)]
     first = {}
     prints = [plain.fingerprint(r[1]) for r in rows]
     for row, root in zip(rows, plain.groups(prints)):
