@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.operators.joins import settle
+from sluice.operators.joins import lookup_join, settle
 
 KEY = ["conv", "turn", "digest"]
 
@@ -55,7 +55,8 @@ def turn_hashes(turns: DataFrame) -> DataFrame:
 def maximal(prefixes: DataFrame) -> DataFrame:
     """``conv`` and ``n_turns`` of the conversations that begin no longer one, one of each set of equals."""
     whole = prefixes.groupBy("conv").agg(F.max("prefix").alias("prefix"), F.first("conv_id").alias("conv_id"))
-    inner = (prefixes.join(whole.select("conv", F.col("prefix.seq").alias("n_turns")), "conv")
+    # One row for each conversation, however many turns it has.
+    inner = (lookup_join(prefixes, whole.select("conv", F.col("prefix.seq").alias("n_turns")), ["conv"], "inner")
              .where(F.col("seq") < F.col("n_turns")).select("prefix").distinct())
     one = whole.groupBy("prefix").agg(F.min(F.struct(F.col("conv_id").isNull(), "conv_id", "conv")).alias("one"))
     return one.join(inner, "prefix", "left_anti").select("one.conv", F.col("prefix.seq").alias("n_turns"))

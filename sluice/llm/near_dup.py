@@ -106,10 +106,11 @@ def connected(pairs: DataFrame) -> DataFrame:
     while True:
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        larger = (both.where("b > a").join(least, "a")
+        # The node in the middle of a large group has most of the pairs; what is looked up for it is one row.
+        larger = (lookup_join(both.where("b > a"), least, ["a"], "inner")
                   .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
         least = larger.groupBy("a").agg(F.min("b").alias("m"))
-        smaller = (larger.join(least, "a")
+        smaller = (lookup_join(larger, least, ["a"], "inner")
                    .select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")),
                                              F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("p"))
                    .select("p.*").where("a > b").distinct())
@@ -129,12 +130,14 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bit
     """
     marked = settle(docs.select("doc_id", fingerprints(F.col("text"), shingle_words).alias("fp")))
     distinct = settle(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = connected(links(distinct.select("fp"), max_bits)).withColumnRenamed("node", "fp")
+    # A fingerprint becomes many rows, so these few are dealt to all cores first.
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    roots = connected(links(distinct.select("fp").repartition(cores, "fp"), max_bits)).withColumnRenamed("node", "fp")
     rooted = (distinct.join(roots, "fp", "left")
               .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    groups = rooted.join(named, "root").select("fp", "component_id")
-    return (marked.join(groups, "fp")
+    groups = lookup_join(rooted, named, ["root"], "inner").select("fp", "component_id")
+    return (lookup_join(marked, groups, ["fp"], "inner")
             .select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id"))
 
 
