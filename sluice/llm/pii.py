@@ -160,23 +160,29 @@ def scored(edges: DataFrame, max_broadcast_bytes: int | None = None) -> DataFram
     sizes = edges.groupBy("context").agg(F.count("*").alias("n"), F.count_if(F.col("seed")).alias("seeds"))
     sizes = sizes.where((F.col("n") >= LEAST_INSTANCES) & (F.col("seeds") > 0) & (F.col("n") > F.col("seeds")))
     now = lookup_join(edges, sizes, ["context"], "inner", bound)
+    # A string of one pattern has just that pattern's trust, so its part in the pattern is worked out, not awaited.
+    several = now.where("NOT seed").groupBy("value").agg(F.count("*").alias("k")).where("k > 1").select("value")
+    now = lookup_join(now, several.withColumn("several", F.lit(True)), ["value"], "left", bound)
+    now = now.withColumns({"alone": ~F.col("seed") & F.col("several").isNull(), "score": F.col("seed").cast("double")})
     # What patterns and instances come to is less than the edges.
-    now, size = settle_measured(now.withColumn("score", F.col("seed").cast("double")))
+    now, size = settle_measured(now.drop("several"))
 
     def looked_up(rows: DataFrame, lookup: DataFrame, key: str, how: str) -> DataFrame:
         return rows.join(F.broadcast(lookup), key, how) if size <= bound else lookup_join(rows, lookup, [key], how, bound)
 
     while size:
         charged = F.col("n") + PRIOR + CHARGE * (F.col("n") - F.col("seeds"))
-        patterns = (now.groupBy("context", "n", "seeds").agg(F.sum("score").alias("known"))
-                    .select("context", (F.col("known") / charged).alias("trust")))
+        patterns = (now.groupBy("context", "n", "seeds")
+                    .agg(F.sum(F.when(F.col("alone"), 0.0).otherwise(F.col("score"))).alias("known"),
+                         F.count_if(F.col("alone")).alias("own"))
+                    .select("context", (F.col("known") / (charged - F.col("own"))).alias("trust")))
         instances = (looked_up(now.where("NOT seed"), patterns, "context", "inner")
                      .groupBy("value").agg(F.sum(F.log(1 - F.col("trust"))).alias("doubt"))
                      .select("value", F.round(1 - F.exp("doubt"), 9).alias("next")))
         after = looked_up(now, instances, "value", "left")
         risen = F.when(F.col("seed"), 1.0).otherwise(F.greatest("score", F.coalesce("next", F.lit(0.0))))
         moved = Observation()
-        now = settle(after.select("context", "value", "seed", "n", "seeds", "score", risen.alias("risen"))
+        now = settle(after.select("context", "value", "seed", "n", "seeds", "alone", "score", risen.alias("risen"))
                      .observe(moved, F.max(F.col("risen") - F.col("score")).alias("most"))
                      .drop("score").withColumnRenamed("risen", "score"))
         if (moved.get["most"] or 0.0) <= TOLERANCE:

@@ -164,7 +164,7 @@ def identifiers(texts, sure=0.8):
                 own.append((a, b, text[a:b]))
         places.append(own)
     score = limits(edges)
-    known = {value for (words, value), s in score.items() if not edges[words, value] and s >= sure}
+    known = {value for (words, value), s in score.items() if not edges[words, value] and s >= sure - 1e-6}
     return [[(a, 4, b, "identifier") for a, b, value in own if value in known] for own in places]
 
 
