@@ -7,7 +7,8 @@ them as they are. So the table holds, for each prefix, its last token; a new byt
 and, for each, the last token of the prefix before it. Appending bytes never changes what the table holds, and after an
 edit the table is the old one again as soon as its entries agree for as long as the longest token.
 
-Texts are first cut into pieces by the tokenizer's pattern; each piece has a table of its own.
+Texts are first cut into pieces by the tokenizer's pattern. A piece that is edited has a table of its own. Pieces that are
+encoded once share one, by their prefixes, and only entries that are asked for are worked out.
 """
 
 from __future__ import annotations
@@ -25,9 +26,14 @@ from pyspark.sql import functions as F
 from sluice.llm.common import Memo, per_worker, texts_of
 
 NO_RANK = 1 << 60
-PIECES_KEPT = 400_000
-PAIRS_KEPT = 1_000_000
-#: Pieces from this length on are worked out each time instead of being kept.
+#: Stands for the nodes below one that has none.
+NO_MORE: dict = {}
+#: What a worker keeps between tasks, whatever it does next: some ten megabytes each.
+PIECES_KEPT = 240_000
+PREFIXES_KEPT = 120_000
+PAIRS_KEPT = 250_000
+EDGES_KEPT = 20_000
+#: Pieces from this length on, in bytes, are worked out each time in a table of their own instead of being kept.
 LONG_PIECE = 64
 #: A piece is settled once it begins so many characters before the end of what is known: contractions look that far.
 LOOK_AHEAD = 3
@@ -54,11 +60,14 @@ class Vocabulary:
         for token, rank in self.tokens.items():
             node = self.endings
             for byte in reversed(token[1:]):
-                node = node[1].setdefault(byte, (-1, {}))
-            node[1][token[0]] = (rank, node[1].get(token[0], (-1, {}))[1])
+                below = node[1].get(byte)
+                if below is None or below[1] is NO_MORE:
+                    below = node[1][byte] = (below[0] if below else -1, {})
+                node = below
+            node[1][token[0]] = (rank, node[1].get(token[0], (-1, NO_MORE))[1])
         self.longest = max(map(len, self.tokens), default=1)
-        self.left = {rank: self._side(rank, 0) for rank in self.tokens.values()}
-        self.right = {rank: self._side(rank, 1) for rank in self.tokens.values()}
+        self.left = Memo(lambda rank: self._side(rank, 0), EDGES_KEPT)
+        self.right = Memo(lambda rank: self._side(rank, 1), EDGES_KEPT)
         self.pairs = Memo(self._fits, PAIRS_KEPT)
 
     def extend(self, content: bytes, last: list[int], stop: int) -> None:
@@ -148,10 +157,11 @@ class PrefixTable:
         return len(self.content) - start
 
     def ids(self) -> list[int]:
+        last, text = self.last, self.vocabulary.text
         found, end = [], len(self.content)
         while end:
-            found.append(self.last[end])
-            end -= len(self.vocabulary.text[found[-1]])
+            found.append(token := last[end])
+            end -= len(text[token])
         found.reverse()
         return found
 
@@ -162,12 +172,31 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.vocabulary = Vocabulary(ranks)
         self.pattern = regex.compile(pattern)
-        self.pieces = Memo(lambda piece: struct.pack(f"<{len(found := self.piece_ids(piece.encode()))}I", *found),
-                           PIECES_KEPT)
-
-    def piece_ids(self, piece: bytes) -> list[int]:
-        whole = self.vocabulary.ranks.get(piece)
-        return [whole] if whole is not None else PrefixTable(self.vocabulary, piece).ids()
+        self.pieces = Memo(self._piece, PIECES_KEPT)
+        self.prefixes = Memo(self._prefix, PREFIXES_KEPT)
+
+    def _piece(self, piece: str) -> bytes:
+        content = piece.encode()
+        if len(content) < LONG_PIECE:
+            whole = self.vocabulary.ranks.get(content)
+            return self.prefixes[content] if whole is None else struct.pack("<I", whole)
+        found = self.table_ids(PrefixTable(self.vocabulary, content))
+        return struct.pack(f"<{len(found)}I", *found)
+
+    def _prefix(self, content: bytes) -> bytes:
+        """Ids of a prefix: those of what is before its last token, and that token."""
+        tokens, size = self.vocabulary.tokens, len(content)
+        # The one valid token; longer ones are more often it.
+        for start in range(max(0, size - self.vocabulary.longest), size):
+            token = tokens.get(content[start:])
+            if token is None:
+                continue
+            if not start:
+                return struct.pack("<I", token)
+            before = self.prefixes[content[:start]]
+            if self.vocabulary.pairs[int.from_bytes(before[-4:], "little") << 32 | token]:
+                return before + struct.pack("<I", token)
+        raise ValueError("no token ends here")
 
     def table_ids(self, table: PrefixTable) -> list[int]:
         whole = self.vocabulary.ranks.get(table.content)
@@ -176,7 +205,7 @@ class Encoder:
     def packed(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit numbers."""
         kept = self.pieces
-        return b"".join([kept[piece] if len(piece) < LONG_PIECE else kept.compute(piece)
+        return b"".join([kept[piece] if len(piece) < LONG_PIECE else self._piece(piece)
                          for piece in self.pattern.findall(text)])
 
     def encode(self, text: str) -> list[int]:
