@@ -33,27 +33,34 @@ def texts_of(column: pa.Array) -> Iterator[bytes]:
 
 
 def per_worker(key: tuple, build: Callable[[], object]) -> object:
-    """An object that a Python worker builds once and keeps for all tasks it runs.
+    """An object that a Python worker builds once and keeps for all tasks it runs, until another one is asked for.
 
-    Functions travel by value, so their module's globals would be new for each task.
+    Functions travel by value, so their module's globals would be new for each task. A worker serves one operator after
+    the other; what the last one kept would only take memory from the next.
     """
     kept = sys.__dict__.setdefault("_sluice_per_worker", {})
     if key not in kept:
+        kept.clear()
         kept[key] = build()
     return kept[key]
 
 
 class Memo(dict):
-    """Results by key. At ``bound`` entries it starts again, which changes nothing but the time taken."""
+    """Results by key, about as many as ``bound``; which of them are kept changes nothing but the time taken.
+
+    Once half as many are new the others go, but for those that are asked for again meanwhile.
+    """
 
     def __init__(self, compute: Callable, bound: int):
         super().__init__()
-        self.compute, self.bound = compute, bound
+        self.compute, self.bound, self.older = compute, bound, {}
 
     def __missing__(self, key):
-        if len(self) >= self.bound:
+        value = self.older[key] if key in self.older else self.compute(key)
+        if 2 * len(self) >= self.bound:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.compute(key)
+        self[key] = value
         return value
 
 

@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from sluice.llm import bpe, token_counts
+from sluice.llm import bpe, common, token_counts
 
 PATTERN = public_tokenizers.PATTERN
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -107,3 +107,40 @@ def test_counts_of_runs_without_a_boundary():
         counter = token_counts.Counter(file.read(), PATTERN)
     for text in odd_texts(3000, 9) + ["a" * 20_000, " " * 20_000, "abc" * 7_000]:
         assert counter.count(text) == len(tokenizer.encode(text, add_special_tokens=False))
+
+
+def test_pieces_share_what_they_begin_with(encoder, library):
+    """A longer piece asks for its last tokens only; what is dropped from memory changes no ids."""
+    fresh = bpe.Encoder(encoder.vocabulary.ranks, PATTERN)
+    asked = []
+    work_out = fresh.prefixes.compute
+    fresh.prefixes.compute = lambda content: asked.append(content) or work_out(content)
+    for memo in (fresh.pieces, fresh.prefixes, fresh.vocabulary.pairs, fresh.vocabulary.left, fresh.vocabulary.right):
+        memo.bound = 40
+    words = [" " + "ontiherean"[i:] + "thinshing"[:k] for i in range(9) for k in range(9)] * 3
+    for word in words + odd_texts(500, 11):
+        assert fresh.encode(word) == library.encode_ordinary(word)
+        assert len(fresh.pieces) + len(fresh.pieces.older) <= 41
+    asked.clear()
+    fresh.prefixes.clear()
+    fresh.prefixes.older, fresh.prefixes.bound = {}, 1000
+    fresh.encode(" hahehewhandon")
+    first = len(asked)
+    fresh.encode(" hahehewhandonhe")
+    assert 0 < len(asked) - first < first
+
+
+def test_results_asked_for_again_are_kept():
+    computed = []
+    memo = common.Memo(lambda key: computed.append(key) or key, 20)
+    for i in range(200):
+        assert memo[i] == i and memo["often"] == "often"
+        assert len(memo) + len(memo.older) <= 21
+    assert computed.count("often") == 1
+
+
+def test_a_worker_keeps_what_its_last_operator_needs():
+    built = [common.per_worker(("a",), object), common.per_worker(("a",), object)]
+    assert built[0] is built[1]
+    common.per_worker(("b",), object)
+    assert common.per_worker(("a",), object) is not built[0]
