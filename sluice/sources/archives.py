@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.csv as pa_csv
 import pyarrow.fs as pa_fs
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.names import ingest_name, strip_extension
@@ -34,6 +34,9 @@ CONTENT_CHUNK = 4 << 20
 TASK_BYTES = 128 << 20
 TASK_MEMBERS = 10_000
 MAX_TASKS = 10_000
+# From so many tasks on, each gets so many bytes: starting a task takes longer than reading a small member.
+MANY_TASKS = 64
+WORTH_BYTES = 4 << 20
 ZIP_EPOCH = datetime(1980, 1, 1)
 SCHEME_ALIASES = {"s3a": "s3", "s3n": "s3"}
 
@@ -112,21 +115,31 @@ def archive_entries(manifest: DataFrame) -> DataFrame:
     return listed_archives(manifest).where("problem IS NULL").drop("problem")
 
 
+def dealt(units: DataFrame, keys: Sequence[str], size: Column, max_tasks: int = MAX_TASKS) -> DataFrame:
+    """Units of work, known by their keys, over tasks: one each, unless that would be many tasks of few bytes."""
+    found = units.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    tasks = min(max_tasks, max(1, found.n))
+    cores = units.sparkSession.sparkContext.defaultParallelism
+    enough = max(MANY_TASKS, 4 * cores, found.bytes // WORTH_BYTES)
+    # By hash large units, which are often neighbours, come apart; ranges hold the same number of units.
+    return units.repartition(enough, *keys) if enough < tasks else units.repartitionByRange(tasks, *keys)
+
+
 def spread_members(entries: DataFrame, columns: Sequence[str], task_bytes: int = TASK_BYTES,
                    max_tasks: int = MAX_TASKS) -> DataFrame:
     """File members, folders left out, as one row per stretch of an archive and task: ``path`` and ``members``.
 
     Neighbours in an archive go together up to ``task_bytes``, so that many small members share one opening of it; a
-    large member is on its own. Ranges over the stretches give every task the same number of them: one, as long as
-    there are no more than ``max_tasks`` stretches. Their number only groups the work; the rows are the same.
+    large member is on its own. Every task gets the same number of stretches: one, as long as there are no more than
+    ``max_tasks`` of them. Many small ones share tasks (:func:`dealt`). Their number only groups the work; the rows are
+    the same.
     """
     files = entries.filter(~F.col("nome_arquivo").endswith("/"))
     stretches = settle(files.groupBy("path", F.floor(F.col("bytes_before") / task_bytes).alias("stretch"),
                                      F.floor(F.col("entry_no") / TASK_MEMBERS).alias("block"))
-                       .agg(F.sort_array(F.collect_list(F.struct("entry_no", *columns))).alias("members")))
-    tasks = min(max_tasks, max(1, stretches.count()))
-    return (stretches.repartitionByRange(tasks, "path", "stretch", "block")
-            .select("path", "members"))
+                       .agg(F.sort_array(F.collect_list(F.struct("entry_no", *columns))).alias("members"),
+                            F.sum("tamanho_bytes").alias("bytes")))
+    return dealt(stretches, ["path", "stretch", "block"], F.col("bytes"), max_tasks).select("path", "members")
 
 
 def _each_member(batches: Iterator[pa.RecordBatch], read: Callable, failed: Callable) -> Iterator[pa.RecordBatch]:

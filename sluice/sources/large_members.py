@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from sluice.operators.joins import settle
 from sluice.operators.quality import standard_names
 from sluice.sources.archives import (CSV_BLOCK, MAX_TASKS, TASK_BYTES, UNREADABLE, _each_member, _read_header, _read_table,
-                                     archive_rows, open_path, row_batches, rows_schema, spread_members)
+                                     archive_rows, dealt, open_path, row_batches, rows_schema, spread_members)
 
 #: Members larger than this are split; no row of a smaller one is longer than the reader's block.
 SPLIT_BYTES = CSV_BLOCK
@@ -198,7 +198,6 @@ def split_rows(entries: DataFrame, columns: Sequence[str], folder: str, renames:
     columns, renames, required, missing = list(columns), dict(renames or {}), list(required), list(missing)
     chunks = write_chunks(entries, folder, sep, encoding, chunk_bytes, max_tasks)
     parts = settle(chunks.groupBy("path", "entry_no").applyInArrow(units, UNIT))
-    tasks = min(max_tasks, max(1, parts.count()))
     batch_of = row_batches(columns)
 
     def parse(unit: dict, store, place: str) -> Iterator[pa.RecordBatch]:
@@ -232,8 +231,8 @@ def split_rows(entries: DataFrame, columns: Sequence[str], folder: str, renames:
                 if problem is not None:
                     yield batch_of(unit, None, problem, pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), {})
 
-    dealt = parts.repartitionByRange(tasks, "path", "entry_no", "chunk_no")
-    return dealt.mapInArrow(run, rows_schema(columns))
+    size = F.aggregate("pieces", F.lit(0).cast("bigint"), lambda total, piece: total + piece["end"] - piece["start"])
+    return dealt(parts, ["path", "entry_no", "chunk_no"], size, max_tasks).mapInArrow(run, rows_schema(columns))
 
 
 def all_rows(entries: DataFrame, columns: Sequence[str], folder: str, renames: Mapping[str, str] | None = None,

@@ -87,3 +87,11 @@ def test_a_member_that_breaks_off_is_told(spark, landing, tmp_path):
     entries = archives.archive_entries(landing_manifest(spark, str(landing)))
     rows = large_members.split_rows(entries, ["A"], str(tmp_path / "chunks"), chunk_bytes=1000)
     assert archives.unreadable_members(rows).count() == 1
+
+
+def test_many_small_chunks_share_tasks(spark, landing, tmp_path):
+    write_zip(landing / "a.zip", [("m.csv", "A;B\n" + "12345678;1\n" * 4000)])
+    entries = archives.archive_entries(landing_manifest(spark, str(landing)))
+    rows = large_members.split_rows(entries, ["A"], str(tmp_path / "chunks"), chunk_bytes=200)
+    assert rows.rdd.getNumPartitions() == max(archives.MANY_TASKS, 4 * spark.sparkContext.defaultParallelism) < 220
+    assert sorted(r[0] for r in archives.data_rows(rows).select("row_id").collect()) == list(range(4000))

@@ -202,3 +202,17 @@ def test_many_stretches_in_few_tasks(spark, landing):
     rows = [tuples(archives.archive_rows(entries, ["A", "B"], task_bytes=8, max_tasks=n), "arquivo", "A", "B")
             for n in (10, 10_000)]
     assert rows[0] == rows[1]
+
+
+def test_many_small_members_share_tasks(spark, landing, monkeypatch):
+    """Tasks follow the bytes beyond a number of tasks; the rows are the same."""
+    for i in range(3):
+        write_zip(landing / f"{i}.zip", [(f"{i}_{k}.csv", f"A;B\n{i};{k}\n") for k in range(100)])
+    entries = entries_of(spark, landing)
+    spread = archives.spread_members(entries, ["nome_arquivo"], task_bytes=8)
+    enough = max(archives.MANY_TASKS, 4 * spark.sparkContext.defaultParallelism)
+    assert spread.count() == 300 and spread.rdd.getNumPartitions() == enough < 300
+    found = tuples(archives.archive_rows(entries, ["A", "B"], task_bytes=8), "arquivo", "A", "B")
+    monkeypatch.setattr(archives, "WORTH_BYTES", 8)
+    assert archives.spread_members(entries, ["nome_arquivo"], task_bytes=8).rdd.getNumPartitions() == 300
+    assert found == tuples(archives.archive_rows(entries, ["A", "B"], task_bytes=8), "arquivo", "A", "B")
