@@ -26,14 +26,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from sluice.llm.common import Memo, joined, packed, per_worker, unpacked
+from sluice.llm.common import joined, packed, unpacked
 from sluice.operators.joins import lookup_join, settle
 
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 3
 #: Bits of a shingle's hash that address the bit map: 2 MB.
 MAP_BITS = 24
-WORDS_KEPT = 500_000
 ROWS_OUT = 4096
 
 #: Bytes of words are kept, A-Z as a-z; all others become blanks. Fixed by the definition of a word.
@@ -52,8 +51,7 @@ def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
     size = len(words) - width + 1
     if size < 1:
         return np.empty(0, np.uint64)
-    memo = per_worker(("word hashes",), lambda: Memo(xxh64_intdigest, WORDS_KEPT))
-    single = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+    single = np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
     total = np.full(size, width, np.uint64)
     for i in range(width):
         total = (total ^ single[i:i + size]) * np.uint64(FACTORS[i % len(FACTORS)])

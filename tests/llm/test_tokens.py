@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from sluice.llm import bpe, common, token_counts
+from sluice.llm import bpe, common, decontaminate, token_counts
 
 PATTERN = public_tokenizers.PATTERN
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -144,3 +144,9 @@ def test_a_worker_keeps_what_its_last_operator_needs():
     assert built[0] is built[1]
     common.per_worker(("b",), object)
     assert common.per_worker(("a",), object) is not built[0]
+
+
+def test_hashing_words_leaves_nothing_in_a_worker():
+    kept = common.per_worker(("mine",), object)
+    assert len(decontaminate.shingle_hashes([b"a", b"b", b"a", b"b", b"a"], 2)) == 4
+    assert common.per_worker(("mine",), object) is kept
